@@ -1,0 +1,5 @@
+"""No streaming operators: every source here is a batch table.
+
+``apply_imputation`` and ``score`` hold no state between rows, so nothing in this
+package is needed to run them on a micro-batch handed over by ``foreachBatch``.
+"""
