@@ -18,7 +18,7 @@ from strataprop.functions.checks import (
     require_numeric,
 )
 from strataprop.functions.expressions import column, numeric
-from strataprop.functions.runtime import stage
+from strataprop.functions.runtime import fits_broadcast, stage
 from strataprop.operators.joins import equi_join
 from strataprop.operators.quantiles import exact_quantiles
 
@@ -179,6 +179,8 @@ def fit_imputation(
     specs = _check(df, specs)
     params = stage(imputation_params(df, specs), path)
     wanted = {s.column for s in specs if s.stratum is None}
+    if not wanted:
+        return params
     found = {
         r["column"]
         for r in params.filter(F.col("stratum_column").isNull() & F.col("value").isNotNull())
@@ -217,11 +219,13 @@ def apply_imputation(df: DataFrame, params: DataFrame) -> DataFrame:
             strata.setdefault(row["stratum_column"], []).append(row["column"])
     require_columns(df, strata)
 
+    # Parameters small enough to broadcast are also small enough to pivot without a shuffle.
+    rules = params.coalesce(1) if fits_broadcast(params) else params
     wide = df
     for i, (stratum, imputed) in enumerate(sorted(strata.items())):
         key = F.col("stratum_value").try_cast(df.schema[stratum].dataType)
         lookup = (
-            params.filter(F.col("stratum_column") == stratum)
+            rules.filter(F.col("stratum_column") == stratum)
             .groupBy(key.alias(stratum))
             .agg(*[
                 F.max(F.when(F.col("column") == name, F.col("value"))).alias(f"__fill_{i}_{j}")

@@ -87,7 +87,7 @@ def find_hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> Hot
     )
     partitions = shuffle_partitions(df.sparkSession)
     average = sketch["total"] / partitions
-    limit = max(hot_rows, 4 * average)
+    limit = max(hot_rows, 2 * average)
     piece = max(hot_rows, average)
     top = [(r["item"], r["count"]) for r in sketch["top"] or [] if r["item"] is not None]
     hot = [(item, count) for item, count in top if count > limit]

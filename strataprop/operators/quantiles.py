@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` and ``percentile_disc`` keep every distinct value of a group in the memory
 of one task. Here a bounded sketch first brackets each quantile, then the rows inside the
-brackets are counted per value, which is a small share of the input (6 / accuracy per quantile).
+brackets are counted per value, which is a small share of a large group (6 / accuracy per
+quantile).
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from strataprop.functions.runtime import stage
 from strataprop.operators.joins import equi_join
 
 SKETCH_ACCURACY = 50_000
+# A group of up to this many rows keeps all its values as candidates.
+SMALL_GROUP = 1_000
+# Share of the ranks on either side of a quantile that is kept in a group smaller than the sketch.
+WIDE_MARGIN = 0.01
 
 
 def _rank(prob: float, kind: str) -> tuple[Column, Column, Column]:
@@ -48,28 +53,33 @@ def exact_quantiles(
         raise ValueError("probs must be in ascending order")
     for prob in probs:
         require_unit_interval(prob, "a quantile")
+    if accuracy < 1_000:
+        raise ValueError("accuracy must be at least 1000")
     by = list(by or [])
     # A struct key compares null group values as equal, in the join as in the grouping.
     group = F.struct(*[column(c) for c in by]) if by else F.struct(F.lit(0))
     rows = df.select(group.alias("grp"), numeric(df, value).alias("v"))
 
-    margin = 3.0 / accuracy
-    bounds = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
+    # The sketch is off by at most n / accuracy ranks, and interpolation needs one rank more. In
+    # a group of more than ``accuracy`` rows the narrow margin covers both; below, the wide one.
     k = len(probs)
-    sketch = F.percentile_approx("v", bounds, accuracy)
-    # A group no larger than the sketch keeps all its values as candidates.
-    small = F.col("n") <= accuracy
+    bounds = [
+        min(max(p + sign * margin, 0.0), 1.0)
+        for margin in (3.0 / accuracy, WIDE_MARGIN) for sign in (-1, 1) for p in probs
+    ]
+
+    def bound(side: int, i: int, extreme: str) -> Column:
+        narrow, wide = F.col("bounds")[side * k + i], F.col("bounds")[(2 + side) * k + i]
+        return (F.when(F.col("n") <= SMALL_GROUP, F.col(extreme))
+                .when(F.col("n") <= accuracy, wide).otherwise(narrow))
+
     brackets = stage(
         rows.groupBy("grp")
         .agg(F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-             sketch.alias("bounds"))
-        .select(
-            "grp", "n", "min", "max",
-            *[F.when(small, F.col("min")).otherwise(F.col("bounds")[i]).alias(f"lo_{i}")
-              for i in range(k)],
-            *[F.when(small, F.col("max")).otherwise(F.col("bounds")[k + i]).alias(f"hi_{i}")
-              for i in range(k)],
-        )
+             F.percentile_approx("v", bounds, accuracy).alias("bounds"))
+        .select("grp", "n", "min", "max",
+                *[bound(0, i, "min").alias(f"lo_{i}") for i in range(k)],
+                *[bound(1, i, "max").alias(f"hi_{i}") for i in range(k)])
     )
 
     # Values outside the brackets only add to the cumulative count: they move down to the
@@ -84,12 +94,11 @@ def exact_quantiles(
     candidates = (
         equi_join(rows.filter(v.isNotNull()), brackets, "grp", "inner", spread_by=["v"])
         .groupBy("grp", clipped.alias("candidate"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n"))
     )
     running = Window.partitionBy("grp").orderBy("candidate").rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = candidates.join(brackets.select("grp", "n"), "grp").withColumn(
-        "up_to", F.sum("n_rows").over(running))
+    ranked = candidates.withColumn("up_to", F.sum("n_rows").over(running))
 
     ranks = [_rank(p, kind) for p in probs]
     picks = []

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataprop.functions.expressions import at_least
-from strataprop.functions.runtime import shared_folder
+from strataprop.functions.runtime import shared_folder, stage
 from strataprop.operators import exploration, metrics, splitting
 from strataprop.operators.features import FEATURES, category_index, encoding_stages
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
@@ -120,19 +120,21 @@ SPECS = [
 
 def imputation_params(spark, sf_dir) -> DataFrame:
     path = _new_folder(spark)
-    params = fit_imputation(fx.features(spark, sf_dir, nulls=True), SPECS)
+    params = fit_imputation(stage(fx.features(spark, sf_dir, nulls=True)), SPECS)
     save_params(params, path)
     return load_params(spark, path).withColumn("value", F.round("value", 4))
 
 
+def _filled(spark, sf_dir) -> DataFrame:
+    """The feature table with its split, filled with what the training part says."""
+    split = stage(splitting.split_by_hash(
+        fx.features(spark, sf_dir, nulls=True), key="id", target="label"))
+    return apply_imputation(split, fit_imputation(split.filter(F.col("split") == "train"), SPECS))
+
+
 def impute_out_of_sample(spark, sf_dir) -> DataFrame:
-    split = splitting.split_by_hash(
-        fx.features(spark, sf_dir, nulls=True), key="id", target="label")
-    params = fit_imputation(split.filter(F.col("split") == "train"), SPECS)
-    filled = apply_imputation(split, params)
-    return filled.select(
-        "id", "split",
-        *[F.round(s.column, 6).alias(s.column) for s in SPECS])
+    return _filled(spark, sf_dir).select(
+        "id", "split", *[F.round(s.column, 6).alias(s.column) for s in SPECS])
 
 
 # --- splits --------------------------------------------------------------------------------
@@ -301,10 +303,7 @@ def _rounded(wide: DataFrame) -> DataFrame:
 
 def flagship(spark, sf_dir) -> DataFrame:
     """Feature table, split, imputation fitted on the training part, summary per part and label."""
-    split = splitting.split_by_hash(
-        fx.features(spark, sf_dir, nulls=True), key="id", target="label")
-    params = fit_imputation(split.filter(F.col("split") == "train"), SPECS)
-    return apply_imputation(split, params).groupBy("split", "label").agg(
+    return _filled(spark, sf_dir).groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("total_price").alias("n_price"),
         F.count("max_price").alias("n_max_price"),
