@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.checks import (
@@ -83,9 +83,17 @@ def correlation_matrix(df: DataFrame, columns: list[str], nulls: str = "error")
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
     one_row = values.agg(
         *[F.count_if(F.col(f"c{i}").isNull()).alias(f"nulls_{i}") for i in range(k)],
-        *[F.corr(f"c{i}", f"c{j}").alias(f"corr_{i}_{j}") for i, j in pairs],
-        *[F.when(F.var_pop(f"c{i}") > 0, F.lit(1.0)).alias(f"corr_{i}_{i}") for i in range(k)],
+        *[F.stddev_pop(f"c{i}").alias(f"sd_{i}") for i in range(k)],
+        *[F.covar_pop(f"c{i}", f"c{j}").alias(f"cov_{i}_{j}") for i, j in pairs],
     )
+
+    def correlation(i: int, j: int) -> Column:
+        # Not F.corr, which divides by the zero deviation of a constant column.
+        if i == j:
+            return F.when(F.col(f"sd_{i}") > 0, F.lit(1.0))
+        covariance = F.col(f"cov_{min(i, j)}_{max(i, j)}")
+        return F.try_divide(covariance, F.col(f"sd_{i}") * F.col(f"sd_{j}"))
+
     checked = F.lit(True)
     for i in reversed(range(k)):
         message = f"null values in {columns[i]!r}: impute it or pass nulls='skip'"
@@ -93,7 +101,7 @@ def correlation_matrix(df: DataFrame, columns: list[str], nulls: str = "error")
                          ).otherwise(checked)
     entries = [
         F.struct(F.lit(columns[i]).alias("col_i"), F.lit(columns[j]).alias("col_j"),
-                 F.col(f"corr_{min(i, j)}_{max(i, j)}").alias("corr"))
+                 correlation(i, j).alias("corr"))
         for i in range(k) for j in range(k)
     ]
     return one_row.filter(checked).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
@@ -107,14 +115,10 @@ def _vector_correlation(values: DataFrame, columns: list[str]) -> DataFrame:
         (columns[i], columns[j], float(matrix[i, j]))
         for i in range(len(columns)) for j in range(len(columns))
     ]
-    result = df_of_pairs(values, rows)
+    result = values.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
     return result.withColumn("corr", F.nanvl("corr", F.lit(None).cast("double")))
 
 
-def df_of_pairs(like: DataFrame, rows: list[tuple[str, str, float]]) -> DataFrame:
-    return like.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
-
-
 def box_stats(
     df: DataFrame, value: str, by: str | None = None, *, accuracy: int | None = None
 ) -> DataFrame:

@@ -1,0 +1,123 @@
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from helpers import plan, rows
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import functions as F
+
+from strataprop.operators import exploration as ex
+from strataprop.plans import fixtures as fx
+
+
+def mllib_chi_square(df, a, b):
+    model = StringIndexer(inputCols=[a, b], outputCols=["ai", "bi"]).fit(df)
+    vectors = VectorAssembler(inputCols=["ai"], outputCol="f").transform(model.transform(df))
+    r = ChiSquareTest.test(vectors, "f", "bi", True).first()
+    return r["statistic"], r["degreesOfFreedom"], r["pValue"]
+
+
+@pytest.mark.parametrize("a,b", [
+    ("o_orderpriority", "o_orderstatus"), ("o_orderstatus", "m"), ("m", "k"), ("o_orderstatus", "same")])
+def test_chi_square_equals_the_library_test(spark, a, b):
+    df = fx.table(spark, SF_DIR, "orders").select(
+        "o_orderpriority", "o_orderstatus", (F.col("o_custkey") % 97).cast("string").alias("m"),
+        (F.col("o_orderkey") % 31).cast("string").alias("k"),
+        F.concat("o_orderstatus", F.lit("x")).alias("same"))
+    counts, result = ex.chi_square(df, a, b)
+    r = result.first()
+    statistic, dof, p = mllib_chi_square(df, a, b)
+    assert r["statistic"] == pytest.approx(statistic, rel=1e-9)
+    assert r["dof"] == dof and r["p_value"] == pytest.approx(p, rel=1e-8, abs=1e-14)
+    assert counts.agg(F.sum("count")).first()[0] == df.count()
+
+
+def test_chi_square_has_no_limit_on_levels(spark):
+    df = spark.range(40_000).select((F.col("id") % 20_000).alias("a"), (F.col("id") % 2).alias("b"))
+    _, result = ex.chi_square(df, "a", "b")
+    r = result.first()
+    assert r["dof"] == 19_999 and r["statistic"] == pytest.approx(40_000)
+    assert 0 <= r["p_value"] < 1e-10
+
+
+def test_chi_square_edges(spark):
+    one = spark.createDataFrame([("a", 0), ("a", 1)], "a string, b int")
+    r = ex.chi_square(one, "a", "b")[1].first()
+    assert (r["statistic"], r["dof"], r["p_value"]) == (0.0, 0, 1.0)
+    nulls = one.unionByName(spark.createDataFrame([(None, 1), ("c", None)], "a string, b int"))
+    counts, result = ex.chi_square(nulls, "a", "b")
+    assert counts.count() == 4 and result.first()["dof"] == 0
+    with pytest.raises(ValueError):
+        ex.chi_square(one, "a", "a")
+
+
+def test_correlation_both_ways_equal_numpy(spark):
+    df = fx.features(spark, SF_DIR)
+    columns = ["total_price", "n_lines", "sum_qty", "max_price", "acctbal"]
+    matrix = np.corrcoef(df.select(*columns).dropna().toPandas().to_numpy(), rowvar=False)
+    for limit in (16, 2):
+        before, ex.PAIRWISE_COLUMNS = ex.PAIRWISE_COLUMNS, limit
+        try:
+            got = ex.correlation_matrix(df, columns, nulls="skip").collect()
+        finally:
+            ex.PAIRWISE_COLUMNS = before
+        assert len(got) == 25
+        for r in got:
+            i, j = columns.index(r["col_i"]), columns.index(r["col_j"])
+            assert r["corr"] == pytest.approx(matrix[i, j], abs=1e-9)
+
+
+def test_correlation_names_the_column_with_nulls(spark):
+    with pytest.raises(Exception, match="null values in 'sum_qty'"):
+        ex.correlation_matrix(fx.features(spark, SF_DIR), ["total_price", "sum_qty"]).collect()
+    with pytest.raises(ValueError, match="numeric"):
+        ex.correlation_matrix(fx.features(spark, SF_DIR), ["priority"])
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.range(10).select(F.col("id").alias("a"), F.lit(1).alias("b"))
+    got = {(r[0], r[1]): r[2] for r in ex.correlation_matrix(df, ["a", "b"]).collect()}
+    assert got == {("a", "a"): 1.0, ("a", "b"): None, ("b", "a"): None, ("b", "b"): None}
+
+
+def test_box_stats_by_hand(spark):
+    df = spark.createDataFrame(
+        [("a", v) for v in (1.0, 2.0, 3.0, 4.0, 100.0)] + [("b", None)] + [(None, 7.0)],
+        "g string, x double")
+    assert rows(ex.box_stats(df, "x", "g")) == [
+        (None, 1, 7.0, 7.0, 7.0, 7.0, 7.0, 7.0, 7.0, 0),
+        ("a", 5, 1.0, 2.0, 3.0, 4.0, 100.0, 1.0, 4.0, 1),
+        ("b", 0, None, None, None, None, None, None, None, 0)]
+    overall = ex.box_stats(df.filter("g = 'a'"), "x")
+    assert "g" not in overall.columns and rows(overall) == [(5, 1.0, 2.0, 3.0, 4.0, 100.0, 1.0, 4.0, 1)]
+
+
+def test_box_stats_sketched_is_close(spark):
+    df = fx.profile(spark, SF_DIR)
+    exact = {r["priority"]: r for r in ex.box_stats(df, "total_price", "priority").collect()}
+    for r in ex.box_stats(df, "total_price", "priority", accuracy=1000).collect():
+        assert r["median"] == pytest.approx(exact[r["priority"]]["median"], rel=0.05)
+
+
+def test_bins(spark):
+    df = spark.createDataFrame(
+        [(-0.5, 0.0, "a"), (0.5, 9.9, "a"), (0.9, 0.1, "a"), (None, 1.0, "a"), (float("nan"), 1.0, "b")],
+        "x double, y double, c string")
+    assert rows(ex.bin_2d(df, "x", "y", 1.0, 10.0)) == [(-1, 0, 1), (0, 0, 2)]
+    assert rows(ex.bin_2d(df, "x", "y", 1.0, 5.0, "c")) == [(-1, 0, "a", 1), (0, 0, "a", 1), (0, 1, "a", 1)]
+    with pytest.raises(ValueError):
+        ex.bin_2d(df, "x", "y", 0, 1)
+
+
+def test_contingency_keeps_nulls_and_reads_two_columns(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1)], "a string, b int")
+    assert rows(ex.contingency(df, "a", "b")) == [(None, 1, 1), ("a", 1, 2)]
+    text = plan(ex.contingency(fx.table(spark, SF_DIR, "orders"), "o_orderpriority", "o_orderstatus"))
+    assert "ReadSchema: struct<o_orderstatus:string,o_orderpriority:string>" in text
+
+
+def test_sample_points(spark):
+    df = spark.range(10_000)
+    assert ex.sample_points(df, ["id"], 0.1).count() == pytest.approx(1000, rel=0.2)
+    with pytest.raises(ValueError):
+        ex.sample_points(df, ["id"], 2)
