@@ -15,6 +15,7 @@ from strataprop.operators.imputation import (
     apply_imputation,
     fit_imputation,
     imputation_params,
+    params_from_values,
 )
 from strataprop.operators.joins import equi_join, feature_table
 from strataprop.operators.metrics import binary_metrics, metrics_dict, metrics_long
@@ -48,6 +49,7 @@ __all__ = [
     "imputation_params",
     "metrics_dict",
     "metrics_long",
+    "params_from_values",
     "sample_points",
     "score",
     "score_python",

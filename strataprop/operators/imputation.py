@@ -191,6 +191,34 @@ def fit_imputation(
     return params
 
 
+def params_from_values(
+    df: DataFrame, values: dict[str, float | dict], strata: dict[str, str] | None = None
+) -> DataFrame:
+    """A parameter table for ``df`` from values that are already known.
+
+    ``values`` maps a column to a number, or to ``{stratum value: number}``; ``strata`` names
+    the stratum column of each nested entry.
+    """
+    strata = strata or {}
+    entries = []
+    for name, value in values.items():
+        require_numeric(df, [name])
+        nested = isinstance(value, dict)
+        if nested != (name in strata):
+            raise ValueError(f"{name!r} needs a stratum column exactly if its values are nested")
+        if nested:
+            require_columns(df, [strata[name]])
+            stratum_type = df.schema[strata[name]].dataType.simpleString()
+        for stratum, number in (value if nested else {None: value}).items():
+            if isinstance(number, bool) or not isinstance(number, (int, float)):
+                raise TypeError(f"{name!r} cannot be filled with {number!r}")
+            if not nested:
+                entries.append((name, "given", None, None, None, float(number)))
+            elif stratum is not None:
+                entries.append((name, "given", strata[name], stratum_type, str(stratum), float(number)))
+    return df.sparkSession.createDataFrame(entries, PARAMS_SCHEMA)
+
+
 def apply_imputation(df: DataFrame, params: DataFrame) -> DataFrame:
     """Fill nulls from a parameter table; filled columns become double.
 

@@ -65,13 +65,18 @@ def _comparable(left: DataFrame, right: DataFrame, on: list[str]) -> bool:
     """Whether equal keys also hash equally on both sides."""
     for name in on:
         a, b = left.schema[name].dataType, right.schema[name].dataType
-        if a != b and not (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)):
+        integral = isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)
+        if a.simpleString() != b.simpleString() and not integral:
             return False
     return True
 
 
-def find_hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> HotKeys:
-    """One pass over the key columns with a sketch of fixed size and no shuffle of keys."""
+def find_hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> HotKeys:
+    """One pass over the key columns with a sketch of fixed size and no shuffle of keys.
+
+    A key is hot above ``hot_rows`` rows and above twice the rows of an average partition.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     has_null = _any_null(on)
     sketch = (
         df.select(has_null.alias("is_null"), _hash(df, on).alias("hash"))
@@ -134,7 +139,7 @@ def equi_join(
     *,
     hot: HotKeys | None = None,
     spread_by: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join on shared column names; the key appears once in the result.
 
@@ -201,7 +206,7 @@ def feature_table(
     dim_key: str,
     on_duplicate: str = "keep",
     dim_order: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One wide row per profile row: profile, performance, dimension and, if given, the target.
 

@@ -210,6 +210,16 @@ SELECT * FROM profile WHERE id IN (SELECT l_orderkey FROM lineitem)""",
     "impute_global_median": _impute("quantile_disc(total_price, 0.5)", False),
     "impute_stratified_mean": _impute("round(avg(total_price))", True),
     "impute_stratified_median": _impute("quantile_disc(total_price, 0.5)", True),
+    "impute_given_values": f"""
+WITH profile AS ({PROFILE.format(price=PRICE_WITH_NULLS)})
+SELECT id, priority,
+       coalesce(total_price, CASE priority WHEN '1-URGENT' THEN 100.0::DOUBLE
+                                           WHEN '5-LOW' THEN 50.0::DOUBLE END) AS total_price
+FROM profile""",
+    "median_sketch_error": f"""
+WITH profile AS ({PROFILE.format(price=PRICE_WITH_NULLS)})
+SELECT priority, CAST(count(total_price) AS BIGINT) AS n, true AS within_bound
+FROM profile GROUP BY priority""",
     "imputation_params": f"""
 WITH {_features(nulls=True)}, fit AS (SELECT * FROM features), {FITTED}
 SELECT 'total_price' AS "column", 'mean' AS method, 'priority' AS stratum_column,
@@ -235,6 +245,10 @@ WITH {SPLIT} SELECT id, label, 'train' AS sample FROM split WHERE split = 'train
 UNION ALL SELECT id, label, 'val' FROM split WHERE split = 'val'""",
     "split_counts": f"""
 WITH {SPLIT} SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY split, label""",
+    "split_bernoulli_counts": f"""
+WITH target AS ({TARGET})
+SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS in_both, true AS share_as_asked
+FROM target GROUP BY label""",
     "contingency": """
 SELECT o_orderpriority, o_orderstatus, CAST(count(*) AS BIGINT) AS n
 FROM orders GROUP BY o_orderpriority, o_orderstatus""",
@@ -256,6 +270,11 @@ SELECT o_orderkey AS id, o_totalprice AS total_price,
        CAST(index = 2 AS INTEGER)::DOUBLE AS level_2,
        CAST(index = 3 AS INTEGER)::DOUBLE AS level_3
 FROM orders JOIN levels ON o_orderpriority = level""",
+    "logistic_calibration": f"""
+WITH {_features()}, {SPLIT_FEATURES}
+SELECT segment, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives,
+       true AS calibrated
+FROM fit GROUP BY segment""",
     "python_model_score": f"""
 WITH {LINE_SCORES}
 SELECT l_orderkey, l_linenumber, round(1 - p, 6) AS Probs_0, round(p, 6) AS Probs_1

@@ -45,13 +45,15 @@ def train(
     features: DataFrame, *, target: str, key: str, categoricals: list[str] | None = None,
     imputations: list[Impute] | None = None, estimator: str = "logistic", fraction: float = 0.7,
     seed: int = 123, threshold: float = 0.5, handle_invalid: str = "keep",
-    estimator_params: dict | None = None,
+    estimator_params: dict | None = None, split_path: str | None = None,
 ) -> TrainingResult:
     """Split, fit the imputation and the classifier on the training part, grade both parts.
 
-    The split table is written once to the shared folder, so that the joins behind it run once.
+    The split table is written once, to ``split_path`` or the shared folder, so that the joins
+    behind it run once and a lost executor costs a file read.
     """
-    split = stage(split_by_hash(features, key=key, target=target, fraction=fraction, seed=seed))
+    split = stage(split_by_hash(features, key=key, target=target, fraction=fraction, seed=seed),
+                  split_path)
     training = split.filter(F.col(SPLIT) == TRAIN)
     params = fit_imputation(training, imputations) if imputations else None
     filled = split if params is None else apply_imputation(split, params)

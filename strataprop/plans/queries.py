@@ -13,9 +13,15 @@ from strataprop.functions.expressions import at_least
 from strataprop.functions.runtime import shared_folder, stage
 from strataprop.operators import exploration, metrics, splitting
 from strataprop.operators.features import FEATURES, category_index, encoding_stages
-from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
+from strataprop.operators.imputation import (
+    Impute,
+    apply_imputation,
+    fit_imputation,
+    params_from_values,
+)
 from strataprop.operators.joins import equi_join, unique_dimension
-from strataprop.operators.scoring import score_python
+from strataprop.operators.scoring import score, score_python
+from strataprop.operators.training import fit_classifier
 from strataprop.plans import fixtures as fx
 from strataprop.plans import propensity
 from strataprop.sources.artifacts import load_params, save_params
@@ -109,6 +115,27 @@ def impute_stratified_median(spark, sf_dir) -> DataFrame:
     return _imputed(spark, sf_dir, Impute("total_price", "median", "priority", exact=True))
 
 
+def impute_given_values(spark, sf_dir) -> DataFrame:
+    rows = fx.profile_with_nulls(spark, sf_dir)
+    params = params_from_values(
+        rows, {"total_price": {"1-URGENT": 100.0, "5-LOW": 50}}, {"total_price": "priority"})
+    return apply_imputation(rows, params).select("id", "priority", "total_price")
+
+
+def median_sketch_error(spark, sf_dir) -> DataFrame:
+    """The sketched median per stratum, graded by how many values lie below and up to it."""
+    rows = fx.profile_with_nulls(spark, sf_dir)
+    spec = Impute("total_price", "median", "priority")
+    params = fit_imputation(rows, spec).select(F.col("stratum_value").alias("priority"), "value")
+    ranked = equi_join(rows.dropna(), params, "priority").groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("total_price") < F.col("value")).alias("below"),
+        F.count_if(F.col("total_price") <= F.col("value")).alias("up_to"))
+    slack = F.col("n") / spec.accuracy + 1
+    close = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("up_to") >= F.col("n") / 2 - slack)
+    return ranked.select("priority", "n", close.alias("within_bound"))
+
+
 SPECS = [
     Impute("total_price", "mean", "priority"),
     Impute("sum_qty", "mean", "region_id"),
@@ -125,10 +152,14 @@ def imputation_params(spark, sf_dir) -> DataFrame:
     return load_params(spark, path).withColumn("value", F.round("value", 4))
 
 
+def _split_features(spark, sf_dir, nulls: bool = False) -> DataFrame:
+    return splitting.split_by_hash(
+        fx.features(spark, sf_dir, nulls=nulls), key="id", target="label")
+
+
 def _filled(spark, sf_dir) -> DataFrame:
     """The feature table with its split, filled with what the training part says."""
-    split = stage(splitting.split_by_hash(
-        fx.features(spark, sf_dir, nulls=True), key="id", target="label"))
+    split = stage(_split_features(spark, sf_dir, nulls=True))
     return apply_imputation(split, fit_imputation(split.filter(F.col("split") == "train"), SPECS))
 
 
@@ -168,6 +199,20 @@ def split_bernoulli(spark, sf_dir) -> DataFrame:
     return splitting.split_by_sampling(fx.target(spark, sf_dir), key="id", target="label")
 
 
+def split_bernoulli_counts(spark, sf_dir) -> DataFrame:
+    """Per label: rows in either part, keys in both, and whether the share is about the fraction."""
+    train, validation = splitting.train_validation(split_bernoulli(spark, sf_dir))
+    parts = train.withColumn("drawn", F.lit(1)).unionByName(
+        validation.withColumn("drawn", F.lit(0)))
+    per_key = parts.groupBy("id", "label").agg(
+        F.sum("drawn").alias("drawn"), F.count(F.lit(1)).alias("copies"))
+    share = F.avg("drawn")
+    return per_key.groupBy("label").agg(
+        F.sum("copies").alias("n"),
+        F.count_if(F.col("copies") > 1).alias("in_both"),
+        share.between(0.65, 0.75).alias("share_as_asked"))
+
+
 # --- exploration ---------------------------------------------------------------------------
 
 
@@ -237,12 +282,18 @@ def one_hot(spark, sf_dir) -> DataFrame:
 CATEGORICALS = ["priority", "segment"]
 
 
+TRAINING_SPECS = [
+    Impute("total_price", "mean", "priority"), Impute("sum_qty"), Impute("n_lines"),
+    Impute("avg_discount", "mean", "segment", rounded=False),
+    Impute("max_price", "median", "segment"),
+]
+
+
 def _trained(spark, sf_dir, estimator: str, params: dict | None = None):
     return propensity.train(
         fx.features(spark, sf_dir, nulls=True).drop("cust_id", "nation_id", "region_id"),
         target="label", key="id", categoricals=CATEGORICALS, estimator=estimator,
-        imputations=[s for s in SPECS if s.stratum != "region_id"] + [Impute("sum_qty")],
-        estimator_params=params, threshold=0.33)
+        imputations=TRAINING_SPECS, estimator_params=params, threshold=0.33)
 
 
 def logistic_train_metrics(spark, sf_dir) -> DataFrame:
@@ -253,6 +304,19 @@ def gbt_train_metrics(spark, sf_dir) -> DataFrame:
     return _trained(spark, sf_dir, "gbt", {"maxIter": 5}).metrics
 
 
+def logistic_calibration(spark, sf_dir) -> DataFrame:
+    """At the maximum of the likelihood, the mean probability of each level of a one-hot feature
+    equals the share of positives among its training rows."""
+    split = stage(_split_features(spark, sf_dir).filter(F.col("split") == "train").select(
+        "id", "label", "total_price", "acctbal", *CATEGORICALS))
+    model = fit_classifier(split, target="label", key="id", categoricals=CATEGORICALS,
+                           params={"tol": 1e-9, "maxIter": 200})
+    gap = F.abs(F.avg("Probs_1") - F.avg("label"))
+    return score(model, split).groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"),
+        (gap < 1e-3).alias("calibrated"))
+
+
 def pipeline_score(spark, sf_dir) -> DataFrame:
     folder = _new_folder(spark)
     propensity.save_training(_trained(spark, sf_dir, "logistic"), folder)
@@ -288,9 +352,7 @@ def binary_metrics(spark, sf_dir) -> DataFrame:
 
 def metrics_by_sample(spark, sf_dir) -> DataFrame:
     """Long metrics of a rule, with the training and the validation part as samples."""
-    split = splitting.split_by_hash(
-        fx.features(spark, sf_dir), key="id", target="label")
-    graded = split.select(
+    graded = _split_features(spark, sf_dir).select(
         F.concat("split", F.lit("_sample")).alias("sample"), F.col("label").alias("y_true"),
         at_least(F.coalesce("sum_qty", F.lit(0.0)), 100.0).alias("y_pred"))
     long = metrics.metrics_long(metrics.binary_metrics(graded, by="sample"), "sample")
@@ -317,10 +379,13 @@ QUERIES = {
         scan_table, delimited_dimension, feature_table, feature_table_no_target,
         join_composite_key, join_duplicate_dimension, join_first_of_duplicates, join_semi,
         impute_global_mean, impute_global_median, impute_stratified_mean,
-        impute_stratified_median, imputation_params, impute_out_of_sample,
+        impute_stratified_median, impute_given_values, median_sketch_error, imputation_params,
+        impute_out_of_sample,
         split_hash, split_validation_anti, split_union, split_counts, split_bernoulli,
+        split_bernoulli_counts,
         contingency, chi_square, correlation_matrix, box_stats, box_stats_overall, bin_2d,
-        scatter_sample, one_hot, logistic_train_metrics, gbt_train_metrics, pipeline_score,
+        scatter_sample, one_hot, logistic_train_metrics, logistic_calibration, gbt_train_metrics,
+        pipeline_score,
         python_model_score, threshold_metrics, binary_metrics, metrics_by_sample, flagship,
     )
 } | {"category_index": category_levels}

@@ -8,6 +8,7 @@ from strataprop.operators.imputation import (
     apply_imputation,
     fit_imputation,
     imputation_params,
+    params_from_values,
 )
 from strataprop.plans import fixtures as fx
 from strataprop.sources.artifacts import load_params, save_params
@@ -155,3 +156,16 @@ def test_argument_checks(spark, tmp_path):
     save_params(params, str(tmp_path / "p"), "overwrite")
     with pytest.raises(ValueError, match="mode"):
         save_params(params, str(tmp_path / "p"), "append")
+
+
+def test_params_from_known_values(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, 5), (None, 1.0, None)], "s int, x double, y int")
+    params = params_from_values(df, {"x": {1: 2.5, 2: 7, None: 9.0}, "y": 3}, {"x": "s"})
+    assert rows(apply_imputation(df, params)) == [(None, 1.0, 3.0), (1, 2.5, 3.0), (2, 7.0, 5.0)]
+    for wrong in (True, "4", [1]):
+        with pytest.raises(TypeError):
+            params_from_values(df, {"x": wrong})
+    with pytest.raises(ValueError, match="nested"):
+        params_from_values(df, {"x": {1: 2.0}})
+    with pytest.raises(ValueError, match="no column"):
+        params_from_values(df, {"x": {1: 2.0}}, {"x": "z"})
