@@ -7,6 +7,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataprop.functions.expressions import column
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
@@ -24,15 +26,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, path: str | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Write a result once and read it back.
 
     This cuts the lineage, survives the loss of executors, and gives Catalyst the true
-    size of the table, so that small lookups are broadcast by its own size check.
+    size of the table, so that small lookups are broadcast by its own size check. A column of
+    few values in ``partition_by`` lets later filters on it skip whole files.
     """
     path = path or f"{shared_folder(df.sparkSession).rstrip('/')}/staged-{uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.mode("error")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged.select(*[column(c) for c in df.columns])
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -17,7 +17,7 @@ from strataprop.functions.chi_square_tail import chi_square_p_value
 from strataprop.functions.expressions import column, numeric
 from strataprop.functions.runtime import stage
 from strataprop.operators.joins import equi_join
-from strataprop.operators.quantiles import exact_quantiles
+from strataprop.operators.quantiles import exact_quantiles, with_group_values
 
 # Above this many columns the pairs no longer fit one generated aggregate well.
 PAIRWISE_COLUMNS = 16
@@ -151,7 +151,7 @@ def box_stats(
     inside = F.col("v").between(F.col("low_fence"), F.col("high_fence"))
     fences = boxes.select("grp", "low_fence", "high_fence")
     whiskers = (
-        equi_join(rows.filter(F.col("v").isNotNull()), fences, "grp", "inner", spread_by=["v"])
+        with_group_values(rows.filter(F.col("v").isNotNull()), fences, bool(groups))
         .groupBy("grp")
         .agg(F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
              F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),

@@ -33,6 +33,20 @@ def _rank(prob: float, kind: str) -> tuple[Column, Column, Column]:
     return F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
 
 
+def with_group_values(rows: DataFrame, lookup: DataFrame, grouped: bool) -> DataFrame:
+    """Attach the columns of ``lookup`` to the rows of its groups ``grp``.
+
+    Without groups the lookup has a single row, whose values become literals.
+    """
+    if grouped:
+        return equi_join(rows, lookup, "grp", "inner", spread_by=["v"])
+    only = lookup.first()
+    return rows.withColumns({
+        f.name: F.lit(None if only is None else only[f.name]).cast(f.dataType)
+        for f in lookup.schema if f.name != "grp"
+    })
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -92,7 +106,7 @@ def exact_quantiles(
             clipped = clipped.when(v < F.col(f"lo_{i + 1}"), F.col(f"hi_{i}"))
     clipped = clipped.otherwise(F.col(f"hi_{k - 1}"))
     candidates = (
-        equi_join(rows.filter(v.isNotNull()), brackets, "grp", "inner", spread_by=["v"])
+        with_group_values(rows.filter(v.isNotNull()), brackets, bool(by))
         .groupBy("grp", clipped.alias("candidate"))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n"))
     )

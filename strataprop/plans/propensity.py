@@ -50,10 +50,11 @@ def train(
     """Split, fit the imputation and the classifier on the training part, grade both parts.
 
     The split table is written once, to ``split_path`` or the shared folder, so that the joins
-    behind it run once and a lost executor costs a file read.
+    behind it run once and a lost executor costs a file read; the fit reads the files of the
+    training part only.
     """
     split = stage(split_by_hash(features, key=key, target=target, fraction=fraction, seed=seed),
-                  split_path)
+                  split_path, partition_by=SPLIT)
     training = split.filter(F.col(SPLIT) == TRAIN)
     params = fit_imputation(training, imputations) if imputations else None
     filled = split if params is None else apply_imputation(split, params)

@@ -159,7 +159,7 @@ def _split_features(spark, sf_dir, nulls: bool = False) -> DataFrame:
 
 def _filled(spark, sf_dir) -> DataFrame:
     """The feature table with its split, filled with what the training part says."""
-    split = stage(_split_features(spark, sf_dir, nulls=True))
+    split = stage(_split_features(spark, sf_dir, nulls=True), partition_by="split")
     return apply_imputation(split, fit_imputation(split.filter(F.col("split") == "train"), SPECS))
 
 

@@ -7,6 +7,7 @@ from conftest import SF_DIR
 from helpers import plan, rows, shuffles
 from pyspark.sql import functions as F
 
+from strataprop.functions.runtime import stage
 from strataprop.operators import exploration, joins, metrics, splitting
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
 from strataprop.operators.quantiles import exact_quantiles
@@ -117,3 +118,17 @@ def test_hot_group_is_salted_in_exact_quantiles(spark, no_broadcast, eager_salti
     assert rows(got.select("g", F.col("quantiles")[0])) == rows(want)
     boxes = exploration.box_stats(df, "x", "g")
     assert joins.SALT in plan(boxes) and boxes.count() == 41 and boxes.agg(F.sum("n")).first()[0] == 9000
+
+
+def test_training_reads_only_the_files_of_its_part(spark):
+    split = splitting.split_by_hash(fx.target(spark, SF_DIR), key="id", target="label")
+    staged = stage(split, partition_by="split")
+    assert rows(staged) == rows(split) and staged.columns == split.columns
+    train = staged.filter("split = 'train'")
+    assert "PartitionFilters: [isnotnull(split" in plan(train)
+
+
+def test_overall_quantiles_need_no_join_with_the_rows(spark):
+    quantiles = exact_quantiles(fx.profile(spark, SF_DIR), "total_price", [0.5])
+    # The one join left is between two tables of one row per group.
+    assert plan(quantiles).count("Join ") == 1
