@@ -19,6 +19,7 @@ from strataprop.functions.expressions import column
 from strataprop.functions.runtime import fits_broadcast, shuffle_partitions
 
 SALT = "__salt"
+RIGHT_SALT = "__right_salt"
 # Join types whose result does not change when left rows are spread over copies of the right rows.
 SPREADABLE = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi",
               "left_anti", "leftanti", "anti")
@@ -105,7 +106,8 @@ def find_hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) ->
 
 
 def add_salt(
-    df: DataFrame, on: list[str], hot: HotKeys, spread_by: list[str] | None = None
+    df: DataFrame, on: list[str], hot: HotKeys, spread_by: list[str] | None = None,
+    name: str = SALT,
 ) -> DataFrame:
     """Spread the rows of hot keys, and rows with a null key, over salt values.
 
@@ -117,18 +119,20 @@ def add_salt(
     salt = F.when(_any_null(on), F.pmod(spread, F.lit(hot.null_salts)))
     if hot.hashes:
         salt = salt.when(_hash(df, on).isin(list(hot.hashes)), F.pmod(spread, F.lit(hot.salts)))
-    return df.withColumn(SALT, salt.otherwise(F.lit(0)).cast("int"))
+    return df.withColumn(name, salt.otherwise(F.lit(0)).cast("int"))
 
 
-def add_all_salts(df: DataFrame, on: list[str], hot: HotKeys) -> DataFrame:
+def add_all_salts(
+    df: DataFrame, on: list[str], hot: HotKeys, name: str = SALT
+) -> DataFrame:
     """Give the rows of hot keys one copy per salt value. Null keys match nothing and are left out."""
     df = df.filter(~_any_null(on))
     if not hot.hashes:
-        return df.withColumn(SALT, F.lit(0))
+        return df.withColumn(name, F.lit(0))
     salts = F.when(
         _hash(df, on).isin(list(hot.hashes)), F.sequence(F.lit(0), F.lit(hot.salts - 1))
     ).otherwise(F.array(F.lit(0)))
-    return df.withColumn(SALT, F.explode(salts))
+    return df.withColumn(name, F.explode(salts))
 
 
 def equi_join(
@@ -140,6 +144,7 @@ def equi_join(
     hot: HotKeys | None = None,
     spread_by: list[str] | None = None,
     hot_rows: int | None = None,
+    repeated_right: bool = False,
 ) -> DataFrame:
     """Join on shared column names; the key appears once in the result.
 
@@ -148,6 +153,7 @@ def equi_join(
     match nothing. Repeated right keys repeat left rows.
 
     ``hot`` passes hot keys that are already known, which saves the pass that looks for them.
+    ``repeated_right`` also looks for keys with very many rows on the right and spreads those.
     """
     require_dataframe(left, "left")
     require_dataframe(right, "right")
@@ -157,14 +163,39 @@ def equi_join(
     if how in FILTERING:
         right = right.select(*[column(c) for c in on]).distinct()
     spreadable = how in SPREADABLE and _comparable(left, right, on)
-    if hot is None and spreadable and not fits_broadcast(right):
+    shuffled = not fits_broadcast(right)
+    if hot is None and spreadable and shuffled:
         hot = find_hot_keys(left, on, hot_rows)
+    if repeated_right and spreadable and shuffled and how not in FILTERING:
+        right_hot = find_hot_keys(right, on, hot_rows)
+        if right_hot.hashes:
+            return _spread_both(left, right, on, how, hot, right_hot, spread_by)
     if not (spreadable and hot):
         return left.join(right, on, how)
     salted, copies = add_salt(left, on, hot, spread_by), add_all_salts(right, on, hot)
     return salted.join(copies, [*on, SALT], how).drop(SALT)
 
 
+def _spread_both(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, left_hot: HotKeys,
+    right_hot: HotKeys, spread_by: list[str] | None,
+) -> DataFrame:
+    """Hot right rows are spread too, over copies of the left rows of their keys.
+
+    A copied left row may miss its matches in one piece and find them in another, so the rows
+    without any match are told apart by an anti-join.
+    """
+    salted = add_salt(left.filter(~_any_null(on)), on, left_hot, spread_by)
+    salted = add_all_salts(salted, on, right_hot, RIGHT_SALT)
+    copies = add_salt(right.filter(~_any_null(on)), on, right_hot, name=RIGHT_SALT)
+    copies = add_all_salts(copies, on, left_hot)
+    matched = salted.join(copies, [*on, SALT, RIGHT_SALT], "inner").drop(SALT, RIGHT_SALT)
+    if how == "inner":
+        return matched
+    unmatched = equi_join(left, right, on, "left_anti", hot=left_hot, spread_by=spread_by)
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def unique_dimension(
     dimension: DataFrame, key: str, on_duplicate: str = "keep", order: list[str] | None = None
 ) -> DataFrame:
@@ -207,9 +238,13 @@ def feature_table(
     on_duplicate: str = "keep",
     dim_order: list[str] | None = None,
     hot_rows: int | None = None,
+    repeated: bool = False,
 ) -> DataFrame:
     """One wide row per profile row: profile, performance, dimension and, if given, the target.
 
+    ``repeated`` says that performance or target may hold very many rows of one key, each of
+    which repeats the profile row. Pre-aggregated tables do not need it.
+
     Left joins on different keys commute, so the entity joins come first and share one shuffle
     of the profile table; the dimension is attached last, by broadcast when it is small.
     """
@@ -229,11 +264,15 @@ def feature_table(
     shuffled = any(not fits_broadcast(right) for _, right in entities)
     comparable = all(_comparable(profile, right, on) for _, right in entities)
     hot = find_hot_keys(profile, on, hot_rows) if shuffled and comparable else None
-    wide = add_salt(profile, on, hot) if hot else profile
+    share_salt = bool(hot) and not repeated
+    wide = add_salt(profile, on, hot) if share_salt else profile
     for name, right in entities:
         require_disjoint(wide, right, on, name)
-        if hot:
+        if share_salt:
             wide = wide.join(add_all_salts(right, on, hot), [*on, SALT], "left")
+        elif repeated:
+            wide = equi_join(wide, right, on, "left", hot=hot, hot_rows=hot_rows,
+                             repeated_right=True)
         else:
             wide = wide.join(right, on, "left")
     wide = wide.drop(SALT)

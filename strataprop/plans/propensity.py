@@ -29,16 +29,17 @@ class TrainingResult:
 
 def build_features(
     spark: SparkSession, *, profile, performance, dimension, target=None, key: str, dim_key: str,
-    on_duplicate: str = "keep", dim_order: list[str] | None = None,
+    on_duplicate: str = "keep", dim_order: list[str] | None = None, repeated: bool = False,
 ) -> DataFrame:
     """The feature table from table names, Parquet paths or DataFrames.
 
-    Without ``target`` it is the table that new rows are scored from.
+    Without ``target`` it is the table that new rows are scored from. The other arguments are
+    those of ``feature_table``.
     """
     sources = [read_table(spark, s) for s in (profile, performance, dimension)]
     labels = None if target is None else read_table(spark, target)
     return feature_table(*sources, labels, key=key, dim_key=dim_key,
-                         on_duplicate=on_duplicate, dim_order=dim_order)
+                         on_duplicate=on_duplicate, dim_order=dim_order, repeated=repeated)
 
 
 def train(

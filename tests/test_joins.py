@@ -38,6 +38,36 @@ def test_spread_join_repeats_rows_for_repeated_right_keys(spark, no_broadcast):
     assert rows(spread) == rows(left.join(right, ["k"], "left"))
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("left_is_hot", [False, True])
+def test_hot_keys_on_the_right_are_spread(spark, no_broadcast, how, left_is_hot):
+    right = skewed(spark, 2400).withColumnRenamed("i", "v")
+    left = spark.range(600).withColumnRenamed("id", "i").withColumn("k", F.col("i") % 600)
+    if left_is_hot:
+        left = left.withColumn("k", F.when(F.col("i") < 200, 9).when(F.col("i") < 300, None).otherwise(F.col("i")))
+        right = right.withColumn("k", F.when(F.col("k") == 9, 10).otherwise(F.col("k")))
+        right = right.unionByName(spark.createDataFrame([(-1, 9), (-2, 9)], "v bigint, k bigint").select("v", "k"))
+    spread = joins.equi_join(left, right, "k", how, hot_rows=80, repeated_right=True)
+    assert joins.RIGHT_SALT in plan(spread)
+    plain = left.join(right, "k", how)
+    assert set(spread.columns) == set(plain.columns)
+    assert rows(spread.select(plain.columns)) == rows(plain)
+
+
+def test_feature_table_over_a_performance_table_with_a_hot_key(spark, no_broadcast):
+    profile = fx.profile(spark, SF_DIR)
+    lines = fx.table(spark, SF_DIR, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, 11).otherwise(F.col("l_orderkey")).alias("id"),
+        "l_quantity", F.monotonically_increasing_id().alias("n"))
+    wide = joins.feature_table(
+        profile, lines, fx.dimension(spark, SF_DIR), fx.target(spark, SF_DIR), key="id",
+        dim_key="cust_id", hot_rows=200, repeated=True)
+    assert joins.RIGHT_SALT in plan(wide)
+    plain = (profile.join(lines, "id", "left").join(fx.dimension(spark, SF_DIR), "cust_id", "left")
+             .join(fx.target(spark, SF_DIR), "id", "left").select(wide.columns))
+    assert rows(wide) == rows(plain)
+
+
 def test_hot_key_reaches_many_tasks(spark, no_broadcast):
     left = skewed(spark, 60_000)
     hot = joins.find_hot_keys(left, ["k"], hot_rows=500)
