@@ -111,11 +111,15 @@ def add_salt(
 ) -> DataFrame:
     """Spread the rows of hot keys, and rows with a null key, over salt values.
 
-    The salt depends on the number of the input partition and on the ``spread_by`` columns. Both
-    stay the same when a lost task runs again, and identical rows still spread. ``spread_by``
-    is needed only where the input is already partitioned by the join key.
+    The salt depends on the number of the input partition and on the ``spread_by`` columns, by
+    default the first other column, so that no more than one extra column is read. Both stay the
+    same when a lost task runs again, and identical rows of different partitions still spread.
     """
-    spread = F.xxhash64(F.spark_partition_id(), *[column(c) for c in spread_by or []])
+    if spread_by is None:
+        spread_by = [f.name for f in df.schema if f.name not in on
+                     and isinstance(f.dataType, T.AtomicType)
+                     and not isinstance(f.dataType, T.VariantType)][:1]
+    spread = F.xxhash64(F.spark_partition_id(), *[column(c) for c in spread_by])
     salt = F.when(_any_null(on), F.pmod(spread, F.lit(hot.null_salts)))
     if hot.hashes:
         salt = salt.when(_hash(df, on).isin(list(hot.hashes)), F.pmod(spread, F.lit(hot.salts)))
@@ -265,7 +269,8 @@ def feature_table(
     comparable = all(_comparable(profile, right, on) for _, right in entities)
     hot = find_hot_keys(profile, on, hot_rows) if shuffled and comparable else None
     share_salt = bool(hot) and not repeated
-    wide = add_salt(profile, on, hot) if share_salt else profile
+    spread_by = [dim_key] if dim_key in profile.columns else None
+    wide = add_salt(profile, on, hot, spread_by) if share_salt else profile
     for name, right in entities:
         require_disjoint(wide, right, on, name)
         if share_salt:
