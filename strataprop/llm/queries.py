@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.quality import repetition_quality
 from strataprop.llm.sharding import shard_records
 
@@ -17,8 +18,12 @@ def op2_quality_rules(spark, sf_dir) -> DataFrame:
     return repetition_quality(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard_join(spark, sf_dir) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark, sf_dir) -> DataFrame:
     return shard_records(_table(spark, sf_dir, "documents")).withColumn("law", F.lit("key"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op5_ngram_jaccard_join, op9_sharding)}

@@ -1,45 +1,51 @@
-"""Count vectors of a fixed length that many tasks fill and Spark adds up."""
+"""Vectors of a fixed length that many tasks fill and Spark combines."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Counts in one row, so that a row has 32 KB.
-SLICE = 4096
-#: Rows of one slice that one group adds up.
+#: Bytes in one row.
+SLICE = 1 << 15
+#: Rows of one slice that one group combines.
 FAN_IN = 256
-SCHEMA = "task long, slice long, counts binary"
+SCHEMA = "task long, slice long, bytes binary"
 
 
-def vector_rows(task: int, counts: np.ndarray) -> pa.RecordBatch:
-    """One task's counts as rows, all-zero slices left out."""
-    parts = counts.astype(np.int64).reshape(-1, SLICE)
+def vector_rows(task: int, vector: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One task's vector as rows, all-zero slices left out."""
+    parts = vector.view(np.uint8).reshape(-1, SLICE)
     used = np.flatnonzero(parts.any(axis=1))
-    return pa.RecordBatch.from_pydict({
-        "task": pa.array([task] * len(used), pa.int64()), "slice": pa.array(used, pa.int64()),
-        "counts": pa.array([parts[k].tobytes() for k in used], pa.binary())})
-
-
-def _added(rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(SLICE, np.int64)
-    for counts in rows["counts"]:
-        total += np.frombuffer(counts, np.int64)
-    return pd.DataFrame({"task": [rows["task"].min() // FAN_IN], "slice": [rows["slice"].iloc[0]],
-                         "counts": [total.tobytes()]})
+    for lo in range(0, len(used), 64):
+        some = used[lo : lo + 64]
+        yield pa.RecordBatch.from_pydict({
+            "task": pa.array([task] * len(some), pa.int64()), "slice": pa.array(some, pa.int64()),
+            "bytes": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
 
-def total_vector(rows: DataFrame, length: int) -> np.ndarray:
-    """The sum of all tasks' vectors, on the driver: its size is ``length``, whatever the input.
+def combined(rows: DataFrame, length: int, dtype=np.int64) -> np.ndarray:
+    """All tasks' vectors together, on the driver: numbers are added, bytes are or-ed.
 
-    Two levels of groups, so that no group holds more than FAN_IN rows or a FAN_IN-th of the tasks.
+    The result has ``length`` numbers whatever the input. Two levels of groups, so that no group
+    holds more than FAN_IN rows or a FAN_IN-th of the tasks.
     """
-    fan_in = F.expr(f"task div {FAN_IN}")
-    first = rows.groupBy("slice", fan_in.alias("part")).applyInPandas(_added, SCHEMA)
-    total = np.zeros(length, np.int64)
-    for row in first.groupBy("slice").applyInPandas(_added, SCHEMA).collect():
-        total[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.int64)
-    return total
+    combine = np.bitwise_or if dtype is np.uint8 else np.add
+
+    def together(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(SLICE // np.dtype(dtype).itemsize, dtype)
+        for part in group["bytes"]:
+            combine(total, np.frombuffer(part, dtype), out=total)
+        return pd.DataFrame({"task": [group["task"].min() // FAN_IN],
+                             "slice": [group["slice"].iloc[0]], "bytes": [total.tobytes()]})
+
+    part = F.expr(f"task div {FAN_IN}").alias("part")
+    first = rows.groupBy("slice", part).applyInPandas(together, SCHEMA)
+    total = np.zeros(length * np.dtype(dtype).itemsize, np.uint8).reshape(-1, SLICE)
+    for row in first.groupBy("slice").applyInPandas(together, SCHEMA).collect():
+        total[row["slice"]] = np.frombuffer(row["bytes"], np.uint8)
+    return total.reshape(-1).view(dtype)
