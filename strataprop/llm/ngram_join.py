@@ -28,9 +28,9 @@ from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
 from strataprop.llm.vectors import combined, vector_rows
 from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
 
-#: Cells of the count sketch that orders the elements (16 MB in each worker).
+#: Cells of the count sketch that orders the elements (16 MB in each worker, 4 MB from each task).
 SKETCH_BITS = 21
-#: Bits of the filter that tells which classes share a prefix element (8 MB in each worker).
+#: Bits of the filter that tells which rows' sets are compared (8 MB in each worker).
 FILTER_BITS = 26
 #: Rows of one prefix element for one task; an element that the sketch puts above it is salted.
 HOT_ROWS = 20_000
@@ -86,6 +86,7 @@ def _class_rows(docs: DataFrame, n: int) -> DataFrame:
             empty = [pa.nulls(len(sizes), t) for t in (pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), *empty], names)
+        cells = np.minimum(cells, 65_535).astype(np.uint16)  # only the order of elements depends on it
         for part in vector_rows(TaskContext.get().partitionId(), cells) if kind else ():
             none = pa.nulls(len(part), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.nulls(len(part), kind), none, none, *part.columns], names)
@@ -171,32 +172,36 @@ def _may_link(place: str, other: str, t: Fraction) -> Column:
     return most * F.lit(p + q) >= (size + size2) * F.lit(p)
 
 
-def _members(docs: DataFrame, n: int, classes: DataFrame) -> DataFrame:
-    """The sets of the given classes, each once: class, size, parts (for the suffix filter), grams."""
+def _members(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame) -> DataFrame:
+    """The sets of the given classes, each once: class, size, parts (for the suffix filter), grams.
+
+    ``docs`` has a hash of each row's key and its text; ``holders`` gives one such hash per class. A
+    filter of fixed size over the hashes lets only few other rows be taken apart again.
+    """
     spark = docs.sparkSession
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
         for batch in batches:
-            cells = _cells(batch.column(0).to_numpy().view(np.int64), FILTER_BITS)
+            cells = _cells(batch.column(0).to_numpy(), FILTER_BITS)
             np.bitwise_or.at(bits, cells >> 3, (1 << (cells & 7)).astype(np.uint8))
         yield from vector_rows(TaskContext.get().partitionId(), bits)
 
-    bits = combined(classes.mapInArrow(mark, VECTOR_SCHEMA), 1 << FILTER_BITS - 3, np.uint8)
-    wanted = spark.sparkContext.broadcast(bits)
+    marked = holders.join(classes, "class", "left_semi").select("row").mapInArrow(mark, VECTOR_SCHEMA)
+    wanted = spark.sparkContext.broadcast(combined(marked, 1 << FILTER_BITS - 3, np.uint8))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
         for batch in batches:
+            cells = _cells(batch.column(0).to_numpy(), FILTER_BITS)
+            texts = batch.column(1).filter(pa.array((bits[cells >> 3] >> (cells & 7) & 1).astype(bool)))
             ids, parts, grams = [], [], []
-            for found in _sets(batch.column(1), n):
-                if not len(found) or (name := _class_of(found)) in seen:
-                    continue
-                cell = int(_cells(np.array([name], np.int64), FILTER_BITS)[0])
-                if bits[cell >> 3] >> (cell & 7) & 1:
+            for found in _sets(texts, n):
+                if len(found) and (name := _class_of(found)) not in seen:
                     seen.add(name)
                     ids.append(name)
-                    parts.append(np.bincount((found.view(np.uint64) >> np.uint64(60)).astype(np.int64), minlength=PARTS))
+                    top = (found.view(np.uint64) >> np.uint64(60)).astype(np.int64)
+                    parts.append(np.bincount(top, minlength=PARTS))
                     grams.append(found)
                 if len(ids) >= 500:
                     yield _member_batch(ids, parts, grams)
@@ -215,8 +220,11 @@ def _member_batch(ids, parts, grams) -> pa.RecordBatch:
         ["class", "size", "parts", "grams"])
 
 
-def _verified(pairs: DataFrame, members: DataFrame, t: Fraction) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, holders: DataFrame, t: Fraction) -> DataFrame:
     """Pairs a, b that the suffix filter leaves, each with whether its similarity is t or more."""
+    pairs = stage(pairs)
+    members = _members(docs, n, holders, pairs.select("a").union(pairs.select("b")).distinct().select(
+        F.col("a").alias("class")))
     p, q = t.numerator, t.denominator
     short = {x: members.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"),
                                F.col("parts").alias(f"parts_{x}")) for x in "ab"}
@@ -270,7 +278,9 @@ def near_duplicates(
     met = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "class")
                 .mapInArrow(_meetings, "token long, salt long, class long, place long, hub long, "
                                        "hub_place long"))
-    members = _members(docs, n, met.select("class").distinct())
+    holders = stage(rows.filter("class is not null").groupBy("class").agg(
+        F.min(F.xxhash64(key)).alias("row"), F.min(key).alias("low")))
+    hashed = docs.select(F.xxhash64(key).alias("row"), text)
 
     salted = met.filter("salt > 0 and class = hub")
     over = salted.groupBy("token").agg(F.min_by(F.struct("class", "place"), "class").alias("hub"))
@@ -279,7 +289,7 @@ def near_duplicates(
     stars = met.select("class", "place", "hub", "hub_place").union(of_hubs)
     pairs = stars.filter("class <> hub").filter(_may_link("place", "hub_place", t)).select(
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
-    known = _verified(pairs, members, t)
+    known = _verified(pairs, hashed, n, holders, t)
     edges = known.filter("linked").select("a", "b")
     roots = components(edges)
 
@@ -296,12 +306,11 @@ def near_duplicates(
                     & (one["root"] != F.col("root2")) & _may_link("place", "place2", t))
     rest = rest.select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct().join(
         known.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verified(rest, members, t).filter("linked").select("a", "b")
+    more = _verified(rest, hashed, n, holders, t).filter("linked").select("a", "b")
     if more.limit(1).count():
         roots = components(edges.union(more))
 
-    lowest = rows.filter("class is not null").groupBy("class").agg(F.min(key).alias("low"))
-    under = stage(lowest.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+    under = stage(holders.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
     named = under.join(under.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(
         F.col("class").alias("of_class"), "component_id")

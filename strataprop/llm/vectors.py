@@ -28,24 +28,26 @@ def vector_rows(task: int, vector: np.ndarray) -> Iterator[pa.RecordBatch]:
             "bytes": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
 
-def combined(rows: DataFrame, length: int, dtype=np.int64) -> np.ndarray:
-    """All tasks' vectors together, on the driver: numbers are added, bytes are or-ed.
+def combined(rows: DataFrame, length: int, dtype=np.uint16) -> np.ndarray:
+    """All tasks' vectors together, on the driver: counts are added (as int64), bytes are or-ed.
 
-    The result has ``length`` numbers whatever the input. Two levels of groups, so that no group
-    holds more than FAN_IN rows or a FAN_IN-th of the tasks.
+    ``dtype`` is the tasks' own. The result has ``length`` numbers whatever the input. Two levels of
+    groups, so that no group holds more than FAN_IN rows or a FAN_IN-th of the tasks.
     """
-    combine = np.bitwise_or if dtype is np.uint8 else np.add
+    small = np.dtype(dtype)
+    wide, combine = (small, np.bitwise_or) if small == np.uint8 else (np.dtype(np.int64), np.add)
 
-    def together(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SLICE // np.dtype(dtype).itemsize, dtype)
+    def together(group: pd.DataFrame, kind: np.dtype) -> pd.DataFrame:
+        total = np.zeros(SLICE // small.itemsize, wide)
         for part in group["bytes"]:
-            combine(total, np.frombuffer(part, dtype), out=total)
+            combine(total, np.frombuffer(part, kind), out=total)
         return pd.DataFrame({"task": [group["task"].min() // FAN_IN],
                              "slice": [group["slice"].iloc[0]], "bytes": [total.tobytes()]})
 
     part = F.expr(f"task div {FAN_IN}").alias("part")
-    first = rows.groupBy("slice", part).applyInPandas(together, SCHEMA)
-    total = np.zeros(length * np.dtype(dtype).itemsize, np.uint8).reshape(-1, SLICE)
-    for row in first.groupBy("slice").applyInPandas(together, SCHEMA).collect():
-        total[row["slice"]] = np.frombuffer(row["bytes"], np.uint8)
-    return total.reshape(-1).view(dtype)
+    first = rows.groupBy("slice", part).applyInPandas(lambda group: together(group, small), SCHEMA)
+    all_parts = first.groupBy("slice").applyInPandas(lambda group: together(group, wide), SCHEMA)
+    total = np.zeros(length, wide).reshape(-1, SLICE // small.itemsize)
+    for row in all_parts.collect():
+        total[row["slice"]] = np.frombuffer(row["bytes"], wide)
+    return total.reshape(-1)
