@@ -5,25 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.quality import repetition_quality
 from strataprop.llm.sharding import shard_records
+from strataprop.llm.toxicity import score_toxicity
+from strataprop.llm.url_filter import filter_urls
+from strataprop.llm.warc import archive_round_trip
+
+#: The rules of the url query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark, sf_dir) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return filter_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 def op2_quality_rules(spark, sf_dir) -> DataFrame:
     return repetition_quality(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir) -> DataFrame:
+    return identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark, sf_dir) -> DataFrame:
     return shard_records(_table(spark, sf_dir, "documents")).withColumn("law", F.lit("key"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op5_ngram_jaccard_join, op9_sharding)}
+def op10_warc(spark, sf_dir) -> DataFrame:
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join, op8_toxicity,
+    op9_sharding, op10_warc)}
