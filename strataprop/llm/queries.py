@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
+from strataprop.llm.packing import pack
 from strataprop.llm.quality import repetition_quality
 from strataprop.llm.sharding import shard_records
 from strataprop.llm.toxicity import score_toxicity
@@ -17,6 +19,9 @@ from strataprop.llm.warc import archive_round_trip
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
+#: A vocabulary file that every executor has.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,6 +44,10 @@ def op5_ngram_jaccard_join(spark, sf_dir) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark, sf_dir) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op8_toxicity(spark, sf_dir) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,5 +61,5 @@ def op10_warc(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join, op8_toxicity,
-    op9_sharding, op10_warc)}
+    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join, op7_packing,
+    op8_toxicity, op9_sharding, op10_warc)}
