@@ -25,13 +25,11 @@ from pyspark.sql import functions as F
 from strataprop.functions.runtime import stage
 from strataprop.llm.components import components
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
-from strataprop.llm.vectors import combined, vector_rows
+from strataprop.llm.vectors import cells, combined, marked, marks, vector_rows
 from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
 
 #: Cells of the count sketch that orders the elements (16 MB in each worker, 4 MB from each task).
 SKETCH_BITS = 21
-#: Bits of the filter that tells which rows' sets are compared (8 MB in each worker).
-FILTER_BITS = 26
 #: Rows of one prefix element for one task; an element that the sketch puts above it is salted.
 HOT_ROWS = 20_000
 #: Parts of the hash space that the suffix filter compares.
@@ -65,16 +63,12 @@ def _class_of(found: np.ndarray) -> int:
     return int(mix(sums[:1] * np.uint64(3) ^ sums[1:]).view(np.int64)[0])
 
 
-def _cells(values: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(values.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def _class_rows(docs: DataFrame, n: int) -> DataFrame:
     """Set size and class of each row, and, as rows of another kind, the counts for the sketch."""
     names = [docs.columns[0], "n_shingles", "class", "task", "slice", "bytes"]
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -82,12 +76,12 @@ def _class_rows(docs: DataFrame, n: int) -> DataFrame:
             for found in _sets(batch.column(1), n):
                 sizes.append(len(found))
                 ids.append(_class_of(found) if len(found) else None)
-                np.add.at(cells, _cells(found, SKETCH_BITS), 1)
+                np.add.at(counts, cells(found, SKETCH_BITS), 1)
             empty = [pa.nulls(len(sizes), t) for t in (pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), *empty], names)
-        cells = np.minimum(cells, 65_535).astype(np.uint16)  # only the order of elements depends on it
-        for part in vector_rows(TaskContext.get().partitionId(), cells) if kind else ():
+        counts = np.minimum(counts, 65_535).astype(np.uint16)  # only the order of elements depends on it
+        for part in vector_rows(TaskContext.get().partitionId(), counts) if kind else ():
             none = pa.nulls(len(part), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.nulls(len(part), kind), none, none, *part.columns], names)
 
@@ -110,7 +104,7 @@ def _prefix_rows(docs: DataFrame, n: int, t: Fraction, sketch) -> DataFrame:
                 seen.add(name)
                 size = len(found)
                 length = size + (-size * t.numerator) // t.denominator + 1
-                rank = counts[_cells(found, SKETCH_BITS)]
+                rank = counts[cells(found, SKETCH_BITS)]
                 # the set is sorted by hash, so a stable sort by count breaks ties by hash
                 first = np.argsort(rank, kind="stable")[:length]
                 tokens.append(found[first])
@@ -180,21 +174,13 @@ def _members(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame) ->
     """
     spark = docs.sparkSession
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-        for batch in batches:
-            cells = _cells(batch.column(0).to_numpy(), FILTER_BITS)
-            np.bitwise_or.at(bits, cells >> 3, (1 << (cells & 7)).astype(np.uint8))
-        yield from vector_rows(TaskContext.get().partitionId(), bits)
-
-    marked = holders.join(classes, "class", "left_semi").select("row").mapInArrow(mark, VECTOR_SCHEMA)
-    wanted = spark.sparkContext.broadcast(combined(marked, 1 << FILTER_BITS - 3, np.uint8))
+    rows = holders.join(classes, "class", "left_semi").select("row")
+    wanted = spark.sparkContext.broadcast(marks(rows))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
         for batch in batches:
-            cells = _cells(batch.column(0).to_numpy(), FILTER_BITS)
-            texts = batch.column(1).filter(pa.array((bits[cells >> 3] >> (cells & 7) & 1).astype(bool)))
+            texts = batch.column(1).filter(pa.array(marked(bits, batch.column(0).to_numpy())))
             ids, parts, grams = [], [], []
             for found in _sets(texts, n):
                 if len(found) and (name := _class_of(found)) not in seen:

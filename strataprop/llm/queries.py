@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.packing import pack
@@ -44,6 +45,10 @@ def op5_ngram_jaccard_join(spark, sf_dir) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark, sf_dir) -> DataFrame:
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark, sf_dir) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -61,5 +66,5 @@ def op10_warc(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join, op7_packing,
-    op8_toxicity, op9_sharding, op10_warc)}
+    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join,
+    op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc)}

@@ -7,13 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataprop.llm.words import mix
+
 #: Bytes in one row.
 SLICE = 1 << 15
 #: Rows of one slice that one group combines.
 FAN_IN = 256
+#: Bits of a filter over 64-bit hashes (8 MB).
+FILTER_BITS = 26
 SCHEMA = "task long, slice long, bytes binary"
 
 
@@ -51,3 +56,28 @@ def combined(rows: DataFrame, length: int, dtype=np.uint16) -> np.ndarray:
     for row in all_parts.collect():
         total[row["slice"]] = np.frombuffer(row["bytes"], wide)
     return total.reshape(-1)
+
+
+def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The cell of each 64-bit hash among 2^bits."""
+    return (mix(hashes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def marks(hashes: DataFrame) -> np.ndarray:
+    """A filter of fixed size over the one column of 64-bit hashes, on the driver.
+
+    It passes every hash given, and others by chance: the more are given, the more.
+    """
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+        for batch in batches:
+            own = cells(batch.column(0).to_numpy(), FILTER_BITS)
+            np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
+        yield from vector_rows(TaskContext.get().partitionId(), bits)
+
+    return combined(hashes.mapInArrow(mark, SCHEMA), 1 << FILTER_BITS - 3, np.uint8)
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    own = cells(hashes, FILTER_BITS)
+    return (bits[own >> 3] >> (own & 7) & 1).astype(bool)
