@@ -6,7 +6,7 @@ share nothing with any other. The order is by a count sketch of fixed size over
 the element's hash; any order is right, and a truer count only makes it cheaper.
 
 Equal sets are one class, and classes are compared, not rows. Classes that share a prefix element
-are first compared with one hub of that element only; the links found collapse groups of copies
+are first compared with one hub of that element only, the one with the fewest rarer elements; the links found collapse groups of copies
 into components. What is left are elements that still meet in two components: only their pairs
 across components are compared, each once. A pair inside one component cannot change the result.
 """
@@ -19,7 +19,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
@@ -32,8 +32,8 @@ from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
 SKETCH_BITS = 21
 #: Rows of one prefix element for one task; an element that the sketch puts above it is salted.
 HOT_ROWS = 20_000
-#: Parts of the hash space that the suffix filter compares.
-PARTS = 16
+#: Parts of the hash space whose element counts the suffix filter compares.
+PARTS = 256
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -121,9 +121,9 @@ def _prefix_rows(docs: DataFrame, n: int, t: Fraction, sketch) -> DataFrame:
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by token, salt and class: the rows whose token two classes share.
+    """From rows sorted by token, salt, place and class: the rows whose token two classes share.
 
-    Each carries the first class of its token as ``hub``. Only that first row is kept between
+    Each carries the first class of its token as ``hub``: the one with fewest rarer elements. Only that first row is kept between
     batches, so a token with very many rows needs no memory. Rows of a salted token are all kept.
     """
     held, told = None, False
@@ -154,71 +154,77 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["token", "salt", "class", "place", "hub", "hub_place"])
 
 
-def _may_link(place: str, other: str, t: Fraction) -> Column:
+def _may_link(one: str, two: str, before: str, before2: Column, t: Fraction) -> Column:
     """Length and positional filter: can the sets still overlap enough, given this shared element?
 
-    Before the element they share at most the lower rank, behind it the shorter rest.
+    Before it they share at most as many as either has elements there that any other class has too
+    (``before``), behind it at most the shorter rest.
     """
-    size, size2 = (F.col(c).bitwiseAND(0xFFFFFFFF) for c in (place, other))
-    rank, rank2 = (F.shiftright(c, 32) for c in (place, other))
-    most = F.least(rank, rank2) + F.least(size - rank, size2 - rank2)
+    size, size2 = (F.col(c).bitwiseAND(0xFFFFFFFF) for c in (one, two))
+    rank, rank2 = (F.shiftright(c, 32) for c in (one, two))
+    most = F.least(before, before2) + F.least(size - rank, size2 - rank2)
     p, q = t.numerator, t.denominator
     return most * F.lit(p + q) >= (size + size2) * F.lit(p)
 
 
-def _members(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame) -> DataFrame:
-    """The sets of the given classes, each once: class, size, parts (for the suffix filter), grams.
+def _from_sets(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame, schema: str, batch_of) -> DataFrame:
+    """``batch_of`` the sets of the given classes, each class once.
 
     ``docs`` has a hash of each row's key and its text; ``holders`` gives one such hash per class. A
     filter of fixed size over the hashes lets only few other rows be taken apart again.
     """
-    spark = docs.sparkSession
-
     rows = holders.join(classes, "class", "left_semi").select("row")
-    wanted = spark.sparkContext.broadcast(marks(rows))
+    wanted = docs.sparkSession.sparkContext.broadcast(marks(rows))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
         for batch in batches:
             texts = batch.column(1).filter(pa.array(marked(bits, batch.column(0).to_numpy())))
-            ids, parts, grams = [], [], []
+            ids, sets = [], []
             for found in _sets(texts, n):
                 if len(found) and (name := _class_of(found)) not in seen:
                     seen.add(name)
                     ids.append(name)
-                    top = (found.view(np.uint64) >> np.uint64(60)).astype(np.int64)
-                    parts.append(np.bincount(top, minlength=PARTS))
-                    grams.append(found)
+                    sets.append(found)
                 if len(ids) >= 500:
-                    yield _member_batch(ids, parts, grams)
-                    ids, parts, grams = [], [], []
+                    yield batch_of(ids, sets)
+                    ids, sets = [], []
             if ids:
-                yield _member_batch(ids, parts, grams)
+                yield batch_of(ids, sets)
 
-    found = docs.mapInArrow(emit, "class long, size long, parts array<long>, grams array<long>")
+    found = docs.mapInArrow(emit, schema)
     return stage(found.join(classes, "class", "left_semi").dropDuplicates(["class"]))
 
 
-def _member_batch(ids, parts, grams) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array([len(g) for g in grams], pa.int64()),
-         pa.array(parts, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int64()))],
-        ["class", "size", "parts", "grams"])
+def _profile_batch(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    parts = [np.bincount((x.view(np.uint64) >> np.uint64(56)).astype(np.int64), minlength=PARTS) for x in sets]
+    return pa.RecordBatch.from_pydict({
+        "class": pa.array(ids, pa.int64()), "parts": pa.array([x.astype(np.uint32).tobytes() for x in parts])})
+
+
+def _set_batch(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "class": pa.array(ids, pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))})
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, holders: DataFrame, t: Fraction) -> DataFrame:
     """Pairs a, b that the suffix filter leaves, each with whether its similarity is t or more."""
-    pairs = stage(pairs)
-    members = _members(docs, n, holders, pairs.select("a").union(pairs.select("b")).distinct().select(
-        F.col("a").alias("class")))
     p, q = t.numerator, t.denominator
-    short = {x: members.select(F.col("class").alias(x), F.col("size").alias(f"size_{x}"),
-                               F.col("parts").alias(f"parts_{x}")) for x in "ab"}
-    most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
-    left = (pairs.join(short["a"], "a").join(short["b"], "b")
-            .filter(most * F.lit(p + q) >= (F.col("size_a") + F.col("size_b")) * F.lit(p))
-            .select("a", "b"))
-    sets = {x: members.select(F.col("class").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab"}
+
+    def both(pairs: DataFrame, schema: str, batch_of, column: str) -> DataFrame:
+        pairs = stage(pairs)
+        classes = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+        found = _from_sets(docs, n, holders, classes, schema, batch_of)
+        sides = [found.select(F.col("class").alias(x), F.col(column).alias(f"of_{x}")) for x in "ab"]
+        return pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "of_a", "of_b")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Elements of different parts differ: the smaller counts bound the overlap."""
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, PARTS).astype(np.int64)
+                    for k in (2, 3))
+            fits = np.minimum(x, y).sum(axis=1) * (p + q) >= (x.sum(axis=1) + y.sum(axis=1)) * p
+            yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,8 +239,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, holders: DataFrame, t:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    both = left.join(sets["b"], "b").join(sets["a"], "a").select("a", "b", "grams_a", "grams_b")
-    return stage(both.mapInArrow(compare, "a long, b long, linked boolean"))
+    left = both(pairs, "class long, parts binary", _profile_batch, "parts").mapInArrow(sift, "a long, b long")
+    sets = both(left, "class long, grams array<long>", _set_batch, "grams")
+    return stage(sets.mapInArrow(compare, "a long, b long, linked boolean"))
 
 
 def near_duplicates(
@@ -261,25 +268,29 @@ def near_duplicates(
         combined(found.filter("task is not null").select("task", "slice", "bytes"), 1 << SKETCH_BITS))
 
     prefixes = _prefix_rows(docs, n, t, sketch)
-    met = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "class")
+    met = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "class")
                 .mapInArrow(_meetings, "token long, salt long, class long, place long, hub long, "
                                        "hub_place long"))
     holders = stage(rows.filter("class is not null").groupBy("class").agg(
         F.min(F.xxhash64(key)).alias("row"), F.min(key).alias("low")))
     hashed = docs.select(F.xxhash64(key).alias("row"), text)
 
+    # how many of a class's elements before this one others have too
+    rarer = F.row_number().over(Window.partitionBy("class").orderBy("place")) - 1
+    met = stage(met.withColumn("before", rarer.cast("long")))
     salted = met.filter("salt > 0 and class = hub")
-    over = salted.groupBy("token").agg(F.min_by(F.struct("class", "place"), "class").alias("hub"))
-    of_hubs = salted.select("token", "class", "place").join(over, "token").select(
-        "class", "place", F.col("hub.class").alias("hub"), F.col("hub.place").alias("hub_place"))
-    stars = met.select("class", "place", "hub", "hub_place").union(of_hubs)
-    pairs = stars.filter("class <> hub").filter(_may_link("place", "hub_place", t)).select(
+    over = salted.groupBy("token").agg(F.min_by(F.struct("class", "place"), F.struct("place", "class")).alias("top"))
+    of_hubs = salted.select("token", "class", "place", "before").join(over, "token").select(
+        "class", "place", "before", F.col("top.class").alias("hub"), F.col("top.place").alias("hub_place"))
+    stars = met.select("class", "place", "before", "hub", "hub_place").union(of_hubs)
+    pairs = stars.filter("class <> hub").filter(
+        _may_link("place", "hub_place", "before", F.shiftright("hub_place", 32), t)).select(
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
     known = _verified(pairs, hashed, n, holders, t)
     edges = known.filter("linked").select("a", "b")
     roots = components(edges)
 
-    named = stage(met.select("token", "class", "place").join(
+    named = stage(met.select("token", "class", "place", "before").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left")
         .withColumn("root", F.coalesce("root", "class")))
     apart = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(
@@ -287,13 +298,14 @@ def near_duplicates(
     across = stage(named.join(apart, "token"))
     one, two = across, across.select(
         "token", F.col("class").alias("class2"), F.col("place").alias("place2"),
-        F.col("root").alias("root2"))
+        F.col("before").alias("before2"), F.col("root").alias("root2"))
     rest = one.join(two, (one["token"] == two["token"]) & (one["class"] < F.col("class2"))
-                    & (one["root"] != F.col("root2")) & _may_link("place", "place2", t))
+                    & (one["root"] != F.col("root2")) & _may_link("place", "place2", "before", F.col("before2"), t))
     rest = rest.select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct().join(
         known.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verified(rest, hashed, n, holders, t).filter("linked").select("a", "b")
-    if more.limit(1).count():
+    rest = stage(rest)
+    if rest.limit(1).count():
+        more = _verified(rest, hashed, n, holders, t).filter("linked").select("a", "b")
         roots = components(edges.union(more))
 
     under = stage(holders.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
