@@ -10,6 +10,7 @@ from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.packing import pack
+from strataprop.llm.pii import KINDS, find_pii
 from strataprop.llm.quality import repetition_quality
 from strataprop.llm.sharding import shard_records
 from strataprop.llm.toxicity import score_toxicity
@@ -41,6 +42,21 @@ def op3_language_id(spark, sf_dir) -> DataFrame:
     return identify_language(_table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark, sf_dir) -> DataFrame:
+    found = find_pii(_table(spark, sf_dir, "documents"))
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(spans, kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [count(base, kind) for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"),
+                        told(F.col("spans")).alias("spans"))
+
+
 def op5_ngram_jaccard_join(spark, sf_dir) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -66,5 +82,5 @@ def op10_warc(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_quality_rules, op3_language_id, op5_ngram_jaccard_join,
-    op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc)}
+    op1_url_filters, op2_quality_rules, op3_language_id, op4_pii,
+    op5_ngram_jaccard_join, op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc)}
