@@ -158,6 +158,31 @@ def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_
                  temperature(scores, targets[calibrate]))
 
 
+def _judge(model: Model | None, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Language (as an object array) and calibrated probability of each text."""
+    names, scores = [np.zeros(0, object)], [np.zeros(0)]
+    for block in blocks(column):
+        points, bounds, lettered = _points(block)
+        if model is None:
+            names.append(np.full(block.texts(), UNDETERMINED, object))
+            scores.append(np.zeros(block.texts()))
+            continue
+        total, sizes = np.zeros((block.texts(), len(model.languages))), np.zeros(block.texts())
+        for n in LENGTHS:
+            features, own = _features(points, bounds, n)
+            some = np.flatnonzero(np.diff(own))
+            sizes += np.diff(own)
+            for k in range(total.shape[1] if len(some) else 0):
+                weights = model.weights[features, k].astype(np.float64)
+                total[some, k] += np.add.reduceat(weights, own[some])
+        logits = (total / np.maximum(sizes, 1)[:, None] + model.bias) / model.temperature
+        p = probabilities(logits) if total.shape[1] > 1 else np.ones_like(total)
+        best = p.argmax(axis=1)
+        names.append(np.where(lettered, np.array(model.languages, object)[best], UNDETERMINED))
+        scores.append(np.where(lettered, p[np.arange(len(p)), best], 0.0))
+    return np.concatenate(names), np.concatenate(scores)
+
+
 def predict_language(docs: DataFrame, model: Model | None, key: str, text: str) -> DataFrame:
     """``lang_pred`` and ``score`` of every row under a fitted model."""
     rows = docs.select(key, text)
@@ -165,37 +190,31 @@ def predict_language(docs: DataFrame, model: Model | None, key: str, text: str)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            names, scores = [], []
-            for block in blocks(batch.column(1)):
-                points, bounds, lettered = _points(block)
-                if model is None:
-                    lettered[:] = False
-                total = np.zeros((block.texts(), len(model.languages) if model else 1))
-                sizes = np.zeros(block.texts())
-                for n in LENGTHS if model else ():
-                    features, own = _features(points, bounds, n)
-                    some = np.flatnonzero(np.diff(own))
-                    sizes += np.diff(own)
-                    for k in range(total.shape[1] if len(some) else 0):
-                        total[some, k] += np.add.reduceat(model.weights[features, k].astype(np.float64), own[some])
-                if model:
-                    logits = total / np.maximum(sizes, 1)[:, None] + model.bias
-                    p = probabilities(logits / model.temperature) if total.shape[1] > 1 else np.ones_like(total)
-                    best = p.argmax(axis=1)
-                    names += [model.languages[k] if ok else UNDETERMINED for k, ok in zip(best, lettered)]
-                    scores.append(np.where(lettered, p[np.arange(len(p)), best], 0.0))
-                else:
-                    names += [UNDETERMINED] * block.texts()
-                    scores.append(np.zeros(block.texts()))
+            names, scores = _judge(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))],
-                [key, "lang_pred", "score"])
+                [batch.column(0), pa.array(names, pa.string()), pa.array(scores)], [key, "lang_pred", "score"])
 
     return rows.mapInArrow(predict, f"`{key}` {kind}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model | None, text: str, min_score: float) -> DataFrame:
+    """The rows, with all their columns, whose text has a language of probability ``min_score`` or more."""
+    at = docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = _judge(shared.value, batch.column(at))
+            yield batch.filter(pa.array((names != UNDETERMINED) & (scores >= min_score), pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def training_rows(docs: DataFrame, key: str, language: str, folds: int, held_out: int) -> DataFrame:
+    return docs.filter((bucket_of(F.col(key), folds) != held_out) & F.col(language).isNotNull())
+
+
 def identify_language(docs: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang",
                       folds: int = 4, held_out: int = 2) -> DataFrame:
     """``held_out``, ``lang_pred`` and ``score`` (its calibrated probability) of every row.
@@ -206,7 +225,6 @@ def identify_language(docs: DataFrame, key: str = "doc_id", text: str = "text",
     fold. Ties go to the first language by name. Every row is returned, repeated ones too; an
     empty table gives no rows; other columns are not carried.
     """
-    held = bucket_of(F.col(key), folds) == held_out
-    learnt = docs.filter(~held & F.col(language).isNotNull())
-    model = fit_language(learnt, text, language)
-    return predict_language(docs, model, key, text).select(key, held.alias("held_out"), "lang_pred", "score")
+    model = fit_language(training_rows(docs, key, language, folds, held_out), text, language)
+    held = (bucket_of(F.col(key), folds) == held_out).alias("held_out")
+    return predict_language(docs, model, key, text).select(key, held, "lang_pred", "score")

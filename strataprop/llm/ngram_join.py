@@ -315,3 +315,21 @@ def near_duplicates(
     return rows.join(named, rows["class"] == named["of_class"], "left").select(
         key, "n_shingles",
         F.when(F.col("class").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, similarity: str = "0.75") -> DataFrame:
+    """All columns of one row of each group of near duplicates: the one with the smallest key.
+
+    A null key is the largest; of one key's texts the one with the smallest hash stays, of repeated rows any.
+    Rows without a word are in no group and all stay.
+    """
+    blank = ~F.coalesce(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kind = docs.schema[key].dataType
+    name = F.struct(docs[key].isNull().alias("none"), F.coalesce(docs[key], F.lit(0).cast(kind)).alias("key"),
+                    F.xxhash64(docs[text]).alias("text"))
+    # repeated rows go before the shuffle; the join then finds the rows where they are
+    named = docs.filter(~blank).withColumn("__name", name).dropDuplicates(["__name"])
+    groups = near_duplicates(docs.filter(~blank).select(name.alias("__name"), F.col(text).alias("text")),
+                             "__name", "text", n, similarity)
+    first = groups.filter(F.col("__name") == F.col("component_id")).select("__name").distinct()
+    return named.join(first, "__name", "left_semi").select(docs.columns).unionByName(docs.filter(blank))
