@@ -12,31 +12,23 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) for every node of an edge.
 
     ``edges`` has two columns ``a`` and ``b`` of one ordered type without nulls; order and
-    repeats do not matter. Each round every node hangs itself under its smallest neighbour, chains
-    are followed to their end by doubling, and edges are drawn between the ends; rounds go on until
-    no edge is left, and each at least halves the nodes that still have one. Neighbours are only
-    ever reduced to a minimum, so a node with very many of them is aggregated before the shuffle.
-    Each round is written to the shared folder.
+    repeats do not matter. Each round every node hangs itself under its smallest neighbour, and takes the
+    one that this neighbour hangs under; edges are then drawn between the nodes so taken, until none is
+    left. A round at least takes away every node with a smaller neighbour that is no one's smallest, and
+    halves chains. Neighbours are only ever reduced to a minimum, so a node with very many of them is
+    aggregated before the shuffle. Each round is written to the shared folder.
     """
     left = stage(edges.select("a", "b").filter("a <> b").distinct())
-    nodes = stage(left.select(F.col("a").alias("node")).union(left.select("b")).distinct())
-    labels = nodes.select("node", F.col("node").alias("root"))
-    while left.limit(1).count():
+    labels = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().withColumn("root", F.col("node"))
+    while left.take(1):
         both = left.union(left.select("b", "a"))
-        hung = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-                     .select("node", F.least("node", "low").alias("root")))
-        while True:
-            up = hung.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            jumped = stage(hung.join(up, "root").select(
-                "node", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")))
-            hung = jumped.select("node", "root")
-            if not jumped.filter("moved").limit(1).count():
-                break
-        end = hung.select(F.col("node").alias("root"), F.col("root").alias("end"))
-        labels = stage(labels.join(end, "root", "left").select(
-            "node", F.coalesce("end", "root").alias("root")))
-        of_a = hung.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        of_b = hung.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        left = stage(left.join(of_a, "a").join(of_b, "b").filter("ra <> rb").select(
-            F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
-    return labels
+        hung = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+            "node", F.least("node", "low").alias("up"))
+        above = hung.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        taken = stage(hung.join(above, "up").select("node", "top"))
+        of_a, of_b = (taken.select(F.col("node").alias(x), F.col("top").alias(f"top_{x}")) for x in "ab")
+        left = stage(left.join(of_a, "a").join(of_b, "b").filter("top_a <> top_b").select(
+            F.col("top_a").alias("a"), F.col("top_b").alias("b")).distinct())
+        labels = labels.join(taken.withColumnRenamed("node", "root"), "root", "left").select(
+            "node", F.coalesce("top", "root").alias("root"))
+    return stage(labels)

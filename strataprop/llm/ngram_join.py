@@ -19,7 +19,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
@@ -154,17 +154,16 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["token", "salt", "class", "place", "hub", "hub_place"])
 
 
-def _may_link(one: str, two: str, before: str, before2: Column, t: Fraction) -> Column:
-    """Length and positional filter: can the sets still overlap enough, given this shared element?
+def _may_link(one: str, two: str, t: Fraction) -> Column:
+    """Length and positional filter: can the sets overlap enough from this shared element on?
 
-    Before it they share at most as many as either has elements there that any other class has too
-    (``before``), behind it at most the shorter rest.
+    Sets similar enough have a first shared element, with nothing shared before it; there this holds.
+    So a pair that fails it at one element is not lost, and most pairs come up only once or twice.
     """
     size, size2 = (F.col(c).bitwiseAND(0xFFFFFFFF) for c in (one, two))
-    rank, rank2 = (F.shiftright(c, 32) for c in (one, two))
-    most = F.least(before, before2) + F.least(size - rank, size2 - rank2)
+    rest, rest2 = (size - F.shiftright(one, 32), size2 - F.shiftright(two, 32))
     p, q = t.numerator, t.denominator
-    return most * F.lit(p + q) >= (size + size2) * F.lit(p)
+    return F.least(rest, rest2) * F.lit(p + q) >= (size + size2) * F.lit(p)
 
 
 def _from_sets(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame, schema: str, batch_of) -> DataFrame:
@@ -275,22 +274,18 @@ def near_duplicates(
         F.min(F.xxhash64(key)).alias("row"), F.min(key).alias("low")))
     hashed = docs.select(F.xxhash64(key).alias("row"), text)
 
-    # how many of a class's elements before this one others have too
-    rarer = F.row_number().over(Window.partitionBy("class").orderBy("place")) - 1
-    met = stage(met.withColumn("before", rarer.cast("long")))
     salted = met.filter("salt > 0 and class = hub")
     over = salted.groupBy("token").agg(F.min_by(F.struct("class", "place"), F.struct("place", "class")).alias("top"))
-    of_hubs = salted.select("token", "class", "place", "before").join(over, "token").select(
-        "class", "place", "before", F.col("top.class").alias("hub"), F.col("top.place").alias("hub_place"))
-    stars = met.select("class", "place", "before", "hub", "hub_place").union(of_hubs)
-    pairs = stars.filter("class <> hub").filter(
-        _may_link("place", "hub_place", "before", F.shiftright("hub_place", 32), t)).select(
+    of_hubs = salted.select("token", "class", "place").join(over, "token").select(
+        "class", "place", F.col("top.class").alias("hub"), F.col("top.place").alias("hub_place"))
+    stars = met.select("class", "place", "hub", "hub_place").union(of_hubs)
+    pairs = stars.filter("class <> hub").filter(_may_link("place", "hub_place", t)).select(
         F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
     known = _verified(pairs, hashed, n, holders, t)
     edges = known.filter("linked").select("a", "b")
     roots = components(edges)
 
-    named = stage(met.select("token", "class", "place", "before").join(
+    named = stage(met.select("token", "class", "place").join(
         roots.select(F.col("node").alias("class"), "root"), "class", "left")
         .withColumn("root", F.coalesce("root", "class")))
     apart = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(
@@ -298,9 +293,9 @@ def near_duplicates(
     across = stage(named.join(apart, "token"))
     one, two = across, across.select(
         "token", F.col("class").alias("class2"), F.col("place").alias("place2"),
-        F.col("before").alias("before2"), F.col("root").alias("root2"))
+        F.col("root").alias("root2"))
     rest = one.join(two, (one["token"] == two["token"]) & (one["class"] < F.col("class2"))
-                    & (one["root"] != F.col("root2")) & _may_link("place", "place2", "before", F.col("before2"), t))
+                    & (one["root"] != F.col("root2")) & _may_link("place", "place2", t))
     rest = rest.select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct().join(
         known.select("a", "b"), ["a", "b"], "left_anti")
     rest = stage(rest)

@@ -7,18 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataprop.llm.words import mix
-
 #: Bytes in one row.
 SLICE = 1 << 15
 #: Rows of one slice that one group combines.
 FAN_IN = 256
-#: Bits of a filter over 64-bit hashes (8 MB).
-FILTER_BITS = 26
+#: Bits of a filter over 64-bit hashes (8 MB), and those in one of Spark's bitmaps.
+FILTER_BITS, BITMAP = 26, 32768
 SCHEMA = "task long, slice long, bytes binary"
 
 
@@ -59,8 +56,8 @@ def combined(rows: DataFrame, length: int, dtype=np.uint16) -> np.ndarray:
 
 
 def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The cell of each 64-bit hash among 2^bits."""
-    return (mix(hashes.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    """The cell of each 64-bit hash among 2^bits: its highest bits."""
+    return (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def marks(hashes: DataFrame) -> np.ndarray:
@@ -68,14 +65,13 @@ def marks(hashes: DataFrame) -> np.ndarray:
 
     It passes every hash given, and others by chance: the more are given, the more.
     """
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-        for batch in batches:
-            own = cells(batch.column(0).to_numpy(), FILTER_BITS)
-            np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
-        yield from vector_rows(TaskContext.get().partitionId(), bits)
-
-    return combined(hashes.mapInArrow(mark, SCHEMA), 1 << FILTER_BITS - 3, np.uint8)
+    cell = F.shiftrightunsigned(hashes.columns[0], 64 - FILTER_BITS)
+    parts = hashes.filter(F.col(hashes.columns[0]).isNotNull()).groupBy((cell / BITMAP).cast("int").alias("part")).agg(
+        F.bitmap_construct_agg(cell % BITMAP).alias("bits"))
+    bits = np.zeros((1 << FILTER_BITS) // BITMAP * (BITMAP // 8), np.uint8).reshape(-1, BITMAP // 8)
+    for row in parts.collect():  # 2^FILTER_BITS / BITMAP rows at most
+        bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
 
 
 def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
