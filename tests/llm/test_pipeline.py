@@ -1,0 +1,59 @@
+"""The corpus pipeline as a whole, and each stage against brute force on what the stage before kept."""
+
+import brute
+import pytest
+from conftest import SF_DIR
+
+import corpus_pipeline
+from strataprop.functions.runtime import stage
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    docs, found = spark.read.parquet(f"{SF_DIR}/documents.parquet"), {}
+    for name, step in corpus_pipeline.STAGES:
+        docs = found[name] = stage(step(spark, docs, SF_DIR))
+    return found
+
+
+def test_language_keeps_clean_documents(spark, made):
+    before = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert made["language"].count() >= 0.98 * before
+
+
+def test_one_of_each_group_stays(made):
+    rows = [(r["doc_id"], r["text"]) for r in made["language"].collect()]
+    expected = {key for key, _, component in brute.near_duplicates(rows) if key == component}
+    assert {r["doc_id"] for r in made["near_duplicates"].collect()} == expected
+
+
+def test_documents_with_test_items_go_and_only_they(spark, made):
+    import re
+    items = [re.findall(r"\w+", r["text"].lower()) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    left = {r["doc_id"] for r in made["decontaminate"].collect()}
+    for r in made["near_duplicates"].collect():
+        words = re.findall(r"\w+", r["text"].lower())
+        have = set(words)
+        close = [i for i in items if len(have & set(i)) * 2 >= len(set(i))]
+        leak = any(brute.alignment(i, words) >= len(i) for i in close)
+        assert (r["doc_id"] not in left) == leak
+
+
+def test_no_personal_data_is_left(made):
+    before = {r["doc_id"]: r["text"] for r in made["decontaminate"].collect()}
+    for r in made["personal_data"].collect():
+        expected, at = "", 0
+        for start, end, kind in sorted((s, e, k) for k, s, e in brute.pii(before[r["doc_id"]])):
+            if start >= at:
+                expected += before[r["doc_id"]][at:start] + f"[{kind}]"
+            at = max(at, end)
+        assert r["text"] == expected + before[r["doc_id"]][at:] and r["n_chars"] == len(r["text"])
+
+
+def test_all_kept_documents_are_packed(made):
+    packed = {r["doc_id"] for r in made["packing"].collect()}
+    assert packed == {r["doc_id"] for r in made["personal_data"].collect()}
+
+
+def test_run_is_the_stages_in_a_row(spark, made):
+    assert corpus_pipeline.run(spark, SF_DIR).count() == made["packing"].count()
