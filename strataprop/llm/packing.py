@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 from typing import NamedTuple
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +24,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
-from strataprop.llm.words import WHITE, blocks, hash_ranges
+from strataprop.llm.words import WHITE, Block, blocks, hash_ranges
 
 CAPACITY, END_ID = 4096, 1
 #: Length classes of the program, knapsack units of a sequence, and rounds at most.
 CLASSES, UNITS, ROUNDS = 64, 512, 3000
 #: Growth of the weights, and the gap between the solution and its lower bound that is good enough.
 STEP, GAP = 0.1, 0.01
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 300_000
+#: A worker keeps the ids of 2^(WORD_BITS - 1) words (about 100 MB), then begins anew.
+WORD_BITS = 22
+#: Marks that are a word of their own behind a letter.
+MARKS = ".,;:!?"
+
+
+_MARK, _ASCII_LETTER = (np.array([b < 128 and test(chr(b)) for b in range(256)]) for test in (MARKS.__contains__, str.isalpha))
 
 
 class Plan(NamedTuple):
@@ -45,60 +51,134 @@ class Plan(NamedTuple):
     lower_bound: float
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class _Table:
+    """Numbers of 64-bit hashes, looked up and added many at once: open addressing in two arrays."""
+
+    def __init__(self, bits: int):
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+        self.shift, self.mask, self.used = np.uint64(64 - bits), (1 << bits) - 1, 0
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for those not here."""
+        found, open_, slot = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(open_):
+            keys = self.keys[slot]
+            hit, other = keys == hashes[open_], keys != 0
+            found[open_[hit]] = self.numbers[slot[hit]]
+            on = other & ~hit
+            open_, slot = open_[on], (slot[on] + 1) & self.mask
+        return found
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Give different new hashes the next numbers, in their order."""
+        open_, slot = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(open_):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = hashes[open_[free]]  # of several for one slot the last stays
+            won = self.keys[slot] == hashes[open_]
+            self.numbers[slot[won]] = self.used + open_[won]
+            open_, slot = open_[~won], (slot[~won] + 1) & self.mask
+        self.used += len(hashes)
+
+
 class WordTokens:
     """Token ids of words, each word encoded once while it is kept.
 
     The vocabulary drops white space and never joins words across it, so a text's ids are its words' ids.
+    If it also makes letters small and splits letters from marks, case does not tell words apart, a
+    mark behind a letter is a word of its own, and words of letters can skip the tokenizer's slow normal
+    form: their merges are applied directly. Whether that gives the vocabulary's own ids is tried out on a
+    few words at the start; if not, and for all other words, the tokenizer does it all.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.shown = {chr(b): c for b, c in _byte_characters().items()}
+        probes = ["the", "Straße", "Élève", "NAÏVE", "X", "Привет", "日本語", "internationalisation", ".", "?", "x.", "Ab?"]
+        whole = [self.tokenizer.encode(word, add_special_tokens=False).ids for word in probes]
+        self.direct = whole == [sum((self._direct(part) for part in ([p[:-1], p[-1]] if p[1:] and p[-1] in ".?" else [p])), [])
+                                for p in probes]
         self._clear()
 
-    def _clear(self) -> None:
-        self.number: dict[int, int] = {}
+    def _clear(self, words: int = 0) -> None:
+        """Forget all words; there is then room for as many, even if one text has more than are kept."""
+        bits = max(WORD_BITS, 1 + words.bit_length())
+        self.table = _Table(bits)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(KEPT_WORDS * 2, np.int64)
-        self.sizes = np.zeros(KEPT_WORDS * 2, np.int64)
+        self.starts, self.sizes = np.zeros(1 << bits - 1, np.int64), np.zeros(1 << bits - 1, np.int32)
         self.filled = 0
 
-    def _add(self, hashes: list[int], words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        more = np.fromiter((i for ids in found for i in ids), np.uint32)
+    def _direct(self, word: str) -> list[int] | None:
+        """The ids of letters, or of one mark, by the merges alone; None if the word is neither."""
+        if word.isascii():
+            if not word.isalpha() and word not in MARKS:
+                return None
+            word = word.lower()
+        else:
+            folded = word.lower()
+            # sigma is small in two ways; what is no letter any more would be split
+            if not word.isalpha() or "Σ" in word or not folded.isalpha() or not is_normalized("NFC", word):
+                return None
+            word = "".join(map(self.shown.get, folded.encode().decode("latin-1")))
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        found = list(map(self._direct, words)) if self.direct else [None] * len(words)
+        slow = [k for k, ids in enumerate(found) if ids is None]
+        for k, e in zip(slow, self.tokenizer.encode_batch_fast([words[k] for k in slow], add_special_tokens=False)):
+            found[k] = e.ids
+        return found
+
+    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = self._encoded(words)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        more = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        first, last = self.table.used, self.table.used + len(found)
         if self.filled + len(more) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.filled + 2 * len(more), np.uint32)])
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        first, last = len(self.number), len(self.number) + len(found)
-        if last > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros(last, np.int64)]) for x in (self.starts, self.sizes))
+            self.ids = np.concatenate([self.ids, np.zeros(self.filled + len(more), np.uint32)])
         self.ids[self.filled : self.filled + len(more)] = more
         self.starts[first:last] = self.filled + np.cumsum(sizes) - sizes
         self.sizes[first:last] = sizes
-        self.number.update(zip(hashes, range(first, last)))
+        self.table.add(hashes)
         self.filled += len(more)
 
+    def _words(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, ends, bounds = block.ranges(WHITE)
+        if not self.direct or not len(starts):
+            return starts, ends, bounds
+        data = block.data
+        last = _MARK[data[ends - 1]] & (ends - starts > 1)
+        last[last] = _ASCII_LETTER[data[ends[last] - 2]]
+        at = ends[last] - 1
+        starts = np.sort(np.concatenate([starts, at]), kind="stable")
+        return starts, np.sort(np.concatenate([ends, at]), kind="stable"), np.searchsorted(starts, block.bounds)
+
     def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; a null is an empty text."""
         for block in blocks(column):
-            starts, ends, bounds = block.ranges(WHITE)
+            starts, ends, bounds = self._words(block)
             hashes, first, word = np.unique(
-                hash_ranges(block.sums(), starts, ends), return_index=True, return_inverse=True)
-            if len(self.number) > KEPT_WORDS:
-                self._clear()
-            keys = hashes.tolist()
-            number = np.fromiter(map(self.number.get, keys, repeat(-1)), np.int64, len(keys))
+                hash_ranges(block.sums(fold=self.direct), starts, ends), return_index=True, return_inverse=True)
+            if self.table.used + len(hashes) > len(self.starts):
+                self._clear(len(hashes))
+            number = self.table.get(hashes)
             new = np.flatnonzero(number < 0)
             if len(new):
-                raw = block.data.tobytes()
-                at = first[new]
-                self._add([keys[k] for k in new],
-                          [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-                number[new] = np.arange(len(self.number) - len(new), len(self.number))
+                raw, at = block.data.tobytes(), first[new]
+                number[new] = np.arange(self.table.used, self.table.used + len(new))
+                self._add(hashes[new], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
             of_word = number[word]
             sizes = self.sizes[of_word]
-            upto = np.concatenate([[0], np.cumsum(sizes)])
+            upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
             flat = self.ids[np.repeat(self.starts[of_word] - upto[:-1], sizes) + np.arange(upto[-1])]
             edges = upto[bounds]
             for k in range(block.texts()):
