@@ -16,7 +16,7 @@ from strataprop.llm.words import NOT_ALNUM, Block, blocks, hash_ranges, mix, ngr
 BITS = 20
 #: Labelled rows to learn from, half of them of either class at most.
 MAX_ROWS = 12_000
-EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.1, 1.0, 1.0, 0.01
+EPOCHS, ALPHA, BETA, L1, L2 = 10, 2.0, 1.0, 4.0, 0.001
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
