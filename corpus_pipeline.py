@@ -19,7 +19,7 @@ from strataprop.llm.packing import pack
 from strataprop.llm.pii import redact
 
 #: A document is rejected if no language has this calibrated probability.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.35
 #: A vocabulary file that every executor has.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
