@@ -28,8 +28,9 @@ HEADLINES = (
     "feature_table", "join_composite_key", "impute_stratified_mean",
     "impute_stratified_median", "impute_out_of_sample", "split_hash", "split_validation_anti",
     "split_counts", "contingency", "chi_square", "correlation_matrix", "box_stats", "bin_2d",
-    "category_index", "one_hot", "logistic_train_metrics", "gbt_train_metrics",
-    "python_model_score", "binary_metrics", "flagship",
+    "category_index", "one_hot", "logistic_train_metrics",
+    "python_model_score", "binary_metrics", "flagship", "correlation_matrix_wide",
+    "quantiles_narrow", "train_metrics_by_level", "join_hot_both",
 )
 
 

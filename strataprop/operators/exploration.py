@@ -19,8 +19,10 @@ from strataprop.functions.runtime import stage
 from strataprop.operators.joins import equi_join
 from strataprop.operators.quantiles import exact_quantiles, with_group_values
 
-# Above this many columns the pairs no longer fit one generated aggregate well.
-PAIRWISE_COLUMNS = 16
+
+def _finite(df: DataFrame, c: str) -> Column:
+    """The column as double, null for null, NaN and the infinities."""
+    return F.when(F.abs(numeric(df, c)) < F.lit(float("inf")), numeric(df, c))
 
 
 def contingency(df: DataFrame, col_1: str, col_2: str) -> DataFrame:
@@ -67,7 +69,8 @@ def correlation_matrix(df: DataFrame, columns: list[str], nulls: str = "error")
     """Pearson correlation of every pair as rows ``col_i, col_j, corr``, both orders included.
 
     Nulls and NaN are an error, or with ``nulls="skip"`` their rows are left out as a whole.
-    A constant column has no correlation, not even with itself: null.
+    A constant column has no correlation, not even with itself: null. Two jobs run at once: one
+    aggregate for nulls and constants, one Gram matrix over the columns that vary.
     """
     require_choice(nulls, ("error", "skip"), "nulls")
     require_numeric(df, columns)
@@ -76,47 +79,26 @@ def correlation_matrix(df: DataFrame, columns: list[str], nulls: str = "error")
     values = df.select(*[numeric(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     if nulls == "skip":
         values = values.dropna()
-    if len(columns) > PAIRWISE_COLUMNS:
-        return _vector_correlation(values, columns)
-
     k = len(columns)
-    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    one_row = values.agg(
+    facts = values.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(f"c{i}").isNull()).alias(f"nulls_{i}") for i in range(k)],
-        *[F.stddev_pop(f"c{i}").alias(f"sd_{i}") for i in range(k)],
-        *[F.covar_pop(f"c{i}", f"c{j}").alias(f"cov_{i}_{j}") for i, j in pairs],
-    )
-
-    def correlation(i: int, j: int) -> Column:
-        # Not F.corr, which divides by the zero deviation of a constant column.
-        if i == j:
-            return F.when(F.col(f"sd_{i}") > 0, F.lit(1.0))
-        covariance = F.col(f"cov_{min(i, j)}_{max(i, j)}")
-        return F.try_divide(covariance, F.col(f"sd_{i}") * F.col(f"sd_{j}"))
-
-    checked = F.lit(True)
-    for i in reversed(range(k)):
-        message = f"null values in {columns[i]!r}: impute it or pass nulls='skip'"
-        checked = F.when(F.col(f"nulls_{i}") > 0, F.raise_error(F.lit(message)).cast("boolean")
-                         ).otherwise(checked)
-    entries = [
-        F.struct(F.lit(columns[i]).alias("col_i"), F.lit(columns[j]).alias("col_j"),
-                 correlation(i, j).alias("corr"))
-        for i in range(k) for j in range(k)
-    ]
-    return one_row.filter(checked).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-
-
-def _vector_correlation(values: DataFrame, columns: list[str]) -> DataFrame:
-    """The same for many columns: one Gram matrix over vectors instead of an aggregate per pair."""
-    assembler = VectorAssembler(inputCols=values.columns, outputCol="features")
-    matrix = Correlation.corr(assembler.transform(values), "features", "pearson").first()[0]
-    rows = [
-        (columns[i], columns[j], float(matrix[i, j]))
-        for i in range(len(columns)) for j in range(len(columns))
-    ]
-    result = values.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
-    return result.withColumn("corr", F.nanvl("corr", F.lit(None).cast("double")))
+        *[(F.max(f"c{i}") > F.min(f"c{i}")).alias(f"varies_{i}") for i in range(k)],
+    ).first()
+    holed = [c for i, c in enumerate(columns) if facts[f"nulls_{i}"]]
+    if holed:
+        raise ValueError(f"null values in {', '.join(map(repr, holed))}: impute them or pass nulls='skip'")
+    varying = [i for i in range(k) if facts[f"varies_{i}"]]
+    matrix = None
+    if varying:
+        assembler = VectorAssembler(inputCols=[f"c{i}" for i in varying], outputCol="features")
+        matrix = Correlation.corr(assembler.transform(values).select("features"), "features").first()[0]
+    place = {i: at for at, i in enumerate(varying)}
+    # one row per pair of columns, whatever the number of rows
+    rows = [(columns[i], columns[j],
+             float(matrix[place[i], place[j]]) if i in place and j in place else None)
+            for i in range(k) for j in range(k)]
+    return df.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
 
 
 def box_stats(
@@ -126,12 +108,14 @@ def box_stats(
 
     Quartiles interpolate linearly. A whisker ends at the most extreme value within 1.5 times
     the interquartile range of the box; values beyond are outliers. Quartiles are exact unless
-    ``accuracy`` asks for a sketch, which saves one pass.
+    ``accuracy`` asks for a sketch, which saves one pass. Infinite values have no place in the plot
+    and are left out, like nulls and NaN.
     """
     require_numeric(df, [value])
     groups = [by] if by is not None else []
     require_columns(df, groups)
     probs = [0.25, 0.5, 0.75]
+    df = df.withColumn(value, _finite(df, value))
     group = F.struct(*[column(c) for c in groups]) if groups else F.struct(F.lit(0))
     rows = df.select(group.alias("grp"), numeric(df, value).alias("v"))
     if accuracy is None:
@@ -169,15 +153,15 @@ def bin_2d(
 ) -> DataFrame:
     """Number of points per rectangle of the plane: the density behind a scatter plot.
 
-    Bin i covers [i * width, (i + 1) * width). Points without both coordinates are not drawn.
+    Bin i covers [i * width, (i + 1) * width). Points without two finite coordinates are not drawn.
     """
     require_numeric(df, [x, y])
     require_columns(df, [by] if by else [])
     if x_width <= 0 or y_width <= 0:
         raise ValueError("bin widths must be positive")
     points = df.select(
-        F.floor(numeric(df, x) / F.lit(float(x_width))).alias("x_bin"),
-        F.floor(numeric(df, y) / F.lit(float(y_width))).alias("y_bin"),
+        F.floor(_finite(df, x) / F.lit(float(x_width))).alias("x_bin"),
+        F.floor(_finite(df, y) / F.lit(float(y_width))).alias("y_bin"),
         *([column(by)] if by else []),
     ).dropna(subset=["x_bin", "y_bin"])
     return points.groupBy("x_bin", "y_bin", *([column(by)] if by else [])).agg(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from strataprop.functions.checks import require_columns, require_numeric
 from strataprop.functions.expressions import column
+from strataprop.operators.running import running_total
 from strataprop.operators.splitting import SPLIT
 
 FEATURES = "__features"
@@ -58,6 +61,34 @@ def check_features(
         raise ValueError(f"{found[-1]} rows have a label other than 0 or 1 in {target!r}")
 
 
+def check_no_nulls(df: DataFrame, columns: list[str]) -> None:
+    """Name the columns that hold a null or NaN, in one aggregate."""
+    require_columns(df, columns)
+    if not columns:
+        return
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
+    holes = [column(c).isNull() | F.isnan(column(c).cast("double")) if c in numbers
+             else column(c).isNull() for c in columns]
+    found = df.agg(*[F.count_if(h).alias(f"holes_{i}") for i, h in enumerate(holes)]).first()
+    nulls = [c for c, n in zip(columns, found) if n]
+    if nulls:
+        raise ValueError(f"impute these columns first, they hold nulls: {', '.join(nulls)}")
+
+
+def input_columns(model: PipelineModel) -> list[str]:
+    """The columns of the input table that a pipeline's encoders read."""
+    made, read = set(), []
+    for stage in model.stages:
+        if isinstance(stage, SQLTransformer):
+            made |= {c for c in stage.getStatement().split("`") if c.endswith("_rank")}
+            continue
+        several = stage.hasParam("inputCols") and stage.isDefined("inputCols")
+        outputs = stage.hasParam("outputCols") and stage.isDefined("outputCols")
+        read += stage.getInputCols() if several else []
+        made |= set(stage.getOutputCols() if outputs else [])
+    return [c for c in dict.fromkeys(read) if c not in made]
+
+
 def indexed(c: str) -> str:
     return f"__{c}_index"
 
@@ -67,11 +98,13 @@ def encoded(c: str) -> str:
 
 
 def encoding_stages(
-    numerics: list[str], categoricals: list[str], *, one_hot: bool, handle_invalid: str = "keep"
+    numerics: list[str], categoricals: list[str], *, one_hot: bool, handle_invalid: str = "keep",
+    ranked: bool = False,
 ) -> list:
     """Indexers, encoders and the assembler: numeric features first, then the categoricals.
 
-    ``keep`` lets rows with an unseen level be scored; ``error`` refuses them.
+    ``keep`` lets rows with an unseen level be scored; ``error`` refuses them. ``ranked`` gives a
+    categorical as its rank by frequency, a number like any other, instead of as a nominal feature.
     """
     stages = []
     inputs = list(numerics)
@@ -84,6 +117,12 @@ def encoding_stages(
             vectors = [encoded(c) for c in categoricals]
             stages.append(OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True))
             inputs += vectors
+        elif ranked:
+            # a computed column carries no level names, so trees split it as a number
+            names = [f"{i}_rank" for i in indexes]
+            listed = ", ".join(f"`{i}` + 0D AS `{name}`" for i, name in zip(indexes, names))
+            stages.append(SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"))
+            inputs += names
         else:
             inputs += indexes
     stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"))
@@ -91,10 +130,12 @@ def encoding_stages(
 
 
 def category_index(df: DataFrame, c: str) -> DataFrame:
-    """Rows ``level, n, index``: levels from the most to the least frequent, ties by name."""
+    """Rows ``level, n, index``: levels from the most to the least frequent, ties by name.
+
+    The levels stay on the executors, however many there are.
+    """
     require_columns(df, [c])
-    indexer = StringIndexer(inputCol="level", outputCol="index", handleInvalid="skip")
     counts = df.groupBy(column(c).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    model = indexer.fit(df.select(column(c).cast("string").alias("level")))
-    return model.transform(counts.dropna(subset=["level"])).select(
-        "level", "n", F.col("index").cast("bigint").alias("index"))
+    one = counts.dropna(subset=["level"]).withColumn("one", F.lit(1).cast("bigint"))
+    ranked = running_total(one, "one", [F.desc("n"), F.asc("level")], "place")
+    return ranked.select("level", "n", (F.col("place") - 1).alias("index"))

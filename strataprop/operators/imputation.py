@@ -5,7 +5,7 @@ The same ``apply_imputation`` serves the rows the parameters were fitted on and
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from strataprop.functions.checks import (
 )
 from strataprop.functions.expressions import column, numeric
 from strataprop.functions.runtime import fits_broadcast, stage
-from strataprop.operators.joins import equi_join
+from strataprop.operators.joins import equi_join, find_hot_keys_of
 from strataprop.operators.quantiles import exact_quantiles
 
 METHODS = ("mean", "median")
@@ -41,7 +41,8 @@ class Impute:
 
     A mean per stratum is rounded to an integer and a global mean is not, unless ``rounded``
     says otherwise. The median is the lower one for an even count; ``exact`` replaces its sketch
-    by a second pass over the data.
+    by a second pass over the data. ``fallback`` also fits the value over all rows, for rows whose
+    stratum is null or was not seen.
     """
 
     column: str
@@ -50,6 +51,7 @@ class Impute:
     rounded: bool | None = None
     exact: bool = False
     accuracy: int = MEDIAN_ACCURACY
+    fallback: bool = False
 
     @property
     def rounds(self) -> bool:
@@ -152,20 +154,28 @@ def imputation_params(df: DataFrame, specs: list[Impute] | Impute) -> DataFrame:
     """The parameter table as a plan: a row per column, or per column and stratum value.
 
     Rows of a null stratum are left out, since a null stratum never matches. A stratum in
-    which the column is always null has a null value. Only exact medians start a job here.
+    which the column is always null has a null value. The value for all other strata, if asked
+    for, is a row of its stratum column without a stratum value. Only exact medians start a job here.
     """
     specs = _check(df, specs)
-    exact = [s for s in specs if s.method == "median" and s.exact]
-    sketched = [s for s in specs if s not in exact]
+    fallback = {s.column: s.stratum for s in specs if s.fallback and s.stratum is not None}
+    fitted = [*specs, *[replace(s, stratum=None, rounded=s.rounds) for s in specs if s.column in fallback]]
+    exact = [s for s in fitted if s.method == "median" and s.exact]
+    sketched = [s for s in fitted if s not in exact]
     parts = []
     if sketched:
         parts.append(_one_pass_params(df, sketched))
     if exact:
         parts.append(_exact_params(df, exact))
     params = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return params.filter(
-        F.col("stratum_column").isNull() | F.col("stratum_value").isNotNull()
-    ).select(*[F.col(f.name).cast(f.dataType) for f in PARAMS_SCHEMA])
+    params = params.filter(F.col("stratum_column").isNull() | F.col("stratum_value").isNotNull())
+    for name, stratum in fallback.items():
+        overall = (F.col("column") == name) & F.col("stratum_column").isNull()
+        kind = df.schema[stratum].dataType.simpleString()
+        params = params.withColumns({
+            "stratum_column": F.when(overall, F.lit(stratum)).otherwise(F.col("stratum_column")),
+            "stratum_type": F.when(overall, F.lit(kind)).otherwise(F.col("stratum_type"))})
+    return params.select(*[F.col(f.name).cast(f.dataType) for f in PARAMS_SCHEMA])
 
 
 def fit_imputation(
@@ -223,7 +233,9 @@ def apply_imputation(df: DataFrame, params: DataFrame) -> DataFrame:
     """Fill nulls from a parameter table; filled columns become double.
 
     Columns that share a stratum are filled by one join. The parameters are cast to the type
-    of the input's own stratum column. Rows whose stratum is null or unknown stay null.
+    of the input's own stratum column. Rows whose stratum is null or unknown get the value for
+    other strata, or stay null if there is none. Two rows for one column and stratum are an error.
+    One job reads the parameters, and without a broadcast one pass counts the keys of all strata.
     """
     require_dataframe(df, "input")
     require_dataframe(params, "params")
@@ -231,14 +243,21 @@ def apply_imputation(df: DataFrame, params: DataFrame) -> DataFrame:
     header = (
         params.groupBy("column", "stratum_column")
         .agg(F.max(F.when(F.col("stratum_column").isNull(), F.col("value"))).alias("value"),
-             F.count_distinct("method").alias("methods"))
+             F.max(F.when(F.col("stratum_value").isNull(), F.col("value"))).alias("other"),
+             F.count_distinct("method").alias("methods"), F.count(F.lit(1)).alias("rows"),
+             (F.count_distinct("stratum_value") + F.max(F.col("stratum_value").isNull().cast("int"))
+              ).alias("different"))
         .collect()  # one row per imputed column
     )
     names = [r["column"] for r in header]
     if len(set(names)) < len(names) or any(r["methods"] > 1 for r in header):
         raise ValueError("params hold more than one rule for a column")
+    repeated = [r["column"] for r in header if r["rows"] > r["different"]]
+    if repeated:
+        raise ValueError(f"params hold two values for one stratum of: {', '.join(sorted(repeated))}")
     require_numeric(df, names)
     columns, filled = df.columns, {}
+    other = {r["column"]: r["other"] for r in header}
     strata: dict[str, list[str]] = {}
     for row in header:
         if row["stratum_column"] is None:
@@ -248,21 +267,24 @@ def apply_imputation(df: DataFrame, params: DataFrame) -> DataFrame:
     require_columns(df, strata)
 
     # Parameters small enough to broadcast are also small enough to pivot without a shuffle.
-    rules = params.coalesce(1) if fits_broadcast(params) else params
+    small = fits_broadcast(params)
+    rules = params.coalesce(1) if small else params
+    hot = {} if small else find_hot_keys_of(df, list(strata))
     wide = df
     for i, (stratum, imputed) in enumerate(sorted(strata.items())):
         key = F.col("stratum_value").try_cast(df.schema[stratum].dataType)
         lookup = (
-            rules.filter(F.col("stratum_column") == stratum)
+            rules.filter((F.col("stratum_column") == stratum) & F.col("stratum_value").isNotNull())
             .groupBy(key.alias(stratum))
             .agg(*[
                 F.max(F.when(F.col("column") == name, F.col("value"))).alias(f"__fill_{i}_{j}")
                 for j, name in enumerate(imputed)
             ])
         )
-        wide = equi_join(wide, lookup, stratum, "left")
+        wide = equi_join(wide, lookup, stratum, "left", hot=hot.get(stratum))
         for j, name in enumerate(imputed):
-            filled[name] = F.coalesce(numeric(df, name), F.col(f"__fill_{i}_{j}"))
+            filled[name] = F.coalesce(
+                numeric(df, name), F.col(f"__fill_{i}_{j}"), F.lit(other[name]).cast("double"))
     return wide.select(*[
         filled[c].alias(c) if c in filled else column(c) for c in columns
     ])

@@ -20,15 +20,18 @@ from strataprop.functions.runtime import fits_broadcast, shuffle_partitions
 
 SALT = "__salt"
 RIGHT_SALT = "__right_salt"
+RIGHT = ("right", "right_outer", "rightouter")
+FULL = ("full", "full_outer", "fullouter", "outer")
 # Join types whose result does not change when left rows are spread over copies of the right rows.
 SPREADABLE = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi",
               "left_anti", "leftanti", "anti")
 FILTERING = ("left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti")
 # A key is left alone below this many rows, whatever its share.
 HOT_ROWS = 1_000_000
-# Sketch size: keys reported, and counters kept to find them.
-HOT_KEYS_REPORTED = 100
-HOT_KEYS_TRACKED = 10_000
+# A key above twice an average partition can be hot, so half as many keys as partitions can be. The
+# sketch reports as many, and keeps so many counters for each of them.
+COUNTERS_PER_KEY = 20
+FEWEST_KEYS = 100
 
 
 @dataclass(frozen=True)
@@ -38,12 +41,33 @@ class HotKeys:
     The set is a performance hint: any set, even an empty or a wrong one, gives the same rows.
     """
 
-    hashes: tuple[int, ...]
-    salts: int
+    per_key: dict[int, int]
     null_salts: int
 
     def __bool__(self) -> bool:
-        return bool(self.hashes) or self.null_salts > 1
+        return bool(self.per_key) or self.null_salts > 1
+
+    @property
+    def hashes(self) -> tuple[int, ...]:
+        return tuple(self.per_key)
+
+    @property
+    def salts(self) -> int:
+        """The number of salts of the hottest key."""
+        return max(self.per_key.values(), default=1)
+
+    def salts_of(self, key_hash: Column) -> Column:
+        """How many salts the key has; 1 for keys that are not hot.
+
+        Numbers of salts are powers of two, so that the expression has a branch for each power.
+        """
+        by_number: dict[int, list[int]] = {}
+        for key, number in self.per_key.items():
+            by_number.setdefault(number, []).append(key)
+        salts = F.when(F.lit(False), F.lit(1))
+        for number, keys in sorted(by_number.items()):
+            salts = salts.when(key_hash.isin(keys), F.lit(number))
+        return salts.otherwise(F.lit(1))
 
 
 def _hash(df: DataFrame, on: list[str]) -> Column:
@@ -77,32 +101,39 @@ def find_hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) ->
 
     A key is hot above ``hot_rows`` rows and above twice the rows of an average partition.
     """
+    return _hot_keys(df, [on], hot_rows)[0]
+
+
+def find_hot_keys_of(
+    df: DataFrame, keys: list[str], hot_rows: int | None = None
+) -> dict[str, HotKeys]:
+    """The hot values of several single-column keys, all from one pass."""
+    if not keys:
+        return {}
+    return dict(zip(keys, _hot_keys(df, [[key] for key in keys], hot_rows)))
+
+
+def _hot_keys(df: DataFrame, keys: list[list[str]], hot_rows: int | None) -> list[HotKeys]:
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    has_null = _any_null(on)
-    sketch = (
-        df.select(has_null.alias("is_null"), _hash(df, on).alias("hash"))
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("is_null")).alias("nulls"),
-            F.expr(
-                "approx_top_k(if(is_null, null, hash), "
-                f"{HOT_KEYS_REPORTED}, {HOT_KEYS_TRACKED})"
-            ).alias("top"),
-        )
-        .first()
-    )
     partitions = shuffle_partitions(df.sparkSession)
+    reported = max(partitions // 2, FEWEST_KEYS)
+    counters = min(reported * COUNTERS_PER_KEY, 1_000_000)
+    parts, facts = [], [F.count(F.lit(1)).alias("total")]
+    for i, on in enumerate(keys):
+        parts += [_any_null(on).alias(f"is_null_{i}"), _hash(df, on).alias(f"hash_{i}")]
+        facts += [F.count_if(F.col(f"is_null_{i}")).alias(f"nulls_{i}"), F.expr(
+            f"approx_top_k(if(is_null_{i}, null, hash_{i}), {reported}, {counters})").alias(f"top_{i}")]
+    sketch = df.select(*parts).agg(*facts).first()
     average = sketch["total"] / partitions
-    limit = max(hot_rows, 2 * average)
-    piece = max(hot_rows, average)
-    top = [(r["item"], r["count"]) for r in sketch["top"] or [] if r["item"] is not None]
-    hot = [(item, count) for item, count in top if count > limit]
-    salts = math.ceil(max((count for _, count in hot), default=0) / piece)
-    return HotKeys(
-        hashes=tuple(item for item, _ in hot),
-        salts=max(salts, 1),
-        null_salts=math.ceil(sketch["nulls"] / piece) if sketch["nulls"] > limit else 1,
-    )
+    limit, piece = max(hot_rows, 2 * average), max(hot_rows, average)
+    found = []
+    for i in range(len(keys)):
+        nulls = sketch[f"nulls_{i}"]
+        top = [(r["item"], r["count"]) for r in sketch[f"top_{i}"] or [] if r["item"] is not None]
+        found.append(HotKeys(
+            per_key={item: 1 << math.ceil(math.log2(count / piece)) for item, count in top if count > limit},
+            null_salts=math.ceil(nulls / piece) if nulls > limit else 1))
+    return found
 
 
 def add_salt(
@@ -121,9 +152,8 @@ def add_salt(
                      and not isinstance(f.dataType, T.VariantType)][:1]
     spread = F.xxhash64(F.spark_partition_id(), *[column(c) for c in spread_by])
     salt = F.when(_any_null(on), F.pmod(spread, F.lit(hot.null_salts)))
-    if hot.hashes:
-        salt = salt.when(_hash(df, on).isin(list(hot.hashes)), F.pmod(spread, F.lit(hot.salts)))
-    return df.withColumn(name, salt.otherwise(F.lit(0)).cast("int"))
+    own = F.pmod(spread, hot.salts_of(_hash(df, on))) if hot.per_key else F.lit(0)
+    return df.withColumn(name, salt.otherwise(own).cast("int"))
 
 
 def add_all_salts(
@@ -131,12 +161,9 @@ def add_all_salts(
 ) -> DataFrame:
     """Give the rows of hot keys one copy per salt value. Null keys match nothing and are left out."""
     df = df.filter(~_any_null(on))
-    if not hot.hashes:
+    if not hot.per_key:
         return df.withColumn(name, F.lit(0))
-    salts = F.when(
-        _hash(df, on).isin(list(hot.hashes)), F.sequence(F.lit(0), F.lit(hot.salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    return df.withColumn(name, F.explode(salts))
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), hot.salts_of(_hash(df, on)) - 1)))
 
 
 def equi_join(
@@ -158,12 +185,17 @@ def equi_join(
 
     ``hot`` passes hot keys that are already known, which saves the pass that looks for them.
     ``repeated_right`` also looks for keys with very many rows on the right and spreads those.
+
+    Lazy, but that a right side beyond the threshold starts a job that counts the left keys.
     """
     require_dataframe(left, "left")
     require_dataframe(right, "right")
     on = [on] if isinstance(on, str) else list(on)
     require_columns(left, on, "left")
     require_columns(right, on, "right")
+    if how in (*RIGHT, *FULL) and _comparable(left, right, on) and not (
+            fits_broadcast(left) and fits_broadcast(right)):
+        return _keep_right(left, right, on, how, hot, spread_by, hot_rows)
     if how in FILTERING:
         right = right.select(*[column(c) for c in on]).distinct()
     spreadable = how in SPREADABLE and _comparable(left, right, on)
@@ -172,7 +204,7 @@ def equi_join(
         hot = find_hot_keys(left, on, hot_rows)
     if repeated_right and spreadable and shuffled and how not in FILTERING:
         right_hot = find_hot_keys(right, on, hot_rows)
-        if right_hot.hashes:
+        if right_hot.per_key:
             return _spread_both(left, right, on, how, hot, right_hot, spread_by)
     if not (spreadable and hot):
         return left.join(right, on, how)
@@ -180,6 +212,21 @@ def equi_join(
     return salted.join(copies, [*on, SALT], how).drop(SALT)
 
 
+def _keep_right(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, hot: HotKeys | None,
+    spread_by: list[str] | None, hot_rows: int | None,
+) -> DataFrame:
+    """Right and full joins from joins that can be spread, with hot keys on either side."""
+    columns = [*on, *[c for df in (left, right) for c in df.columns if c not in on]]
+    if how in RIGHT:
+        joined = equi_join(right, left, on, "left", hot_rows=hot_rows, repeated_right=True)
+    else:
+        joined = equi_join(left, right, on, "left", hot=hot, spread_by=spread_by,
+                           hot_rows=hot_rows, repeated_right=True).unionByName(
+            equi_join(right, left, on, "left_anti", hot_rows=hot_rows), allowMissingColumns=True)
+    return joined.select(*[column(c) for c in columns])
+
+
 def _spread_both(
     left: DataFrame, right: DataFrame, on: list[str], how: str, left_hot: HotKeys,
     right_hot: HotKeys, spread_by: list[str] | None,

@@ -3,18 +3,19 @@
 Spark's ``percentile`` and ``percentile_disc`` keep every distinct value of a group in the memory
 of one task. Here a bounded sketch first brackets each quantile, then the rows inside the
 brackets are counted per value, which is a small share of a large group (6 / accuracy per
-quantile).
+quantile), and the counts are added up range by range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.checks import require_choice, require_numeric, require_unit_interval
 from strataprop.functions.expressions import column, numeric
 from strataprop.functions.runtime import stage
 from strataprop.operators.joins import equi_join
+from strataprop.operators.running import running_total
 
 SKETCH_ACCURACY = 50_000
 # A group of up to this many rows keeps all its values as candidates.
@@ -110,9 +111,7 @@ def exact_quantiles(
         .groupBy("grp", clipped.alias("candidate"))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n"))
     )
-    running = Window.partitionBy("grp").orderBy("candidate").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = candidates.withColumn("up_to", F.sum("n_rows").over(running))
+    ranked = running_total(candidates, "n_rows", [F.col("candidate")], "up_to", "grp")
 
     ranks = [_rank(p, kind) for p in probs]
     picks = []

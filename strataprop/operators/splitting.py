@@ -47,21 +47,41 @@ def split_by_hash(
 
 def split_by_sampling(
     df: DataFrame, *, key: str, target: str, fraction: float = 0.7, seed: int = 123,
-    path: str | None = None,
+    path: str | None = None, whole: bool = False,
 ) -> DataFrame:
     """The same column from a Bernoulli sample per label and an anti-join.
 
     Which rows are drawn depends on the layout of the input, so the sample is written once, to
-    ``path`` or the shared folder, and every later use reads that. Unsampled copies of a
-    sampled key are in neither part.
+    ``path`` or the shared folder, and every later use reads that. Unsampled copies of a sampled key
+    are in neither part; with ``whole`` they go to the training part too, so that the two parts are
+    the whole table.
     """
     _check(df, key, target, fraction)
     fractions = {label: float(fraction) for label in LABELS}
     train = stage(df.sampleBy(column(target), fractions, seed), path)
+    if whole:
+        keys = train.select(column(key)).dropna().distinct()
+        both = df.filter(column(key).isNotNull()).join(
+            keys.withColumn("__drawn", F.lit(True)), key, "left")
+        part = F.when(F.col("__drawn"), F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
+        keyless = df.filter(column(key).isNull()).withColumn(SPLIT, F.lit(VALIDATION))
+        return both.withColumn(SPLIT, part).select(*[column(c) for c in df.columns], SPLIT).unionByName(keyless)
     return train.withColumn(SPLIT, F.lit(TRAIN)).unionByName(
         validation_rows(df, train, key).withColumn(SPLIT, F.lit(VALIDATION)))
 
 
+def given_split(df: DataFrame, *, key: str, target: str) -> DataFrame:
+    """The table as it is, if its own ``split`` column has ``train`` and ``val`` and nothing else."""
+    require_dataframe(df, "input")
+    require_columns(df, [key, target, SPLIT])
+    known = F.coalesce(F.col(SPLIT).isin(TRAIN, VALIDATION), F.lit(False))
+    found = df.agg(F.count_if(~known).alias("others"),
+                   F.count_if(F.col(SPLIT) == TRAIN).alias("train")).first()
+    if found["others"] or not found["train"]:
+        raise ValueError(f"column {SPLIT!r} must hold {TRAIN!r} and {VALIDATION!r} only, and some {TRAIN!r}")
+    return df
+
+
 def validation_rows(df: DataFrame, train: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the training sample. Rows without a key always stay."""
     require_columns(df, [key])

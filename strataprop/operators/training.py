@@ -43,18 +43,23 @@ def fit_classifier(
     handle_invalid: str = "keep",
     seed: int = 123,
     max_levels: int = MAX_LEVELS,
+    tree_categories: str = "nominal",
     params: dict | None = None,
 ) -> PipelineModel:
     """Fit encoders and classifier together on every column but the key and the target.
 
     ``logistic`` is a logistic regression on one-hot categoricals; ``gbt`` boosts trees on
-    indexed categoricals. ``params`` are passed on to the Spark estimator. Nulls are refused.
+    indexed categoricals. With ``tree_categories="nominal"`` a split takes any set of levels, which
+    needs a bin for each level in every feature's histogram: more levels than ``maxBins`` are
+    refused. ``"rank"`` splits a categorical by its levels' ranks by frequency and has no limit.
+    ``params`` are passed on to the Spark estimator. Nulls are refused.
 
     The rows are read many times: pass a written table rather than an unmaterialised join.
     """
     require_dataframe(train, "train")
     require_choice(estimator, ESTIMATORS, "estimator")
-    require_choice(handle_invalid, ("keep", "error", "skip"), "handle_invalid")
+    require_choice(handle_invalid, ("keep", "error"), "handle_invalid")
+    require_choice(tree_categories, ("nominal", "rank"), "tree_categories")
     require_columns(train, [target, key], "train")
     numerics, categoricals = feature_columns(
         train, target=target, key=key, categoricals=categoricals)
@@ -63,6 +68,7 @@ def fit_classifier(
     used = train.select(*[column(c) for c in [*numerics, *categoricals, target]])
     encoder = Pipeline(stages=encoding_stages(
         numerics, categoricals, one_hot=estimator == "logistic", handle_invalid=handle_invalid,
+        ranked=tree_categories == "rank",
     )).fit(used)
 
     common = {"featuresCol": FEATURES, "labelCol": target}
@@ -70,10 +76,14 @@ def fit_classifier(
         classifier = LogisticRegression(**common, **(params or {}))
     else:
         shape = dict(GBT_SHAPE, maxIter=GBT_TREES, stepSize=GBT_LEARNING_RATE, seed=seed)
-        # A tree needs a bin for each level of a categorical feature, the unseen one included.
-        levels = encoder.stages[0].labelsArray if categoricals else []
-        shape["maxBins"] = max(shape["maxBins"], *[len(known) + 1 for known in levels], 2)
-        classifier = GBTClassifier(**common, **{**shape, **(params or {})})
+        shape |= params or {}
+        # A tree needs a bin for each level of a nominal feature, the unseen one included.
+        levels = encoder.stages[0].labelsArray if categoricals and tree_categories == "nominal" else []
+        most = max((len(known) + 1 for known in levels), default=0)
+        if most > shape["maxBins"]:
+            raise ValueError(f"a categorical has {most} levels: pass tree_categories='rank', "
+                             f"or params with a larger maxBins than {shape['maxBins']}")
+        classifier = GBTClassifier(**common, **shape)
     return PipelineModel([*encoder.stages, classifier.fit(encoder.transform(used))])
 
 

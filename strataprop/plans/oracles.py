@@ -58,6 +58,10 @@ nations AS (
   UNION ALL
   SELECT n_nationkey, n_name, 2 FROM nation WHERE n_nationkey = 1)"""
 
+SUPPLIERS = """
+suppliers AS (
+  SELECT s_suppkey, CASE WHEN s_suppkey % 9 > 0 THEN s_nationkey END AS nation_id FROM supplier)"""
+
 # One fitted value per column, or per column and stratum, from the rows of `fit`.
 FITTED = """
 by_priority AS (SELECT priority, round(avg(total_price)) AS v FROM fit
@@ -145,6 +149,40 @@ def _correlations() -> str:
     return f"WITH {_features()}, kept AS (SELECT * FROM features WHERE {kept}) {pairs}"
 
 
+def _wide_correlations() -> str:
+    made = [f"total_price * {k} + id % {k + 2} * 1000 AS x{k}" for k in range(11)]
+    names = [*CORRELATED, *[f"x{k}" for k in range(11)], "constant"]
+    kept = " AND ".join(f"{c} IS NOT NULL" for c in CORRELATED)
+
+    def cell(a: str, b: str) -> str:
+        corr = "CAST(NULL AS DOUBLE)" if "constant" in (a, b) else f"round(corr({a}, {b}), 6)"
+        return f"SELECT '{a}' AS col_i, '{b}' AS col_j, {corr} AS corr FROM kept"
+
+    pairs = " UNION ALL ".join(cell(a, b) for a in names for b in names)
+    return (f"WITH {_features()}, kept AS (SELECT *, {', '.join(made)} FROM features WHERE {kept}) "
+            f"SELECT DISTINCT * FROM ({pairs})")
+
+
+HASH_PART = _hash("id")
+DATE_PART = "day(o_orderdate) <= 20"
+LONG_METRICS = """
+SELECT sample, 'accuracy' AS metric, accuracy AS value FROM metrics
+UNION ALL SELECT sample, 'precision', precision FROM metrics
+UNION ALL SELECT sample, 'recall', recall FROM metrics
+UNION ALL SELECT sample, 'f1', f1 FROM metrics"""
+
+
+def _by_level(in_training: str) -> str:
+    """Rows with their split, and each level's share of positives among the training rows."""
+    return f"""
+target AS ({TARGET}),
+rows AS (
+  SELECT id, label, o_orderpriority AS priority,
+         CASE WHEN {in_training} THEN 'train' ELSE 'val' END AS split
+  FROM target JOIN orders ON o_orderkey = id),
+shares AS (SELECT priority, avg(label) AS share FROM rows WHERE split = 'train' GROUP BY priority)"""
+
+
 LINE_SCORES = """
 scores AS (
   SELECT *, 1 / (1 + exp(-(0.04 * l_quantity - 9.0 * l_discount
@@ -206,6 +244,26 @@ FROM customer LEFT JOIN newest ON c_nationkey = nation_id""",
     "join_semi": f"""
 WITH profile AS ({PROFILE.format(price=PRICE)})
 SELECT * FROM profile WHERE id IN (SELECT l_orderkey FROM lineitem)""",
+    "join_hot_left": """
+SELECT l_orderkey, l_linenumber, l_suppkey AS supp_id, s_name
+FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+    "join_hot_right": """
+SELECT n_nationkey AS nation_id, n_name, c_custkey
+FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey""",
+    "join_hot_both": f"""
+WITH {SUPPLIERS}
+SELECT s.nation_id, s_suppkey, c_custkey
+FROM suppliers s LEFT JOIN customer ON s.nation_id = c_nationkey""",
+    "join_right": f"""
+WITH {SUPPLIERS}, chosen AS (SELECT * FROM suppliers WHERE nation_id % 2 = 0 OR nation_id IS NULL),
+few AS (SELECT * FROM customer WHERE c_nationkey % 3 > 0 AND c_custkey % 5 > 0)
+SELECT c_nationkey AS nation_id, s_suppkey, c_custkey
+FROM chosen s RIGHT JOIN few ON s.nation_id = c_nationkey""",
+    "join_full": f"""
+WITH {SUPPLIERS}, chosen AS (SELECT * FROM suppliers WHERE nation_id % 2 = 0 OR nation_id IS NULL),
+few AS (SELECT * FROM customer WHERE c_nationkey % 3 > 0 AND c_custkey % 5 > 0)
+SELECT coalesce(s.nation_id, c_nationkey) AS nation_id, s_suppkey, c_custkey
+FROM chosen s FULL JOIN few ON s.nation_id = c_nationkey""",
     "impute_global_mean": _impute("avg(total_price)", False),
     "impute_global_median": _impute("quantile_disc(total_price, 0.5)", False),
     "impute_stratified_mean": _impute("round(avg(total_price))", True),
@@ -218,8 +276,23 @@ SELECT id, priority,
 FROM profile""",
     "median_sketch_error": f"""
 WITH profile AS ({PROFILE.format(price=PRICE_WITH_NULLS)})
-SELECT priority, CAST(count(total_price) AS BIGINT) AS n, true AS within_bound
+SELECT priority, CAST(count(total_price) AS BIGINT) AS n,
+       round(quantile_disc(total_price, 0.5), 4) AS median
 FROM profile GROUP BY priority""",
+    "impute_global_sketch": _impute("quantile_disc(total_price, 0.5)", False),
+    "impute_unknown_stratum": f"""
+WITH profile AS ({PROFILE.format(price=PRICE_WITH_NULLS)}),
+fit AS (SELECT * FROM profile WHERE priority <> '1-URGENT'),
+v AS (SELECT priority, round(avg(total_price)) AS v FROM fit GROUP BY priority)
+SELECT id, p.priority, round(coalesce(total_price, v.v,
+       (SELECT round(avg(total_price)) FROM fit)), 4) AS total_price
+FROM profile p LEFT JOIN v ON p.priority = v.priority""",
+    "quantiles_narrow": """
+SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n,
+       round(quantile_disc(l_extendedprice, 0.1), 4) AS q10,
+       round(quantile_disc(l_extendedprice, 0.5), 4) AS q50,
+       round(quantile_disc(l_extendedprice, 0.9), 4) AS q90
+FROM lineitem GROUP BY l_returnflag""",
     "imputation_params": f"""
 WITH {_features(nulls=True)}, fit AS (SELECT * FROM features), {FITTED}
 SELECT 'total_price' AS "column", 'mean' AS method, 'priority' AS stratum_column,
@@ -247,13 +320,15 @@ UNION ALL SELECT id, label, 'val' FROM split WHERE split = 'val'""",
 WITH {SPLIT} SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY split, label""",
     "split_bernoulli_counts": f"""
 WITH target AS ({TARGET})
-SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS in_both, true AS share_as_asked
+SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS in_both,
+       CAST(0.7 AS DOUBLE) AS share
 FROM target GROUP BY label""",
     "contingency": """
 SELECT o_orderpriority, o_orderstatus, CAST(count(*) AS BIGINT) AS n
 FROM orders GROUP BY o_orderpriority, o_orderstatus""",
     "chi_square": CHI_SQUARE,
     "correlation_matrix": _correlations(),
+    "correlation_matrix_wide": _wide_correlations(),
     "box_stats": f"WITH {_box(UNIT_PRICES, 'g AS l_returnflag,')}",
     "box_stats_overall": f"WITH {_box(ALL_PRICES, '')}",
     "bin_2d": """
@@ -273,8 +348,29 @@ FROM orders JOIN levels ON o_orderpriority = level""",
     "logistic_calibration": f"""
 WITH {_features()}, {SPLIT_FEATURES}
 SELECT segment, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives,
-       true AS calibrated
+       round(avg(label), 2) AS share
 FROM fit GROUP BY segment""",
+    "train_metrics_by_level": f"""
+WITH {_by_level(HASH_PART)}, graded AS (
+  SELECT split || '_sample' AS sample, label AS y_true,
+         CASE WHEN share >= 0.5 THEN 1 ELSE 0 END AS y_pred
+  FROM rows JOIN shares USING (priority)), {_metrics('graded', 'sample')} {LONG_METRICS}""",
+    "train_given_split": f"""
+WITH {_by_level(DATE_PART)}, graded AS (
+  SELECT split || '_sample' AS sample, label AS y_true,
+         CASE WHEN share >= 0.5 THEN 1 ELSE 0 END AS y_pred
+  FROM rows JOIN shares USING (priority)), {_metrics('graded', 'sample')} {LONG_METRICS}""",
+    "pipeline_score_by_level": f"""
+WITH {_by_level(HASH_PART)}
+SELECT id, priority, round(share, 3) AS share FROM rows JOIN shares USING (priority)""",
+    "gbt_one_tree": f"""
+WITH {_by_level(HASH_PART)}
+SELECT id, priority, round(1 / (1 + exp(-2 * (2 * share - 1))), 4) AS probability
+FROM rows JOIN shares USING (priority)""",
+    "scored_rows_written": f"""
+WITH {_by_level(HASH_PART)}
+SELECT priority, CAST(count(*) AS BIGINT) AS n, round(avg(share), 3) AS share
+FROM rows JOIN shares USING (priority) GROUP BY priority""",
     "python_model_score": f"""
 WITH {LINE_SCORES}
 SELECT l_orderkey, l_linenumber, round(1 - p, 6) AS Probs_0, round(p, 6) AS Probs_1

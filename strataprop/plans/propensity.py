@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataprop.functions.checks import require_choice
 from strataprop.functions.runtime import stage
+from strataprop.operators.features import MAX_LEVELS, check_no_nulls, feature_columns, input_columns
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
 from strataprop.operators.joins import feature_table
 from strataprop.operators.scoring import score
-from strataprop.operators.splitting import SPLIT, TRAIN, split_by_hash
+from strataprop.operators.splitting import (
+    SPLIT,
+    TRAIN,
+    given_split,
+    split_by_hash,
+    split_by_sampling,
+)
 from strataprop.operators.training import evaluate, fit_classifier
 from strataprop.sources.artifacts import load_params, load_pipeline, save_params, save_pipeline
 from strataprop.sources.tables import read_table
@@ -46,23 +55,34 @@ def train(
     features: DataFrame, *, target: str, key: str, categoricals: list[str] | None = None,
     imputations: list[Impute] | None = None, estimator: str = "logistic", fraction: float = 0.7,
     seed: int = 123, threshold: float = 0.5, handle_invalid: str = "keep",
-    estimator_params: dict | None = None, split_path: str | None = None,
+    max_levels: int = MAX_LEVELS, tree_categories: str = "nominal",
+    estimator_params: dict | None = None, method: str = "hash", split_path: str | None = None,
 ) -> TrainingResult:
     """Split, fit the imputation and the classifier on the training part, grade both parts.
 
-    The split table is written once, to ``split_path`` or the shared folder, so that the joins
-    behind it run once and a lost executor costs a file read; the fit reads the files of the
-    training part only.
+    ``method`` splits by ``hash`` of the key, by a Bernoulli ``sample`` whose keys stay together, or takes
+    the ``given`` column ``split`` of ``train`` and ``val``. The split table is written once, and so is the
+    imputed one, to ``split_path`` or the shared folder, so that the joins behind them run once and
+    a lost executor costs a file read; the fits read the files of the training part only.
     """
-    split = stage(split_by_hash(features, key=key, target=target, fraction=fraction, seed=seed),
-                  split_path, partition_by=SPLIT)
-    training = split.filter(F.col(SPLIT) == TRAIN)
-    params = fit_imputation(training, imputations) if imputations else None
-    filled = split if params is None else apply_imputation(split, params)
+    require_choice(method, ("hash", "sample", "given"), "method")
+    if method == "given":
+        split = given_split(features, key=key, target=target)
+    else:
+        by = split_by_hash if method == "hash" else partial(split_by_sampling, whole=True)
+        split = by(features, key=key, target=target, fraction=fraction, seed=seed)
+    if imputations:
+        split = stage(split, partition_by=SPLIT)
+        params = fit_imputation(split.filter(F.col(SPLIT) == TRAIN), imputations)
+        filled = stage(apply_imputation(split, params), split_path, partition_by=SPLIT)
+    else:
+        params, filled = None, stage(split, split_path, partition_by=SPLIT)
     model = fit_classifier(
         filled.filter(F.col(SPLIT) == TRAIN), estimator=estimator, target=target, key=key,
-        categoricals=categoricals, handle_invalid=handle_invalid, seed=seed,
-        params=estimator_params)
+        categoricals=categoricals, handle_invalid=handle_invalid, seed=seed, max_levels=max_levels,
+        tree_categories=tree_categories, params=estimator_params)
+    used = feature_columns(filled, target=target, key=key, categoricals=categoricals)
+    check_no_nulls(filled.filter(F.col(SPLIT) != TRAIN), [*used[0], *used[1]])
     return TrainingResult(model, params, evaluate(model, filled, target=target, threshold=threshold))
 
 
@@ -76,9 +96,14 @@ def save_training(result: TrainingResult, folder: str, mode: str = "error") -> N
 def score_saved(
     features: DataFrame, folder: str, *, imputed: bool = True, keep: list[str] | None = None
 ) -> DataFrame:
-    """Impute with the saved parameters and score with the saved pipeline; lazy."""
+    """Impute with the saved parameters and score with the saved pipeline.
+
+    One job looks for nulls that the imputation left, and names their columns.
+    """
     folder = folder.rstrip("/")
+    model = load_pipeline(f"{folder}/pipeline")
     if imputed:
         features = apply_imputation(
             features, load_params(features.sparkSession, f"{folder}/imputation"))
-    return score(load_pipeline(f"{folder}/pipeline"), features, keep)
+    check_no_nulls(features, input_columns(model))
+    return score(model, features, keep)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.ml import Pipeline
@@ -20,6 +21,7 @@ from strataprop.operators.imputation import (
     params_from_values,
 )
 from strataprop.operators.joins import equi_join, unique_dimension
+from strataprop.operators.quantiles import exact_quantiles
 from strataprop.operators.scoring import score, score_python
 from strataprop.operators.training import fit_classifier
 from strataprop.plans import fixtures as fx
@@ -90,6 +92,61 @@ def join_semi(spark, sf_dir) -> DataFrame:
     return equi_join(fx.profile(spark, sf_dir), lines, "id", "left_semi")
 
 
+@contextmanager
+def _shuffled(spark):
+    """Plan as for sides too large to broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def join_hot_left(spark, sf_dir) -> DataFrame:
+    """Every supplier has many lines: all keys of the left side are spread."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("supp_id"))
+    suppliers = fx.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("supp_id"), "s_name")
+    with _shuffled(spark):
+        return equi_join(lines, suppliers, "supp_id", hot_rows=20)
+
+
+def join_hot_right(spark, sf_dir) -> DataFrame:
+    nations = fx.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation_id"), "n_name")
+    with _shuffled(spark):
+        return equi_join(nations, _customers(spark, sf_dir), "nation_id", hot_rows=2, repeated_right=True)
+
+
+def _suppliers(spark, sf_dir) -> DataFrame:
+    return fx.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.when(F.col("s_suppkey") % 9 > 0, F.col("s_nationkey")).alias("nation_id"))
+
+
+def join_hot_both(spark, sf_dir) -> DataFrame:
+    with _shuffled(spark):
+        return equi_join(_suppliers(spark, sf_dir), _customers(spark, sf_dir), "nation_id",
+                         hot_rows=2, repeated_right=True)
+
+
+def _few_customers(spark, sf_dir) -> DataFrame:
+    return _customers(spark, sf_dir).filter("nation_id % 3 > 0 and c_custkey % 5 > 0")
+
+
+def join_right(spark, sf_dir) -> DataFrame:
+    with _shuffled(spark):
+        return equi_join(_suppliers(spark, sf_dir).filter("nation_id % 2 = 0 or nation_id is null"),
+                         _few_customers(spark, sf_dir), "nation_id", "right", hot_rows=2)
+
+
+def join_full(spark, sf_dir) -> DataFrame:
+    with _shuffled(spark):
+        return equi_join(_suppliers(spark, sf_dir).filter("nation_id % 2 = 0 or nation_id is null"),
+                         _few_customers(spark, sf_dir), "nation_id", "full", hot_rows=2)
+
+
 # --- imputation ----------------------------------------------------------------------------
 
 
@@ -123,17 +180,34 @@ def impute_given_values(spark, sf_dir) -> DataFrame:
 
 
 def median_sketch_error(spark, sf_dir) -> DataFrame:
-    """The sketched median per stratum, graded by how many values lie below and up to it."""
+    """The sketched median per stratum, with a sketch so fine that it has no error."""
     rows = fx.profile_with_nulls(spark, sf_dir)
-    spec = Impute("total_price", "median", "priority")
+    spec = Impute("total_price", "median", "priority", accuracy=1_000_000)
     params = fit_imputation(rows, spec).select(F.col("stratum_value").alias("priority"), "value")
-    ranked = equi_join(rows.dropna(), params, "priority").groupBy("priority").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("total_price") < F.col("value")).alias("below"),
-        F.count_if(F.col("total_price") <= F.col("value")).alias("up_to"))
-    slack = F.col("n") / spec.accuracy + 1
-    close = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("up_to") >= F.col("n") / 2 - slack)
-    return ranked.select("priority", "n", close.alias("within_bound"))
+    counted = rows.groupBy("priority").agg(F.count("total_price").alias("n"))
+    return equi_join(counted, params, "priority").select(
+        "priority", "n", F.round("value", 4).alias("median"))
+
+
+def impute_global_sketch(spark, sf_dir) -> DataFrame:
+    return _imputed(spark, sf_dir, Impute("total_price", "median", accuracy=1_000_000))
+
+
+def impute_unknown_stratum(spark, sf_dir) -> DataFrame:
+    """Fitted without one priority, whose rows get the value over all fitted rows."""
+    rows = fx.profile_with_nulls(spark, sf_dir)
+    params = fit_imputation(rows.filter("priority <> '1-URGENT'"),
+                            Impute("total_price", "mean", "priority", fallback=True))
+    return apply_imputation(rows, params).select(
+        "id", "priority", F.round("total_price", 4).alias("total_price"))
+
+
+def quantiles_narrow(spark, sf_dir) -> DataFrame:
+    """Exact quantiles of groups larger than the sketch, whose brackets are narrow."""
+    lines = fx.table(spark, sf_dir, "lineitem")
+    found = exact_quantiles(lines, "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"], accuracy=1000)
+    return found.select("l_returnflag", "n", *[
+        F.round(F.col("quantiles")[i], 4).alias(name) for i, name in enumerate(("q10", "q50", "q90"))])
 
 
 SPECS = [
@@ -200,17 +274,17 @@ def split_bernoulli(spark, sf_dir) -> DataFrame:
 
 
 def split_bernoulli_counts(spark, sf_dir) -> DataFrame:
-    """Per label: rows in either part, keys in both, and whether the share is about the fraction."""
+    """Per label: rows in either part, keys in both, and the share drawn to one digit."""
     train, validation = splitting.train_validation(split_bernoulli(spark, sf_dir))
     parts = train.withColumn("drawn", F.lit(1)).unionByName(
         validation.withColumn("drawn", F.lit(0)))
     per_key = parts.groupBy("id", "label").agg(
         F.sum("drawn").alias("drawn"), F.count(F.lit(1)).alias("copies"))
-    share = F.avg("drawn")
+    share = F.round(F.avg("drawn"), 1)
     return per_key.groupBy("label").agg(
         F.sum("copies").alias("n"),
         F.count_if(F.col("copies") > 1).alias("in_both"),
-        share.between(0.65, 0.75).alias("share_as_asked"))
+        share.alias("share"))
 
 
 # --- exploration ---------------------------------------------------------------------------
@@ -236,6 +310,16 @@ def correlation_matrix(spark, sf_dir) -> DataFrame:
     return pairs.withColumn("corr", F.round("corr", 6))
 
 
+def correlation_matrix_wide(spark, sf_dir) -> DataFrame:
+    """Seventeen columns, one of them constant."""
+    wide = fx.features(spark, sf_dir)
+    more = [(F.col("total_price") * k + F.col("id") % (k + 2) * 1000).alias(f"x{k}") for k in range(11)]
+    wide = wide.select("total_price", "n_lines", "sum_qty", "max_price", "acctbal", *more,
+                       F.lit(7.0).alias("constant"))
+    pairs = exploration.correlation_matrix(wide, wide.columns, nulls="skip")
+    return pairs.withColumn("corr", F.round("corr", 6))
+
+
 def box_stats(spark, sf_dir) -> DataFrame:
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_returnflag", (F.col("l_extendedprice") / F.col("l_quantity") / F.col("l_quantity"))
@@ -301,7 +385,64 @@ def logistic_train_metrics(spark, sf_dir) -> DataFrame:
 
 
 def gbt_train_metrics(spark, sf_dir) -> DataFrame:
-    return _trained(spark, sf_dir, "gbt", {"maxIter": 5}).metrics
+    return _trained(spark, sf_dir, "gbt").metrics
+
+
+def _by_level(spark, sf_dir, split: str = "hash") -> DataFrame:
+    """Order, label and one categorical; a ``given`` split is by the order's date."""
+    rows = fx.target(spark, sf_dir).join(fx.profile(spark, sf_dir).select("id", "priority"), "id")
+    if split == "hash":
+        return rows
+    dates = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.dayofmonth("o_orderdate").alias("day"))
+    part = F.when(F.col("day") <= 20, "train").otherwise("val").alias("split")
+    return rows.join(dates.select("id", part), "id")
+
+
+def _trained_by_level(rows: DataFrame, method: str = "hash", **more):
+    return propensity.train(rows, target="label", key="id", categoricals=["priority"],
+                            method=method, **more)
+
+
+EXACT = {"tol": 1e-10, "maxIter": 300}
+
+
+def train_metrics_by_level(spark, sf_dir) -> DataFrame:
+    """With one categorical the fitted probability is the level's share of positives."""
+    result = _trained_by_level(_by_level(spark, sf_dir), estimator_params=EXACT)
+    return result.metrics.withColumn("value", F.round("value", 6))
+
+
+def train_given_split(spark, sf_dir) -> DataFrame:
+    result = _trained_by_level(_by_level(spark, sf_dir, "given"), "given", estimator_params=EXACT)
+    return result.metrics.withColumn("value", F.round("value", 6))
+
+
+def _saved_scores(spark, sf_dir, **more) -> DataFrame:
+    """Trained, saved, loaded, and applied to all rows."""
+    rows, folder = _by_level(spark, sf_dir), _new_folder(spark)
+    propensity.save_training(_trained_by_level(rows, **more), folder)
+    return propensity.score_saved(rows, folder, imputed=False)
+
+
+def pipeline_score_by_level(spark, sf_dir) -> DataFrame:
+    return _saved_scores(spark, sf_dir, estimator_params=EXACT).select(
+        "id", "priority", F.round("Probs_1", 3).alias("share"))
+
+
+def gbt_one_tree(spark, sf_dir) -> DataFrame:
+    """The first tree's leaf holds the mean of 2 * label - 1 of its level."""
+    one = {"maxIter": 1, "minInstancesPerNode": 1}
+    return _saved_scores(spark, sf_dir, estimator="gbt", estimator_params=one).select(
+        "id", "priority", F.round("Probs_1", 4).alias("probability"))
+
+
+def scored_rows_written(spark, sf_dir) -> DataFrame:
+    path = _new_folder(spark)
+    write_table(_saved_scores(spark, sf_dir, estimator_params=EXACT), path)
+    written = read_table(spark, path)
+    return written.groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("Probs_1"), 3).alias("share"))
 
 
 def logistic_calibration(spark, sf_dir) -> DataFrame:
@@ -311,10 +452,9 @@ def logistic_calibration(spark, sf_dir) -> DataFrame:
         "id", "label", "total_price", "acctbal", *CATEGORICALS))
     model = fit_classifier(split, target="label", key="id", categoricals=CATEGORICALS,
                            params={"tol": 1e-9, "maxIter": 200})
-    gap = F.abs(F.avg("Probs_1") - F.avg("label"))
     return score(model, split).groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"),
-        (gap < 1e-3).alias("calibrated"))
+        F.round(F.avg("Probs_1"), 2).alias("share"))
 
 
 def pipeline_score(spark, sf_dir) -> DataFrame:
@@ -378,14 +518,17 @@ QUERIES = {
     for q in (
         scan_table, delimited_dimension, feature_table, feature_table_no_target,
         join_composite_key, join_duplicate_dimension, join_first_of_duplicates, join_semi,
+        join_hot_left, join_hot_right, join_hot_both, join_right, join_full,
         impute_global_mean, impute_global_median, impute_stratified_mean,
         impute_stratified_median, impute_given_values, median_sketch_error, imputation_params,
+        impute_global_sketch, impute_unknown_stratum, quantiles_narrow,
         impute_out_of_sample,
         split_hash, split_validation_anti, split_union, split_counts, split_bernoulli,
         split_bernoulli_counts,
-        contingency, chi_square, correlation_matrix, box_stats, box_stats_overall, bin_2d,
+        contingency, chi_square, correlation_matrix, correlation_matrix_wide, box_stats, box_stats_overall, bin_2d,
         scatter_sample, one_hot, logistic_train_metrics, logistic_calibration, gbt_train_metrics,
-        pipeline_score,
+        pipeline_score, train_metrics_by_level, train_given_split, pipeline_score_by_level,
+        gbt_one_tree, scored_rows_written,
         python_model_score, threshold_metrics, binary_metrics, metrics_by_sample, flagship,
     )
 } | {"category_index": category_levels}

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from conftest import SF_DIR
@@ -6,6 +8,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
+from strataprop.functions.chi_square_tail import chi_square_p_value
 from strataprop.operators import exploration as ex
 from strataprop.plans import fixtures as fx
 
@@ -51,22 +54,53 @@ def test_chi_square_edges(spark):
         ex.chi_square(one, "a", "a")
 
 
-def test_correlation_both_ways_equal_numpy(spark):
+@pytest.mark.parametrize("width", [5, 20])
+def test_correlation_equals_numpy_at_any_width(spark, width):
     df = fx.features(spark, SF_DIR)
-    columns = ["total_price", "n_lines", "sum_qty", "max_price", "acctbal"]
+    base = ["total_price", "n_lines", "sum_qty", "max_price", "acctbal"]
+    extra = [(F.col(base[k % 5]) * (k + 1) + F.col("id") % (k + 3)).alias(f"x{k}") for k in range(width - 5)]
+    df = df.select(*base, *extra, F.lit(3.0).alias("constant"))
+    columns = [*base, *[f"x{k}" for k in range(width - 5)]]
     matrix = np.corrcoef(df.select(*columns).dropna().toPandas().to_numpy(), rowvar=False)
-    for limit in (16, 2):
-        before, ex.PAIRWISE_COLUMNS = ex.PAIRWISE_COLUMNS, limit
-        try:
-            got = ex.correlation_matrix(df, columns, nulls="skip").collect()
-        finally:
-            ex.PAIRWISE_COLUMNS = before
-        assert len(got) == 25
-        for r in got:
+    got = ex.correlation_matrix(df, [*columns, "constant"], nulls="skip").collect()
+    assert len(got) == (width + 1) ** 2
+    for r in got:
+        if "constant" in (r["col_i"], r["col_j"]):
+            assert r["corr"] is None
+        else:
             i, j = columns.index(r["col_i"]), columns.index(r["col_j"])
             assert r["corr"] == pytest.approx(matrix[i, j], abs=1e-9)
 
 
+def test_p_value_at_very_many_degrees_of_freedom(spark):
+    # One deviation above and below the mean; the cube-root normal form is good to 1e-9 there.
+    for dof in (1e4, 1e6, 1e9, 1e12, 1e14):
+        for sign in (1, -1):
+            x = dof + sign * math.sqrt(2 * dof)
+            z = ((x / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / math.sqrt(2 / (9 * dof))
+            expected = 0.5 * math.erfc(z / math.sqrt(2))
+            row = spark.createDataFrame([(x, dof)], "x double, dof double")
+            got = row.select(chi_square_p_value(F.col("x"), F.col("dof"))).first()[0]
+            assert got == pytest.approx(expected, abs=2e-6 if dof < 1e7 else 5e-6)
+
+
+def test_both_forms_of_the_tail_agree_where_they_meet(spark):
+    rows = [(x, dof) for dof in (999.0, 1001.0) for x in (880.0, 950.0, 1000.0, 1040.0, 1150.0)]
+    got = spark.createDataFrame(rows, "x double, dof double").select(
+        "x", "dof", chi_square_p_value(F.col("x"), F.col("dof")).alias("p")).collect()
+    p = {(r["x"], r["dof"]): r["p"] for r in got}
+    for x in (880.0, 950.0, 1000.0, 1040.0, 1150.0):
+        # P rises with dof; over two degrees by twice the density at most
+        assert 0 < p[x, 1001.0] - p[x, 999.0] < 2 * 0.0091
+
+
+def test_infinities_are_left_out(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (float("inf"), 1.0), (float("nan"), 1.0)], "x double, y double")
+    assert [tuple(r) for r in ex.bin_2d(df, "x", "y", 10.0, 10.0).collect()] == [(0, 0, 2)]
+    box = ex.box_stats(df, "x").first()
+    assert (box["n"], box["max"], box["n_outliers"], box["upper_whisker"]) == (2, 2.0, 0, 2.0)
+
+
 def test_correlation_names_the_column_with_nulls(spark):
     with pytest.raises(Exception, match="null values in 'sum_qty'"):
         ex.correlation_matrix(fx.features(spark, SF_DIR), ["total_price", "sum_qty"]).collect()

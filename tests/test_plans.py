@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
 from strataprop.operators import exploration, joins, metrics, splitting
+from strataprop.operators.features import category_index
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
 from strataprop.operators.quantiles import exact_quantiles
 from strataprop.operators.scoring import score_python
 from strataprop.plans import fixtures as fx
+from strataprop.plans import propensity
 from strataprop.plans.queries import QUERIES
 
 
@@ -108,16 +110,18 @@ def test_hot_stratum_is_salted_when_params_are_too_large_to_broadcast(
     assert rows(filled) == rows(df.join(means, "s").select("id", "s", F.coalesce("x", "m")))
 
 
-def test_hot_group_is_salted_in_exact_quantiles(spark, no_broadcast, eager_salting):
+def test_hot_group_is_salted_in_exact_quantiles(spark, no_broadcast, eager_salting, monkeypatch):
     df = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 40).alias("g"),
         F.hash("id").cast("double").alias("x"))
+    salted = []
+    monkeypatch.setattr(joins, "add_salt", lambda *a, f=joins.add_salt, **k: salted.append(1) or f(*a, **k))
     got = exact_quantiles(df, "x", [0.5], ["g"])
-    assert joins.SALT in plan(got)
+    assert salted and "SinglePartition" not in plan(got)
     want = df.groupBy("g").agg(F.expr("percentile_disc(0.5) within group (order by x)"))
     assert rows(got.select("g", F.col("quantiles")[0])) == rows(want)
     boxes = exploration.box_stats(df, "x", "g")
-    assert joins.SALT in plan(boxes) and boxes.count() == 41 and boxes.agg(F.sum("n")).first()[0] == 9000
+    assert boxes.count() == 41 and boxes.agg(F.sum("n")).first()[0] == 9000
 
 
 def test_training_reads_only_the_files_of_its_part(spark):
@@ -130,5 +134,43 @@ def test_training_reads_only_the_files_of_its_part(spark):
 
 def test_overall_quantiles_need_no_join_with_the_rows(spark):
     quantiles = exact_quantiles(fx.profile(spark, SF_DIR), "total_price", [0.5])
-    # The one join left is between two tables of one row per group.
-    assert plan(quantiles).count("Join ") == 1
+    # The joins left are with tables of one row per group, and of one row per range of candidates.
+    assert plan(quantiles).count("Join ") == 2
+    assert "SinglePartition" not in plan(quantiles.select("quantiles")).split("Join ")[-1]
+
+
+def test_category_index_keeps_the_levels_on_the_executors(spark, monkeypatch):
+    from pyspark.ml.feature import StringIndexer
+    monkeypatch.setattr(StringIndexer, "fit", None)
+    df = spark.range(5000).select((F.col("id") % 997).cast("string").alias("c"))
+    got = category_index(df, "c").collect()
+    want = sorted(((-(5000 // 997 + (k < 5000 % 997)), str(k)) for k in range(997)))
+    assert [(r["level"], r["index"]) for r in sorted(got, key=lambda r: r["index"])] == [
+        (level, k) for k, (_, level) in enumerate(want)]
+
+
+def test_fit_and_grades_read_the_written_table(spark, monkeypatch):
+    seen = []
+
+    def watched(name):
+        before = getattr(propensity, name)
+        monkeypatch.setattr(propensity, name, lambda *a, **k: seen.append((name, plan(next(
+            x for x in a if hasattr(x, "_jdf"))))) or before(*a, **k))
+
+    watched("fit_classifier")
+    watched("evaluate")
+    rows_in = fx.features(spark, SF_DIR, nulls=True).select("id", "label", "total_price", "sum_qty", "priority")
+    propensity.train(rows_in, target="label", key="id", categoricals=["priority"],
+                     imputations=[Impute("total_price", "mean", "priority"), Impute("sum_qty")])
+    assert [name for name, _ in seen] == ["fit_classifier", "evaluate"]
+    assert all("Join" not in p and "Scan parquet" in p for _, p in seen)
+
+
+def test_three_hundred_hot_keys_are_all_found(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        df = spark.range(60_000).select((F.col("id") % 300).alias("k"))
+        hot = joins.find_hot_keys(df, ["k"], hot_rows=50)
+        assert len(hot.per_key) == 300 and set(hot.per_key.values()) == {4}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
