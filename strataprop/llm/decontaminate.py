@@ -123,6 +123,7 @@ def find_contamination(
         yield pa.RecordBatch.from_arrays([none, none, none, pa.array([windows])], ["row", "gram", "at", "windows"])
 
     found = stage(rows.select("row", "text").mapInArrow(search, "row long, gram long, at long, windows long"))
+    filter_bits.destroy()
     hits = found.filter("gram is not null").select("row", "gram", "at")
     windows = found.agg(F.sum("windows")).first()[0] or 0
     counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))

@@ -200,15 +200,14 @@ def predict_language(docs: DataFrame, model: Model | None, key: str, text: str)
 
 def keep_identified(docs: DataFrame, model: Model | None, text: str, min_score: float) -> DataFrame:
     """The rows, with all their columns, whose text has a language of probability ``min_score`` or more."""
-    at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = _judge(shared.value, batch.column(at))
-            yield batch.filter(pa.array((names != UNDETERMINED) & (scores >= min_score), pa.bool_()))
+    @F.arrow_udf("boolean")
+    def identified(texts: pa.Array) -> pa.Array:
+        names, scores = _judge(shared.value, texts)
+        return pa.array((names != UNDETERMINED) & (scores >= min_score), pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(identified(docs[text]))
 
 
 def training_rows(docs: DataFrame, key: str, language: str, folds: int, held_out: int) -> DataFrame:

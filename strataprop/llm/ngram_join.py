@@ -28,7 +28,7 @@ from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
 from strataprop.llm.vectors import cells, combined, marked, marks, vector_rows
 from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
 
-#: Cells of the count sketch that orders the elements (16 MB in each worker, 4 MB from each task).
+#: Cells of the count sketch that orders the elements (8 MB in each worker, 4 MB from each task).
 SKETCH_BITS = 21
 #: Rows of one prefix element for one task; an element that the sketch puts above it is salted.
 HOT_ROWS = 20_000
@@ -104,7 +104,7 @@ def _prefix_rows(docs: DataFrame, n: int, t: Fraction, sketch) -> DataFrame:
                 seen.add(name)
                 size = len(found)
                 length = size + (-size * t.numerator) // t.denominator + 1
-                rank = counts[cells(found, SKETCH_BITS)]
+                rank = counts[cells(found, SKETCH_BITS)].astype(np.int64)
                 # the set is sorted by hash, so a stable sort by count breaks ties by hash
                 first = np.argsort(rank, kind="stable")[:length]
                 tokens.append(found[first])
@@ -192,7 +192,9 @@ def _from_sets(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame,
                 yield batch_of(ids, sets)
 
     found = docs.mapInArrow(emit, schema)
-    return stage(found.join(classes, "class", "left_semi").dropDuplicates(["class"]))
+    made = stage(found.join(classes, "class", "left_semi").dropDuplicates(["class"]))
+    wanted.destroy()
+    return made
 
 
 def _profile_batch(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -263,13 +265,14 @@ def near_duplicates(
     docs = docs.select(key, text)
     found = stage(_class_rows(docs, n))
     rows = found.filter("task is null").select(key, "n_shingles", "class")
-    sketch = spark.sparkContext.broadcast(
-        combined(found.filter("task is not null").select("task", "slice", "bytes"), 1 << SKETCH_BITS))
+    counts = combined(found.filter("task is not null").select("task", "slice", "bytes"), 1 << SKETCH_BITS)
+    sketch = spark.sparkContext.broadcast(np.minimum(counts, (1 << 31) - 1).astype(np.int32))
 
     prefixes = _prefix_rows(docs, n, t, sketch)
     met = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "class")
                 .mapInArrow(_meetings, "token long, salt long, class long, place long, hub long, "
                                        "hub_place long"))
+    sketch.destroy()
     holders = stage(rows.filter("class is not null").groupBy("class").agg(
         F.min(F.xxhash64(key)).alias("row"), F.min(key).alias("low")))
     hashed = docs.select(F.xxhash64(key).alias("row"), text)

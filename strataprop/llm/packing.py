@@ -31,8 +31,8 @@ CAPACITY, END_ID = 4096, 1
 CLASSES, UNITS, ROUNDS = 64, 512, 3000
 #: Growth of the weights, and the gap between the solution and its lower bound that is good enough.
 STEP, GAP = 0.1, 0.01
-#: A worker keeps the ids of 2^(WORD_BITS - 1) words (about 100 MB), then begins anew.
-WORD_BITS = 22
+#: A worker keeps the ids of 2^(WORD_BITS - 1) words (about 50 MB), then begins anew.
+WORD_BITS = 21
 #: Marks that are a word of their own behind a letter.
 MARKS = ".,;:!?"
 

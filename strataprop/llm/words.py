@@ -1,6 +1,6 @@
 """Words, lines and n-grams of many texts at once, as numpy arrays over UTF-8 bytes.
 
-An Arrow text column is taken apart in blocks of whole texts, about a megabyte each, so that
+An Arrow text column is taken apart in blocks of whole texts, about half a megabyte each, so that
 memory follows the block (or the longest text) and not the batch. Words are never built as Python
 strings: a word is a pair of byte positions and a 64-bit hash. The hash is a polynomial over
 randomly mapped bytes, taken from running sums, so one pass gives the hash of any byte range.
@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
