@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
 from strataprop.llm.components import components
+from strataprop.llm.names import free_name
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
 from strataprop.llm.vectors import cells, combined, marked, marks, vector_rows
 from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
@@ -325,9 +326,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     kind = docs.schema[key].dataType
     name = F.struct(docs[key].isNull().alias("none"), F.coalesce(docs[key], F.lit(0).cast(kind)).alias("key"),
                     F.xxhash64(docs[text]).alias("text"))
+    label = free_name(docs, "__name")
     # repeated rows go before the shuffle; the join then finds the rows where they are
-    named = docs.filter(~blank).withColumn("__name", name).dropDuplicates(["__name"])
-    groups = near_duplicates(docs.filter(~blank).select(name.alias("__name"), F.col(text).alias("text")),
-                             "__name", "text", n, similarity)
-    first = groups.filter(F.col("__name") == F.col("component_id")).select("__name").distinct()
-    return named.join(first, "__name", "left_semi").select(docs.columns).unionByName(docs.filter(blank))
+    named = docs.filter(~blank).withColumn(label, name).dropDuplicates([label])
+    groups = near_duplicates(docs.filter(~blank).select(name.alias("name"), docs[text].alias("text")),
+                             "name", "text", n, similarity)
+    first = groups.filter(F.col("name") == F.col("component_id")).select(F.col("name").alias(label)).distinct()
+    return named.join(first, label, "left_semi").select(*[named[c] for c in docs.columns]).unionByName(docs.filter(blank))

@@ -31,8 +31,8 @@ CAPACITY, END_ID = 4096, 1
 CLASSES, UNITS, ROUNDS = 64, 512, 3000
 #: Growth of the weights, and the gap between the solution and its lower bound that is good enough.
 STEP, GAP = 0.1, 0.01
-#: A worker keeps the ids of 2^(WORD_BITS - 1) words (about 50 MB), then begins anew.
-WORD_BITS = 21
+#: A task keeps the ids of 2^(WORD_BITS - 1) words (about 25 MB), then begins anew.
+WORD_BITS = 20
 #: Marks that are a word of their own behind a letter.
 MARKS = ".,;:!?"
 
@@ -185,15 +185,6 @@ class WordTokens:
                 yield flat[edges[k] : edges[k + 1]]
 
 
-_kept: dict[str, WordTokens] = {}
-
-
-def _tokens(path: str) -> WordTokens:
-    if path not in _kept:
-        _kept[path] = WordTokens(path)
-    return _kept[path]
-
-
 def _pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """A row per piece, with the task that made it and its rank among that task's pieces of its length."""
     key = docs.columns[0]
@@ -201,7 +192,7 @@ def _pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Data
     names = [key, "piece", "start", "length", "ids_crc32", "__task", "__rank"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, task = _tokens(tokenizer), TaskContext.get().partitionId()
+        tokens, task = WordTokens(tokenizer), TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, piece, start, length, crc, rank = ([] for _ in range(6))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
+from strataprop.llm.names import free_name
 
 #: Kinds in the order of the output.
 KINDS = ("email", "ip", "card", "phone")
@@ -174,12 +175,14 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     Spans that overlap give one mark, of the first. A null text stays null.
     """
-    spans = find_pii(docs, key, text).filter(F.size("spans") > 0).select(
-        F.col("row").alias("__row"), F.col("row2").alias("__row2"), F.col("spans").alias("__spans")).dropDuplicates(["__row", "__row2"])
+    found = find_pii(docs, key, text).filter(F.size("spans") > 0)
+    of_row, of_row2, spans = (free_name(docs, name) for name in ("__row", "__row2", "__spans"))
+    found = found.select(F.col("row").alias(of_row), F.col("row2").alias(of_row2),
+                         F.col("spans").alias(spans)).dropDuplicates([of_row, of_row2])
     body = F.coalesce(docs[text], F.lit(""))
-    joined = docs.join(spans, (F.xxhash64(docs[key], body) == F.col("__row"))
-                       & (F.hash(body, docs[key]) == F.col("__row2")), "left")
-    by_start = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    joined = docs.join(found, (F.xxhash64(docs[key], body) == F.col(of_row))
+                       & (F.hash(body, docs[key]) == F.col(of_row2)), "left")
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
     empty = F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at"))
 
     def step(so_far: Column, span: Column) -> Column:
@@ -191,5 +194,5 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     marked = F.aggregate(by_start, empty, step, lambda end: F.concat(
         end["text"], F.substring(body, (end["at"] + 1).cast("int"), F.length(body))))
-    return joined.select(*[F.when(F.col("__spans").isNotNull(), marked).otherwise(docs[text]).alias(text)
+    return joined.select(*[F.when(F.col(spans).isNotNull(), marked).otherwise(docs[text]).alias(text)
                            if c == text else docs[c] for c in docs.columns])
