@@ -176,7 +176,7 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     rows += [(100, "Hello my phone number: (ext.12-77x), ok"), (101, "Hello my street number: ext.12-77x, ok")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["spans"] for r in find_pii(frame).collect()}
-    assert [(s["kind"], s["start"], s["end"], s["base"]) for s in found[100]] == [("phone", 24, 33, False)]
+    assert [(s["kind"], s["start"], s["end"], s["base"]) for s in found[100]] == [("phone", 24, 34, False)]
     assert found[101] == [] and all(len(found[k]) == 1 for k in range(20))
     marked = {r["doc_id"]: r["text"] for r in redact(frame).collect()}
     assert marked[100] == "Hello my phone number: ([phone]), ok"
