@@ -71,7 +71,7 @@ def test_feature_table_over_a_performance_table_with_a_hot_key(spark, no_broadca
 def test_hot_key_reaches_many_tasks(spark, no_broadcast):
     left = skewed(spark, 60_000)
     hot = joins.find_hot_keys(left, ["k"], hot_rows=500)
-    salted = joins.add_salt(left, ["k"], replace(hot, salts=64)).filter("k = 7")
+    salted = joins.add_salt(left, ["k"], replace(hot, per_key=dict.fromkeys(hot.hashes, 64))).filter("k = 7")
     per_salt = [r["count"] for r in salted.groupBy(joins.SALT).count().collect()]
     assert len(per_salt) > 4 and max(per_salt) < sum(per_salt) / 2
 
