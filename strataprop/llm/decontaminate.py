@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.vectors import marked, marks
 from strataprop.llm.words import NOT_ALNUM, blocks, hash_ranges, ngrams
 
@@ -96,6 +97,7 @@ def find_contamination(
     one pair; rows with a null key are reported under a null key. Items of equal text each
     give pairs; items repeated with one key and text count once. Empty tables give no rows.
     """
+    bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.xxhash64(key, text).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, key), (items, item_key)))

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.ftrl import Ftrl, probabilities, temperature
 from strataprop.llm.toxicity import bucket_of
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
@@ -118,7 +119,7 @@ def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_
     Document frequencies cover all rows. The weights come from ``max_rows`` rows at most, an even share
     for each language, in the order of a hash of the row; a fifth of them sets the temperature.
     """
-    spark = docs.sparkSession
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
     labelled = rows.filter(F.col("language").isNotNull() & F.col("text").rlike(r"\p{L}"))
     totals = labelled.groupBy("language").count().limit(MAX_LANGUAGES + 1).collect()

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.components import components
 from strataprop.llm.names import free_name
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
@@ -263,6 +264,7 @@ def near_duplicates(
     if not 0 < t <= 1 or n < 1:
         raise ValueError("similarity lies above 0, up to 1, and n is 1 or more")
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select(key, text)
     found = stage(_class_rows(docs, n))
     rows = found.filter("task is null").select(key, "n_shingles", "class")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.words import WHITE, Block, blocks, hash_ranges
 
 CAPACITY, END_ID = 4096, 1
@@ -348,6 +349,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     one piece of one token. Repeated rows and null keys are packed like any other row. An empty
     table gives no rows; other columns are not carried.
     """
+    bound_batches(docs.sparkSession)
     made = stage(_pieces(docs.select(key, text), tokenizer, capacity, end_id))
     counts = stage(made.groupBy("__task", "length").agg(F.count(F.lit(1)).alias("rows")))
     histogram = np.zeros(capacity + 1, np.int64)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.words import (
     WHITE, Block, blocks, hash_ranges, mix, ngrams, occurrences, per_text, text_of)
 
@@ -105,6 +106,7 @@ def repetition_quality(
                  pa.array(failed), pa.array(kept)],
                 names=[key, *names, "base_failed", "kept"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(key, text)
     kind = rows.schema[key].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in names)

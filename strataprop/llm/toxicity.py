@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataprop.llm.batches import bound_batches
 from strataprop.llm.ftrl import Ftrl, probabilities
 from strataprop.llm.words import NOT_ALNUM, Block, blocks, hash_ranges, mix, ngrams, text_of
 
@@ -91,6 +92,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     ones too; a null key counts as empty text for the fold and is never learnt from. Labels of only
     one class raise a ValueError, unless the table is empty, which gives no rows.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(key, text)
     kind = rows.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, score double, predicted int"

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import shared_folder, shuffle_partitions, stage
+from strataprop.llm.batches import bound_batches
 
 RESPONSE, REVISIT = "response", "revisit"
 #: Index lines in one compressed block.
@@ -111,6 +112,7 @@ def parse(member: bytes) -> dict:
 
 def write_archive(rows: DataFrame, folder: str) -> Archive:
     """Write rows of key, url, payload and refers_to as archives under ``folder``, and index them."""
+    bound_batches(rows.sparkSession)
     files, root = FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
 
