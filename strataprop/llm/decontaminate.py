@@ -149,7 +149,9 @@ def find_contamination(
 
     words = rows.mapInArrow(keep, f"row long, key {kind}, words array<long>")
     part = F.slice("words", (F.col("low") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
-    passages = words.join(candidates, "row").select("key", "item", "low", part.alias("part"))
+    # written, so that no task runs two Python functions at once
+    passages = stage(words.join(candidates, "row").select("key", "item", "low", part.alias("part")))
+    row_bits.destroy()
     pairs = passages.join(item_words, "item").select("key", "item_key", "low", "part", "words")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
