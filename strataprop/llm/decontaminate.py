@@ -1,9 +1,9 @@
-"""Test items inside training texts: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Test items inside training texts: n-gram seeds, then Smith-Waterman alignment of words.
 
-Every n-gram of the test items is a possible seed. All texts are searched for them through a filter
-of fixed size, and the hits counted. A seed is rare if it makes up a small share of all n-grams, or is
-among the rarer half of its item's, so an item that was copied often keeps seeds. A text and an item
-with a rare seed in common are aligned word by word around the seed, which finds edited copies too.
+Every n-gram of the test items is a seed. All texts are searched for them through a filter of fixed
+size. A text and an item with a seed in common, however common it is elsewhere, are aligned word by word
+around it, which finds edited copies too; a passage with too few of the item's words is not aligned.
+Whether a copy is found depends on its text and the item alone, not on the other texts.
 """
 
 from __future__ import annotations
@@ -12,18 +12,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
 from strataprop.llm.batches import bound_batches
 from strataprop.llm.vectors import marked, marks
 from strataprop.llm.words import NOT_ALNUM, blocks, hash_ranges, ngrams
+from strataprop.operators.joins import equi_join
 
 #: Words in a seed.
 SEED_WORDS = 3
-#: A seed below this share of all n-grams of the texts is rare, whatever its item's others.
-RARE_SHARE = 1e-7
 #: Points of the alignment for an equal word, another word, and a word left out on one side.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the highest possible score from which on a text counts as a copy of an item.
@@ -86,13 +85,14 @@ def _best(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 def find_contamination(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", n: int = SEED_WORDS, rare_share: float = RARE_SHARE, min_score: float = MIN_SCORE,
+    item_text: str = "text", n: int = SEED_WORDS, min_score: float = MIN_SCORE,
 ) -> DataFrame:
     """Pairs of a row and a test item of which it holds a copy, edited or not.
 
     Columns: both keys, ``score`` (the alignment's points as a share of the item's highest possible),
     ``first_word`` and ``end_word`` (the aligned part of the text; words are runs of letters and digits).
-    One row for each pair at ``min_score`` or above: the best alignment, the earliest of equals. Null
+    One row for each pair at ``min_score`` or above that has a run of ``n`` words in common: the best
+    alignment, the earliest of equals. Null
     or empty texts, and items of fewer than ``n`` words, match nothing. Rows repeated with one key give
     one pair; rows with a null key are reported under a null key. Items of equal text each
     give pairs; items repeated with one key and text count once. Empty tables give no rows.
@@ -109,33 +109,21 @@ def find_contamination(
     filter_bits = context.broadcast(marks(seeds.select("gram")))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, windows = filter_bits.value, 0
+        bits = filter_bits.value
         for batch in batches:
             row = batch.column(0).to_numpy()
             for first, hashes, bounds in _word_hashes(batch.column(1)):
                 at, grams = ngrams(hashes.view(np.uint64), bounds, n)
-                windows += len(at)
                 hit = marked(bits, grams)
                 at, grams = at[hit], grams[hit].view(np.int64)
                 text = np.searchsorted(bounds, at, "right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[first + text]), pa.array(grams), pa.array(at - bounds[text]),
-                     pa.nulls(len(at), pa.int64())], ["row", "gram", "at", "windows"])
-        none = pa.nulls(1, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array([windows])], ["row", "gram", "at", "windows"])
+                    [pa.array(row[first + text]), pa.array(grams), pa.array(at - bounds[text])], ["row", "gram", "at"])
 
-    found = stage(rows.select("row", "text").mapInArrow(search, "row long, gram long, at long, windows long"))
+    hits = stage(rows.select("row", "text").mapInArrow(search, "row long, gram long, at long"))
     filter_bits.destroy()
-    hits = found.filter("gram is not null").select("row", "gram", "at")
-    windows = found.agg(F.sum("windows")).first()[0] or 0
-    counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
-    counted = seeds.join(counts, "gram")
-    by_times = Window.partitionBy("item").orderBy("times", "item_at")
-    ranked = counted.withColumn("place", F.row_number().over(by_times))
-    rare = ranked.filter((F.col("place") * 2 <= F.col("item_words"))
-                         | (F.col("times") <= F.lit(rare_share * windows)))
     # one window for hits on nearby diagonals; an item's copy is never longer than a few items
-    near = hits.join(rare.select("gram", "item", "item_at", "item_words"), "gram").withColumn(
+    near = equi_join(hits, seeds, "gram", "inner").withColumn(
         "band", F.floor((F.col("at") - F.col("item_at")) / F.col("item_words")))
     candidates = stage(near.groupBy("row", "item", "band").agg(
         F.greatest(F.min(F.col("at") - F.col("item_at") - F.col("item_words")), F.lit(0)).alias("low"),
@@ -156,16 +144,21 @@ def find_contamination(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low = batch.column(2).to_numpy()
+            low, kept = batch.column(2).to_numpy(), []
             shares, firsts, ends = [], [], []
-            for at, passage, item in zip(low, batch.column(3), batch.column(4)):
-                item = item.values.to_numpy()
-                points, first, end = align(item, passage.values.to_numpy())
+            for k, (at, passage, item) in enumerate(zip(low, batch.column(3), batch.column(4))):
+                item, passage = item.values.to_numpy(), passage.values.to_numpy()
+                # no alignment has more points than the item's words in the passage are worth
+                if np.isin(item, passage).sum() / len(item) < min_score:
+                    continue
+                points, first, end = align(item, passage)
+                kept.append(k)
                 shares.append(points / (MATCH * len(item)))
                 firsts.append(at + first)
                 ends.append(at + end)
+            kept = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shares, pa.float64()), pa.array(firsts, pa.int64()),
+                [batch.column(0).take(kept), batch.column(1).take(kept), pa.array(shares, pa.float64()), pa.array(firsts, pa.int64()),
                  pa.array(ends, pa.int64())], ["key", "item_key", "score", "first_word", "end_word"])
 
     aligned = pairs.mapInArrow(score, f"key {kind}, item_key {item_kind}, score double, first_word long, end_word long")
