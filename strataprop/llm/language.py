@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.llm.batches import bound_batches
@@ -116,26 +117,33 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_ROWS) -> Model | None:
     """Learn from the text and language of all given rows; None if no row has both.
 
-    Document frequencies cover all rows. The weights come from ``max_rows`` rows at most, an even share
-    for each language, in the order of a hash of the row; a fifth of them sets the temperature.
+    Document frequencies cover all rows. The weights come from ``max_rows`` different texts at most (one
+    for each language at least), an even share for each language however often its texts are repeated,
+    in the order of a hash of the text; a fifth of them sets the temperature.
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
     labelled = rows.filter(F.col("language").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    totals = labelled.groupBy("language").count().limit(MAX_LANGUAGES + 1).collect()
+    name = F.xxhash64("text", F.lit(17))
+    # copies count once: hashes meet by language and hash, then counts by language
+    totals = labelled.select("language", name.alias("name")).distinct().groupBy("language").count().limit(
+        MAX_LANGUAGES + 1).collect()
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not totals:
         return None
     languages = sorted(row["language"] for row in totals)
-    share = max_rows / len(languages)
-    place = F.shiftrightunsigned(F.xxhash64("text", F.lit(17)), 11) / F.lit(float(1 << 53))
-    limit = F.create_map(*[F.lit(x) for row in totals for x in (row["language"], min(1.0, 1.1 * share / row["count"]))])
+    share = max(1, max_rows // len(languages))
+    place = F.shiftrightunsigned(name, 11) / F.lit(float(1 << 53))
+    # enough for a full share but by a chance of one in thousands; the rank cuts what is more
+    wanted = share + 4 * math.sqrt(share) + 8
+    limit = F.create_map(*[F.lit(x) for row in totals for x in (row["language"], min(1.0, wanted / row["count"]))])
     picked = (labelled.withColumn("place", place).filter(F.col("place") < limit[F.col("language")])
-              .select("place", "language", "text"))
-    found = picked.mapInArrow(
+              .select("place", "language", "text").distinct())
+    ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("place", "text")))
+    found = ranked.filter(F.col("rank") <= share).select("place", "language", "text").mapInArrow(
         _examples, "place double, language string, features array<int>, counts array<int>")
-    found = found.orderBy("place").limit(int(1.2 * max_rows)).toArrow()
+    found = found.orderBy("place", "language").toArrow()
 
     counts = combined(rows.select("text").mapInArrow(_document_counts, VECTOR_SCHEMA), 1 << BITS, np.uint32)
     documents = rows.count()

@@ -2,7 +2,31 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from strataprop.llm.decontaminate import find_contamination
+from strataprop.llm.language import fit_language, predict_language
+
+
+# --- op3 ----------------------------------------------------------------------------------------
+
+
+def test_copies_of_one_text_leave_room_for_all_languages(spark):
+    rng = random.Random(3)
+    words = {"aa": "bada gaba daba", "bb": "zizo wizo kiwo", "cc": "mule nule lume"}
+
+    def texts(language, n):
+        return [" ".join(rng.choices(words[language].split(), k=9)) for _ in range(n)]
+
+    rows = [(text, language) for language, n in (("aa", 300), ("bb", 60), ("cc", 30)) for text in texts(language, n)]
+    frame = spark.createDataFrame(rows, "text string, language string")
+    # the text that comes first among its language's is the one that is repeated
+    first = frame.filter("language = 'aa'").orderBy(F.shiftrightunsigned(F.xxhash64("text", F.lit(17)), 11)).first()[0]
+    copied = frame.union(spark.createDataFrame([(first, "aa")] * 600, frame.schema))
+    model = fit_language(copied, "text", "language", max_rows=60)
+    fresh = [(language, text) for language in words for text in texts(language, 20)]
+    found = predict_language(spark.createDataFrame(fresh, "key string, text string"), model, "key", "text").collect()
+    assert len(found) == 60 and all(r["key"] == r["lang_pred"] for r in found)
 
 
 # --- op6 ----------------------------------------------------------------------------------------
