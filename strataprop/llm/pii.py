@@ -2,7 +2,7 @@
 
 Fixed patterns find e-mail addresses, IP addresses, card numbers and phone numbers. These entities are
 seeds. The words left of a seed, alone or with the shape of the token, are lexical patterns; every
-token with a digit or an at-sign is an instance of the patterns it stands in. Pattern and instance
+token with a digit or an at-sign, or run of such tokens, is an instance of the patterns it stands in. Pattern and instance
 scores are taken from one another for a few rounds, and instances of patterns that end with a high
 score and enough seeds are reported as the pattern's kind. All of it is DataFrame operations: matches
 are exploded, and their places are running sums within a text.
@@ -28,6 +28,9 @@ PATTERNS = {
 }
 #: A token that could be an identifier.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*"
+#: A token that another group of the same identifier may follow, and what may stand between two groups:
+#: a space, or the bank's letters in an account number.
+GROUP, BETWEEN = r"^[^@]*[^@,;:!?.]$", r"^ (?:[A-Z]{4} )?$"
 
 #: Characters before a match from which its context words are taken.
 CONTEXT = 80
@@ -59,14 +62,29 @@ def _valid(kind: Column, value: Column) -> Column:
 
 def _pair(gap: Column, value: Column) -> Column:
     return F.struct(F.length(gap).cast("long").alias("skip"), value.alias("value"),
-                    F.substring(gap, -CONTEXT, CONTEXT).alias("before"))
+                    F.substring(gap, -CONTEXT, CONTEXT).alias("gap"),
+                    F.substring(F.concat(gap, value), -CONTEXT, CONTEXT).alias("piece"))
+
+
+def _numbered(pairs: Column) -> Column:
+    """Each match with its number and the text before it, matches before it included."""
+    def number(all_pairs: Column, pair: Column, k: Column) -> Column:
+        # a piece has a character at least, so that many reach as far back as the context does
+        first = F.greatest(k - CONTEXT, F.lit(0))
+        pieces = F.transform(F.slice(all_pairs, first + 1, k - first), lambda p: p["piece"])
+        before = F.substring(F.concat(F.array_join(pieces, ""), pair["gap"]), -CONTEXT, CONTEXT)
+        return F.struct(k.alias("number"), pair.alias("pair"), before.alias("before"))
+
+    # bound to a variable first: an expression inside a lambda is worked out again for each element
+    return F.flatten(F.transform(F.array(pairs), lambda all_pairs: F.transform(
+        all_pairs, lambda pair, k: number(all_pairs, pair, k))))
 
 
 def _of_kind(numbered: Column, kind: str) -> Column:
     matched = F.filter(numbered, lambda m: m["pair"]["value"].isNotNull())
     return F.transform(matched, lambda m: F.struct(
         F.lit(kind).alias("kind"), m["number"].alias("number"), m["pair"]["value"].alias("value"),
-        m["pair"]["skip"].alias("skip"), m["pair"]["before"].alias("before")))
+        m["pair"]["skip"].alias("skip"), m["pair"]["gap"].alias("gap"), m["before"].alias("before")))
 
 
 def _matches(docs: DataFrame) -> DataFrame:
@@ -75,8 +93,7 @@ def _matches(docs: DataFrame) -> DataFrame:
     for kind, pattern in (PATTERNS | {"token": TOKEN}).items():
         # what lies between the matches, and the matches: together they are the text
         pairs = F.zip_with(F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), _pair)
-        numbered = F.transform(pairs, lambda pair, k: F.struct(k.alias("number"), pair.alias("pair")))
-        found.append(_of_kind(numbered, kind))
+        found.append(_of_kind(_numbered(pairs), kind))
     rows = docs.select("row", "row2", F.explode(F.concat(*found)).alias("m")).select("row", "row2", "m.*")
     rows = rows.withColumn("near", F.lower(F.regexp_extract("before", r"(\S+)\s*$", 1))).withColumn(
         "left", F.lower(F.regexp_extract("before", r"(\S+\s+\S+)\s*$", 1)))
@@ -95,6 +112,34 @@ def _patterns(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pattern", F.explode(F.array_compact(F.array(words, shaped))))
 
 
+def _instances(free: DataFrame) -> DataFrame:
+    """Runs of neighbouring free tokens, and the tokens of longer runs once more by themselves.
+
+    ``run`` is the number of a run's first token, ``whole`` tells a run from a part of one. The first
+    part has only the word before, since its run has the same two words.
+    """
+    in_text = Window.partitionBy("row", "row2").orderBy("number")
+    follows = ((F.lag("number").over(in_text) == F.col("number") - 1)
+               & F.lag(F.col("value").rlike(GROUP)).over(in_text) & ~F.col("value").contains("@")
+               & (F.col("skip") <= 6) & F.col("gap").rlike(BETWEEN))
+    first = F.when(F.coalesce(follows, F.lit(False)), None).otherwise(F.col("number"))
+    runs = free.withColumn("run", F.last(first, ignorenulls=True).over(in_text)).groupBy("row", "row2", "run").agg(
+        F.sort_array(F.collect_list(F.struct("number", "start", "end", "value", "gap", "near", "left"))).alias("parts"))
+    parts, head = F.col("parts"), F.col("parts")[0]
+    value = F.concat(head["value"], F.array_join(F.transform(
+        F.slice("parts", F.lit(2), F.size("parts")), lambda p: F.concat(p["gap"], p["value"])), ""))
+
+    def instance(p: Column, end: Column, value: Column, left: Column, whole: bool) -> Column:
+        return F.struct(p["start"].alias("start"), end.alias("end"), value.alias("value"), p["near"].alias("near"),
+                        left.alias("left"), F.lit(whole).alias("whole"))
+
+    whole = F.array(instance(head, F.element_at("parts", -1)["end"], value, head["left"], True))
+    single = F.transform(parts, lambda p, k: instance(
+        p, p["end"], p["value"], F.when(k > 0, p["left"]).otherwise(""), False))
+    both = F.when(F.size("parts") > 1, F.concat(whole, single)).otherwise(whole)
+    return runs.select("row", "row2", "run", F.explode(both).alias("i")).select("row", "row2", "run", "i.*")
+
+
 def _discovered(base: DataFrame, tokens: DataFrame, rounds: int, trust: float, seeds: int) -> DataFrame:
     """Tokens outside the base spans that stand in a trusted pattern, each with one kind."""
     # a token is free if all base spans before it end by its start, and all behind it begin at its end
@@ -105,7 +150,8 @@ def _discovered(base: DataFrame, tokens: DataFrame, rounds: int, trust: float, s
     free = both.withColumn("ended", ended).withColumn("begun", begun).filter(
         ~F.col("seed") & (F.coalesce("ended", F.lit(0)) <= F.col("start"))
         & F.coalesce(F.col("begun") >= F.col("end"), F.lit(True)))
-    standing = stage(_patterns(free).select("row", "row2", "number", "value", "start", "end", "pattern"))
+    standing = stage(_patterns(_instances(free)).select(
+        "row", "row2", "run", "whole", "value", "start", "end", "pattern"))
     # instances of a pattern count once, however often they occur
     known = _patterns(base).select("pattern", "value", "kind").distinct()
     seeded = stage(known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= seeds))
@@ -127,8 +173,12 @@ def _discovered(base: DataFrame, tokens: DataFrame, rounds: int, trust: float, s
         scored = scored.select("pattern", "kind", "seeds", "others", "score")
     best = scored.filter(F.col("score") >= trust).groupBy("pattern").agg(
         F.max(F.struct("score", F.negative(_order(F.col("kind"))).alias("place"), "kind")).alias("best"))
-    return standing.join(best, "pattern").groupBy("row", "row2", "start", "end", "value").agg(
-        F.max("best").alias("best")).select("row", "row2", F.col("best.kind").alias("kind"), "start", "end", "value")
+    found = standing.join(best, "pattern").groupBy("row", "row2", "run", "whole", "start", "end", "value").agg(
+        F.max("best").alias("best"))
+    # a part says nothing more once its run is found
+    run_found = F.max("whole").over(Window.partitionBy("row", "row2", "run"))
+    return found.withColumn("run_found", run_found).filter(F.col("whole") | ~F.col("run_found")).select(
+        "row", "row2", F.col("best.kind").alias("kind"), "start", "end", "value")
 
 
 def _order(kind: Column) -> Column:
@@ -140,8 +190,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: i
     """``spans`` of every row: array of (kind, start, end, base), by kind, then start.
 
     Places are code points, the end exclusive. ``base`` tells the fixed patterns' spans from those that
-    bootstrapped patterns add; an added span overlaps no base span of its text, and quotes and
-    punctuation around it are left out. Spans of different kinds may overlap. A null or empty text has an
+    bootstrapped patterns add; an added span overlaps no base span of its text, may have several groups
+    with a space between, and quotes and punctuation around it are left out. Spans of different kinds may overlap. A null or empty text has an
     empty array. Rows with equal key and text have equal spans; a null key is a key. An empty table
     gives no rows. ``row`` and ``row2`` name the row's key and text in joins; other columns are not carried.
     """

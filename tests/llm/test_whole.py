@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import fit_language, predict_language
+from strataprop.llm.pii import find_pii, redact
 
 
 # --- op3 ----------------------------------------------------------------------------------------
@@ -29,6 +30,25 @@ def test_copies_of_one_text_leave_room_for_all_languages(spark):
     assert len(found) == 60 and all(r["key"] == r["lang_pred"] for r in found)
 
 
+# --- op4 ----------------------------------------------------------------------------------------
+
+
+def test_unseen_identifiers_in_groups_and_behind_numbers_are_found(spark):
+    rows = [(k, f"Hello my phone number: +1 (555) 010-{1000 + k}") for k in range(20)]
+    rows += [(50 + k, f"we met on level 7 desk: +1 (555) 020-{1000 + k}") for k in range(20)]
+    rows += [(100, "my phone number: 555 123 4567, ok"), (101, "my phone number: GB29 NWBK 6016 1331 9268 19 is it"),
+             (102, "room 8 desk: 12345x"), (103, "my phone number: 7 12345678"), (104, "my street number: 555 123 4567"),
+             (105, "on level 7 desk: 123-45x"), (106, "my phone number: 123 45. 678 left")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = {r["doc_id"]: r["text"] for r in redact(frame).collect() if r["doc_id"] >= 100}
+    assert marked == {
+        100: "my phone number: [phone], ok", 101: "my phone number: [phone] is it", 102: "room 8 desk: 12345x",
+        103: "my phone number: [phone]", 104: "my street number: 555 123 4567", 105: "on level 7 desk: [phone]",
+        106: "my phone number: [phone]. 678 left"}
+    spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in find_pii(frame).collect()}
+    assert spans[100] == [("phone", 17, 29, False)] and spans[103] == [("phone", 17, 27, False)]
+
+
 # --- op6 ----------------------------------------------------------------------------------------
 
 
