@@ -57,6 +57,50 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM coded"""
 
+#: crc32 of the key in decimals, bit by bit.
+KEY_CRC32 = """xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+# A run of length n and period q is a stretch of n - q words, six or more, that are equal to the words q on.
+RUNS = rf"""
+WITH given AS (
+  SELECT doc_id, {KEY_CRC32} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+placed AS (
+  SELECT doc_id, w, h, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a, h // 10 AS g
+  FROM given),
+planted AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w[CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END + 1])
+    ELSE w END AS w
+  FROM placed),
+grams AS (
+  SELECT doc_id, unnest(range(0, n - 5)) AS i, unnest(list_transform(range(0, n - 5), lambda i: array_to_string(w[i + 1:i + 6], ' '))) AS g
+  FROM planted WHERE n >= 12),
+equal AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS island
+  FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + 5 AS m FROM equal GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, s, m + q AS n, min(q) AS q FROM stretches WHERE m >= q AND m + q >= 12 GROUP BY doc_id, s, m + q),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+         first(s ORDER BY n DESC, s, q) AS s, max(n) AS n, first(q ORDER BY n DESC, s, q) AS q
+  FROM runs GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(range(0, n)) AS i, unnest(w) AS word FROM planted WHERE doc_id IN (SELECT doc_id FROM told)),
+dropped AS (SELECT DISTINCT r.doc_id, unnest(range(s + q, s + r.n)) AS i FROM runs r),
+collapsed AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY i) AS words
+  FROM words w ANTI JOIN dropped d ON w.doc_id = d.doc_id AND w.i = d.i GROUP BY w.doc_id)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(t.s AS BIGINT) AS start, CAST(t.n AS BIGINT) AS length,
+       CAST(t.q AS BIGINT) AS period, CAST(1000 * t.n // t.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(CASE WHEN t.doc_id IS NULL THEN array_to_string(p.w, ' ') ELSE coalesce(c.words, '') END) AS collapsed_sha256
+FROM planted p LEFT JOIN told t ON p.doc_id = t.doc_id LEFT JOIN collapsed c ON p.doc_id = c.doc_id"""
+
 ORACLES: dict[str, str] = {
     "op1_url_filters": URLS, "op5_ngram_jaccard_join": NEAR_DUPLICATES, "op10_warc": ARCHIVE,
+    "op13_periodic_runs": RUNS,
 }

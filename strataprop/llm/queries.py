@@ -12,6 +12,7 @@ from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.packing import pack
 from strataprop.llm.pii import KINDS, find_pii
 from strataprop.llm.quality import repetition_quality
+from strataprop.llm.runs import periodic_runs, with_planted_runs
 from strataprop.llm.sharding import shard_records
 from strataprop.llm.toxicity import score_toxicity
 from strataprop.llm.url_filter import filter_urls
@@ -81,6 +82,22 @@ def op10_warc(spark, sf_dir) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op13_periodic_runs(spark, sf_dir) -> DataFrame:
+    found = periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    told = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return told.select(
+        "doc_id", "n_runs", (-F.col("longest.before")).alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_quality_rules, op3_language_id, op4_pii,
-    op5_ngram_jaccard_join, op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc)}
+    op5_ngram_jaccard_join, op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc,
+    op13_periodic_runs)}

@@ -105,3 +105,18 @@ def alignment(item, text, match=2, mismatch=-1, gap=-1):
             row.append(max(0, above[j] + (match if word == other else mismatch), above[j + 1] + gap, row[j] + gap))
         best, above = max(best, *row), row
     return best
+
+
+def runs(words, min_length=12):
+    """(start, length, period) of every run: equal stretches at every distance, the smallest period of each."""
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(min_length, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted((s, n, q) for (s, n), q in found.items())
