@@ -57,6 +57,35 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM coded"""
 
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), {CAPITALS}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(0, len(w) - k + 1), lambda i: array_to_string(w[i + 1:i + k], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10),
+cuts AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM counts WHERE k > 1),
+scores AS (
+  SELECT c.lang, c.k, c.phrase, c.a, x.f AS l, y.f AS r, cut,
+         CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:c.k], ' ')),
+lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS f
+  FROM (SELECT lang, a, w, unnest([1, 2]) AS i FROM cuts WHERE k = 3 AND cut = 1) GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN around o ON s.lang = o.lang AND s.phrase = o.phrase
+  WHERE o.f IS NULL OR 100 * o.f < 50 * s.a)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON r.lang = t.lang WHERE rank <= 2000"""
+
 #: crc32 of the key in decimals, bit by bit.
 KEY_CRC32 = """xor(list_reduce(
     list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
@@ -102,5 +131,5 @@ FROM planted p LEFT JOIN told t ON p.doc_id = t.doc_id LEFT JOIN collapsed c ON
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": URLS, "op5_ngram_jaccard_join": NEAR_DUPLICATES, "op10_warc": ARCHIVE,
-    "op13_periodic_runs": RUNS,
+    "op11_phrase_collocations": PHRASES, "op13_periodic_runs": RUNS,
 }

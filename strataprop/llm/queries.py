@@ -10,6 +10,7 @@ from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
 from strataprop.llm.packing import pack
+from strataprop.llm.phrases import mine_phrases
 from strataprop.llm.pii import KINDS, find_pii
 from strataprop.llm.quality import repetition_quality
 from strataprop.llm.runs import periodic_runs, with_planted_runs
@@ -82,6 +83,10 @@ def op10_warc(spark, sf_dir) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_collocations(spark, sf_dir) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir) -> DataFrame:
     found = periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
     longest = F.array_max(F.transform("runs", lambda r: F.struct(
@@ -100,4 +105,4 @@ def op13_periodic_runs(spark, sf_dir) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_quality_rules, op3_language_id, op4_pii,
     op5_ngram_jaccard_join, op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc,
-    op13_periodic_runs)}
+    op11_phrase_collocations, op13_periodic_runs)}

@@ -142,3 +142,13 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def text_of(bounds: np.ndarray) -> np.ndarray:
     """The text that each item between the bounds belongs to."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+
+
+def range_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> pa.StringArray:
+    """The byte ranges as strings, A-Z as a-z with ``fold``."""
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    found = data[np.repeat(starts - offsets[:-1], ends - starts) + np.arange(offsets[-1])]
+    if fold:
+        found = np.where((found >= 65) & (found < 91), found + 32, found).astype(np.uint8)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(found)))

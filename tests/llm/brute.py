@@ -120,3 +120,29 @@ def runs(words, min_length=12):
                 found.setdefault((i, j - i + q), q)
             i = max(j, i + 1)
     return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def phrases(rows, min_count=10, max_words=3, top=2000, cover_percent=50):
+    """{language: [(phrase, a, l, r, n, score)]} of (text, language) rows, by counting every phrase."""
+    counts, totals = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(FOLD)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            counts.update((lang, *words[i:i + k]) for k in range(1, max_words + 1) for i in range(len(words) - k + 1))
+    found = collections.defaultdict(list)
+    frequent = {g: n for g, n in counts.items() if n >= min_count and len(g) > 2}
+    around = collections.Counter()
+    for (lang, *words), n in frequent.items():
+        for k in range(2, len(words)):
+            for i in range(len(words) - k + 1):
+                part = (lang, *words[i:i + k])
+                around[part] = max(around[part], n)
+    for (lang, *words), a in frequent.items():
+        if 100 * around[lang, *words] >= cover_percent * a:
+            continue
+        cuts = [(counts[lang, *words[:k]], counts[lang, *words[k:]], k) for k in range(1, len(words))]
+        score, _, l, r = min((10**6 * a * a // (l * r), k, l, r) for l, r, k in cuts)
+        found[lang].append((" ".join(words), a, l, r, totals[lang], score))
+    return {lang: sorted(own, key=lambda p: (-p[5], -p[1], p[0].encode()))[:top] for lang, own in found.items()}
