@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataprop.llm.class_model import score_language_model
 from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import identify_language
 from strataprop.llm.ngram_join import near_duplicates
@@ -87,6 +88,10 @@ def op11_phrase_collocations(spark, sf_dir) -> DataFrame:
     return mine_phrases(_table(spark, sf_dir, "documents"))
 
 
+def op12_class_language_model(spark, sf_dir) -> DataFrame:
+    return score_language_model(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir) -> DataFrame:
     found = periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
     longest = F.array_max(F.transform("runs", lambda r: F.struct(
@@ -105,4 +110,4 @@ def op13_periodic_runs(spark, sf_dir) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_quality_rules, op3_language_id, op4_pii,
     op5_ngram_jaccard_join, op6_decontamination, op7_packing, op8_toxicity, op9_sharding, op10_warc,
-    op11_phrase_collocations, op13_periodic_runs)}
+    op11_phrase_collocations, op12_class_language_model, op13_periodic_runs)}
