@@ -94,8 +94,8 @@ def filter_urls(
     """Host, path, deciding rule and verdict of every url.
 
     ``rules`` has ``host``, ``path`` and ``verdict`` (``block`` or ``allow``). A rule fits its host and all
-    subdomains if the url's path starts with the rule's; the rule with the longest host wins, among
-    these the one with the longest path. Of two rules for one host and path, block wins. Rules with
+    subdomains if the url's path starts with the rule's; the longest rule wins, host and path together, of
+    equally long ones that with the longest host. Of two rules for one host and path, block wins. Rules with
     a host that is null, empty or has one of ``/?#``, or another verdict, fit nothing; a null path is empty. A url that is null
     or has no ``://`` has an empty host and path, and no rule. Without a rule the verdict is
     ``default`` and ``rule`` is null. Every row is returned once, repeated ones too; an empty table
@@ -120,8 +120,9 @@ def filter_urls(
     held = of_path.select("key", F.filter(
         "stack", lambda rule: F.col("key").startswith(rule["prefix"])).alias("active")).filter("size(active) > 0")
     # the longest path of a host ends its stack
+    last = F.element_at("active", -1)
     won = ruled.join(held, "key").groupBy("host_key", "path").agg(
-        F.max_by(F.element_at("active", -1), F.length("outer")).alias("won"))
+        F.max_by(last, F.struct(F.length(last["rule"]), F.length("outer"))).alias("won"))
     joined = split.join(won, ["host_key", "path"], "left")
     return joined.select(
         key, "host", "path", F.col("won.rule").alias("rule"),

@@ -92,7 +92,7 @@ def url_parts(url):
 
 def url_rule(url, rules):
     host, path = url_parts(url)
-    fits = [(len(h), len(p), h + p, v) for h, p, v in rules
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules
             if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits)[2:] if fits else (None, "allow")
 

@@ -76,6 +76,8 @@ def test_nested_rules_and_odd_urls(spark):
     labels, steps = ["a", "b", "c", "-z"], ["/", "/x", "/x/y", "/xy", "", "?x", "/y/x"]
     odd += [f"http://{'.'.join(rng.choices(labels, k=rng.randint(0, 3)))}.{rng.choice(['com', 'net', 'org'])}{rng.choice(steps)}"
             for _ in range(300)]
+    rules += [("b.com", "/long/path/", "block"), ("a.b.com", "/", "allow")]  # the longer rule, not the longer host
+    odd += ["http://a.b.com/long/path/x", "http://a.b.com/long", "http://c.a.b.com/long/path/"]
     pages = spark.createDataFrame(list(enumerate(odd)), "page_id long, url string").repartition(5)
     rules_df = spark.createDataFrame(rules, "host string, path string, verdict string")
     for row in filter_urls(pages, rules_df).collect():
