@@ -93,6 +93,8 @@ def test_near_duplicates(docs):
 def test_contamination(docs, items):
     found = {(r["doc_id"], r["item_id"]) for r in find_contamination(docs, items).collect()}
     assert found == {(1, 1), (1, 2), (2, 1), (2, 2), (None, 1), (None, 2)}
+    clashing = find_contamination(docs, _with_clashes(items.filter("item_id = 1"))).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in clashing} == {(1, 1), (2, 1), (None, 1)}
 
 
 def test_packing(docs):
@@ -108,9 +110,12 @@ def test_toxicity(docs, labels):
     assert len({r["score"] for r in found if r["doc_id"] in (3, 4, 5)}) == 1
 
 
-def test_toxicity_needs_both_classes(docs, labels):
-    with pytest.raises(ValueError, match="both classes"):
-        score_toxicity(docs, labels.filter("toxic = 1"))
+def test_toxicity_without_a_class_is_the_share_of_the_other(docs, labels):
+    from pyspark.sql import functions as F
+    for chosen, score in (("toxic = 1", 1.0), ("toxic = 0 and doc_id <> 1", 0.0), ("doc_id = 99", 0.5), ("false", 0.5)):
+        found = score_toxicity(docs, labels.filter(chosen).withColumn("text", F.lit("x"))).collect()
+        assert len(found) == len(ROWS) and {round(r["score"], 12) for r in found} == {score}
+        assert {r["predicted"] for r in found} == {int(score >= 0.5)}
 
 
 def test_sharding(docs):

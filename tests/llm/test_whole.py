@@ -1,12 +1,20 @@
 """Parts of the job that an operator once left out."""
 
+import collections
+import math
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from strataprop.llm import decontaminate, toxicity, words
 from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import fit_language, predict_language
 from strataprop.llm.pii import find_pii, redact
+from strataprop.llm.toxicity import fit_toxicity, score_toxicity
+
+SF_DIR = "/root/testdata/sf0.01"
 
 
 # --- op3 ----------------------------------------------------------------------------------------
@@ -54,7 +62,7 @@ def test_unseen_identifiers_in_groups_and_behind_numbers_are_found(spark):
 
 def test_edited_copies_are_found_beside_many_exact_ones(spark):
     rng = random.Random(5)
-    kinds = [(length, every) for length in (15, 30, 59) for every in (4, 5)]
+    kinds = [(length, every) for length in (15, 30, 59) for every in (3, 4, 5, 6)]
     items = {k: [f"w{rng.randrange(10**6)}" for _ in range(length)] for k, (length, _) in enumerate(kinds)}
     rows = [(1000 * k + j, " ".join(item)) for k, item in items.items() for j in range(1, 41)]
     for k, (_, every) in enumerate(kinds):
@@ -66,3 +74,105 @@ def test_edited_copies_are_found_beside_many_exact_ones(spark):
     scores = {(r["doc_id"], r["item_id"]): r["score"] for r in found}
     assert set(scores) == {(key, key // 1000) for key, _ in rows}
     assert all((score == 1.0) == (key % 1000 != 500) for (key, _), score in scores.items())
+
+
+def test_short_items_are_found_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "a golden zebra ran"), (2, "a golden, ZEBRA"), (3, "golden ran zebra"), (4, "zebra"), (5, "Quagga?")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Golden zebra"), (2, "quagga"), (3, "a golden zebra")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in find_contamination(docs, items).collect()}
+    assert found == {(1, 1), (2, 1), (5, 2), (1, 3), (2, 3)}
+
+
+def test_a_phrase_that_all_share_joins_no_text_to_an_item(spark, monkeypatch):
+    rng = random.Random(8)
+
+    def text(n):
+        return " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+
+    docs = [(k, f"{text(8)} which of the following {text(8)}") for k in range(2000)]
+    items = [(k, f"{text(6)} which of the following {text(12)}") for k in range(400)]
+    docs += [(5000 + k, f"{text(5)} {items[k][1]} {text(5)}") for k in range(20)]
+    candidates = []
+    written = decontaminate.stage
+    monkeypatch.setattr(decontaminate, "stage", lambda df: candidates.append(written(df)) or candidates[-1])
+    found = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in found} == {(5000 + k, k, 1.0) for k in range(20)}
+    sizes = [df.count() for df in candidates if "band" in df.columns or "part" in df.columns]
+    assert len(sizes) == 2 and max(sizes) < 100
+
+
+def test_nearly_all_pairs_that_align_are_found(spark):
+    """Against every pair of a text and an item of the given tables, and edited copies beside them."""
+    rng = random.Random(12)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    for k in range(60):
+        words = items[k % len(items)][1].split()
+        edited = [f"e{rng.randrange(10**6)}" if rng.random() < 0.25 else w for w in words]
+        docs.append((10**6 + k, " ".join([*docs[k][1].split()[:30], *edited, *docs[k + 1][1].split()[:30]])))
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    hashed = {k: [dict(zip([key for key, _ in rows], [
+        words[a:b] for _, words, bounds in decontaminate._word_hashes(pa.array([t for _, t in rows]))
+        for a, b in zip(bounds, bounds[1:])]))][0] for k, rows in (("docs", docs), ("items", items))}
+    expected = {}
+    for doc, text in hashed["docs"].items():
+        for item, words in hashed["items"].items():
+            if np.isin(words, text).sum() / len(words) >= 0.5:
+                score = decontaminate.align(words, text)[0] / (2 * len(words))
+                if score >= 0.5:
+                    expected[doc, item] = score
+    assert set(found) <= set(expected) and all(abs(found[p] - expected[p]) < 1e-9 for p in found)
+    assert len(expected) > 30 and len(found) >= 0.9 * len(expected)
+
+
+# --- op8 ----------------------------------------------------------------------------------------
+
+
+def test_toxicity_does_not_depend_on_how_rows_are_dealt_out(spark):
+    rng = random.Random(3)
+    rows = [(k % 150, " ".join(rng.choices(["bad", "vile", "nice", "good", "the", "a"], k=12))) for k in range(400)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(200)] + [(7, 1), (7, 0)], "doc_id long, toxic long")
+    seen = set()
+    for parts in (1, 3, 7):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        seen.add(tuple(sorted((r["doc_id"], r["score"]) for r in score_toxicity(frame, labels).collect())))
+    assert len(seen) == 1
+
+
+def test_toxicity_learns_the_weights_of_a_plain_trainer(spark):
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choices(["bad", "vile", "nice", "good", "the", "a", "of"], k=rng.randrange(15)))) for k in range(200)]
+    labels = [(k, int("bad" in t.split())) for k, t in rows]
+    used, weights, bias = fit_toxicity(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(labels, "doc_id long, toxic long"), "doc_id", "text", "toxic")
+
+    order = [r[0] for r in spark.range(200).select("id").orderBy(F.xxhash64("id"), "id").collect()]
+    blocks = next(words.blocks(pa.array([rows[k][1] for k in order])))
+    features, text = toxicity._features(blocks)
+    examples = [np.unique(features[text == k]).tolist() for k in range(200)]
+    pull, squares, bias_at = collections.defaultdict(float), collections.defaultdict(float), -1
+
+    def weight(f):
+        l1, l2 = (0, 0) if f == bias_at else (toxicity.L1, toxicity.L2)
+        z = pull[f]
+        if abs(z) <= l1:
+            return 0.0
+        return (math.copysign(l1, z) - z) / ((toxicity.BETA + math.sqrt(squares[f])) / toxicity.ALPHA + l2)
+
+    shuffled = np.random.default_rng(7)
+    for _ in range(toxicity.EPOCHS):
+        for k in shuffled.permutation(200):
+            own = [*examples[k], bias_at]
+            now = {f: weight(f) for f in own}
+            slope = 1 / (1 + math.exp(-sum(now.values()))) - labels[order[k]][1]
+            for f in own:
+                pull[f] += slope - (math.sqrt(squares[f] + slope**2) - math.sqrt(squares[f])) / toxicity.ALPHA * now[f]
+                squares[f] += slope**2
+    plain = {f: weight(f) for f in pull if f != bias_at and weight(f)}
+    assert plain.keys() == set(used.tolist())
+    assert np.allclose([plain[f] for f in used.tolist()], weights) and math.isclose(bias, weight(bias_at), rel_tol=1e-6)
