@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataprop.llm.batches import bound_batches
+from strataprop.llm.batches import arrow_function, bound_batches, give_back
 from strataprop.llm.ftrl import Ftrl, probabilities, temperature
 from strataprop.llm.toxicity import bucket_of
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
@@ -119,7 +119,7 @@ def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_
 
     Document frequencies cover all rows. The weights come from ``max_rows`` different texts at most (one
     for each language at least), an even share for each language however often its texts are repeated,
-    in the order of a hash of the text; a fifth of them sets the temperature.
+    in the order of a hash of the text; every fifth of them sets the temperature, which is 1 with fewer than five.
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
@@ -142,10 +142,10 @@ def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_
               .select("place", "language", "text").distinct())
     ranked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("place", "text")))
     found = ranked.filter(F.col("rank") <= share).select("place", "language", "text").mapInArrow(
-        _examples, "place double, language string, features array<int>, counts array<int>")
+        arrow_function(_examples), "place double, language string, features array<int>, counts array<int>")
     found = found.orderBy("place", "language").toArrow()
 
-    counts = combined(rows.select("text").mapInArrow(_document_counts, VECTOR_SCHEMA), 1 << BITS, np.uint32)
+    counts = combined(rows.select("text").mapInArrow(arrow_function(_document_counts), VECTOR_SCHEMA), 1 << BITS, np.uint32)
     documents = rows.count()
     idf = SCALE * np.log((1 + documents) / (1 + counts))
     number = {name: k for k, name in enumerate(languages)}
@@ -156,15 +156,14 @@ def fit_language(docs: DataFrame, text: str, language: str, max_rows: int = MAX_
         examples.append((ids, times / times.sum() * idf[ids]))
     if len(languages) == 1:
         return Model(languages, np.zeros((1 << BITS, 1)), np.zeros(1), 1.0)
-    held = np.arange(len(examples)) % 5 == 4 if len(examples) >= 50 else np.zeros(len(examples), bool)
+    held = np.arange(len(examples)) % 5 == 4
     model = Ftrl(1 << BITS, len(languages), ALPHA, BETA, L1, L2).fit(
         [x for x, h in zip(examples, held) if not h], targets[~held], EPOCHS)
     weights, bias = model.weights()
-    calibrate = held if held.any() else ~held
-    scores = np.array([x @ weights[ids] + bias for (ids, x), c in zip(examples, calibrate) if c])
+    scores = np.array([x @ weights[ids] + bias for (ids, x), h in zip(examples, held) if h])
     # float32 halves what each worker holds: 2^16 numbers for each language
     return Model(languages, (weights * idf[:, None]).astype(np.float32), bias,
-                 temperature(scores, targets[calibrate]))
+                 temperature(scores, targets[held]) if held.any() else 1.0)
 
 
 def _judge(model: Model | None, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -204,7 +203,7 @@ def predict_language(docs: DataFrame, model: Model | None, key: str, text: str)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores)], [key, "lang_pred", "score"])
 
-    return rows.mapInArrow(predict, f"`{key}` {kind}, lang_pred string, score double")
+    return rows.mapInArrow(arrow_function(predict), f"`{key}` {kind}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text: str, min_score: float) -> DataFrame:
@@ -212,9 +211,13 @@ def keep_identified(docs: DataFrame, model: Model | None, text: str, min_score:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("boolean")
-    def identified(texts: pa.Array) -> pa.Array:
-        names, scores = _judge(shared.value, texts)
-        return pa.array((names != UNDETERMINED) & (scores >= min_score), pa.bool_())
+    def identified(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                names, scores = _judge(shared.value, texts)
+                yield pa.array((names != UNDETERMINED) & (scores >= min_score), pa.bool_())
+        finally:
+            give_back()
 
     return docs.filter(identified(docs[text]))
 
@@ -230,7 +233,8 @@ def identify_language(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Learns from rows whose crc32 of the key, modulo ``folds``, is not ``held_out`` and whose language is
     not null; predicts from the text alone. A text that is null or has no letter is ``und`` with score
     0, and so is every row when nothing can be learnt. A null key counts as empty text for the
-    fold. Ties go to the first language by name. Every row is returned, repeated ones too; an
+    fold. Where only one language can be learnt, every text with a letter has it, with score 1. Ties go to the first
+    language by name. Every row is returned, repeated ones too; an
     empty table gives no rows; other columns are not carried.
     """
     model = fit_language(training_rows(docs, key, language, folds, held_out), text, language)

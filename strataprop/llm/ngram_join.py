@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
-from strataprop.llm.batches import bound_batches
+from strataprop.llm.batches import arrow_function, bound_batches
 from strataprop.llm.components import components
 from strataprop.llm.names import free_name
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
@@ -89,7 +89,7 @@ def _class_rows(docs: DataFrame, n: int) -> DataFrame:
 
     kind = docs.schema[0].dataType.simpleString()
     return docs.mapInArrow(
-        classify, f"`{docs.columns[0]}` {kind}, n_shingles long, class long, {VECTOR_SCHEMA}")
+        arrow_function(classify), f"`{docs.columns[0]}` {kind}, n_shingles long, class long, {VECTOR_SCHEMA}")
 
 
 def _prefix_rows(docs: DataFrame, n: int, t: Fraction, sketch) -> DataFrame:
@@ -119,7 +119,7 @@ def _prefix_rows(docs: DataFrame, n: int, t: Fraction, sketch) -> DataFrame:
                     [pa.array(np.concatenate(x)) for x in (tokens, salts, ids, places)],
                     ["token", "salt", "class", "place"])
 
-    return docs.mapInArrow(emit, "token long, salt long, class long, place long")
+    return docs.mapInArrow(arrow_function(emit), "token long, salt long, class long, place long")
 
 
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def _from_sets(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame,
             if ids:
                 yield batch_of(ids, sets)
 
-    found = docs.mapInArrow(emit, schema)
+    found = docs.mapInArrow(arrow_function(emit), schema)
     made = stage(found.join(classes, "class", "left_semi").dropDuplicates(["class"]))
     wanted.destroy()
     return made
@@ -242,9 +242,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, holders: DataFrame, t:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    left = both(pairs, "class long, parts binary", _profile_batch, "parts").mapInArrow(sift, "a long, b long")
+    left = both(pairs, "class long, parts binary", _profile_batch, "parts").mapInArrow(arrow_function(sift), "a long, b long")
     sets = both(left, "class long, grams array<long>", _set_batch, "grams")
-    return stage(sets.mapInArrow(compare, "a long, b long, linked boolean"))
+    return stage(sets.mapInArrow(arrow_function(compare), "a long, b long, linked boolean"))
 
 
 def near_duplicates(
@@ -273,7 +273,7 @@ def near_duplicates(
 
     prefixes = _prefix_rows(docs, n, t, sketch)
     met = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token", "salt", "place", "class")
-                .mapInArrow(_meetings, "token long, salt long, class long, place long, hub long, "
+                .mapInArrow(arrow_function(_meetings), "token long, salt long, class long, place long, hub long, "
                                        "hub_place long"))
     sketch.destroy()
     holders = stage(rows.filter("class is not null").groupBy("class").agg(

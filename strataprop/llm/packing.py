@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 from unicodedata import is_normalized
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
-from strataprop.llm.batches import bound_batches
+from strataprop.llm.batches import arrow_function, bound_batches
 from strataprop.llm.words import WHITE, Block, blocks, hash_ranges
 
 CAPACITY, END_ID = 4096, 1
@@ -108,9 +109,9 @@ class WordTokens:
         whole = [self.tokenizer.encode(word, add_special_tokens=False).ids for word in probes]
         self.direct = whole == [sum((self._direct(part) for part in ([p[:-1], p[-1]] if p[1:] and p[-1] in ".?" else [p])), [])
                                 for p in probes]
-        self._clear()
+        self.forget()
 
-    def _clear(self, words: int = 0) -> None:
+    def forget(self, words: int = 0) -> None:
         """Forget all words; there is then room for as many, even if one text has more than are kept."""
         bits = max(WORD_BITS, 1 + words.bit_length())
         self.table = _Table(bits)
@@ -170,7 +171,7 @@ class WordTokens:
             hashes, first, word = np.unique(
                 hash_ranges(block.sums(fold=self.direct), starts, ends), return_index=True, return_inverse=True)
             if self.table.used + len(hashes) > len(self.starts):
-                self._clear(len(hashes))
+                self.forget(len(hashes))
             number = self.table.get(hashes)
             new = np.flatnonzero(number < 0)
             if len(new):
@@ -186,6 +187,12 @@ class WordTokens:
                 yield flat[edges[k] : edges[k + 1]]
 
 
+@lru_cache(maxsize=1)
+def _tokens_of(path: str) -> WordTokens:
+    """One tokenizer for all tasks of a worker process."""
+    return WordTokens(path)
+
+
 def _pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """A row per piece, with the task that made it and its rank among that task's pieces of its length."""
     key = docs.columns[0]
@@ -193,7 +200,7 @@ def _pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Data
     names = [key, "piece", "start", "length", "ids_crc32", "__task", "__rank"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, task = WordTokens(tokenizer), TaskContext.get().partitionId()
+        tokens, task = _tokens_of(tokenizer), TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, piece, start, length, crc, rank = ([] for _ in range(6))
@@ -211,9 +218,10 @@ def _pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Data
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
                  *[pa.array(x, pa.int64()) for x in (start, length, crc, [task] * len(row), rank)]], names)
+        tokens.forget()
 
     return docs.mapInArrow(
-        cut, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long, __task long, __rank long")
+        arrow_function(cut), f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long, __task long, __rank long")
 
 
 def _classes(lengths: np.ndarray, counts: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -375,4 +383,4 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     kind = docs.schema[key].dataType.simpleString()
     return ranked.mapInArrow(
-        place, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        arrow_function(place), f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataprop.llm.batches import arrow_function
+
 #: Bytes in one row.
 SLICE = 1 << 15
-#: Rows of one slice that one group combines.
+#: Tasks whose rows of one slice are combined first.
 FAN_IN = 256
 #: Bits of a filter over 64-bit hashes (8 MB), and those in one of Spark's bitmaps.
 FILTER_BITS, BITMAP = 26, 32768
@@ -30,27 +31,42 @@ def vector_rows(task: int, vector: np.ndarray) -> Iterator[pa.RecordBatch]:
             "bytes": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
 
+def _added(kind: np.dtype, wide: np.dtype, combine):
+    """From rows sorted by task and slice: one row for each of both, its vectors combined; one is held at a time."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(held: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array([x], pa.int64()) for x in held), pa.array([total.tobytes()], pa.binary())], ["task", "slice", "bytes"])
+
+        held, total = None, None
+        for batch in batches:
+            for task, number, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (task, number) != held:
+                    if held:
+                        yield told(held, total)
+                    held, total = (task, number), np.zeros(SLICE // kind.itemsize, wide)
+                combine(total, np.frombuffer(part.as_buffer(), kind if len(part.as_buffer()) == SLICE else wide), out=total)
+        if held:
+            yield told(held, total)
+
+    return arrow_function(add)
+
+
 def combined(rows: DataFrame, length: int, dtype=np.uint16) -> np.ndarray:
     """All tasks' vectors together, on the driver: counts are added (as int64), bytes are or-ed.
 
-    ``dtype`` is the tasks' own. The result has ``length`` numbers whatever the input. Two levels of
-    groups, so that no group holds more than FAN_IN rows or a FAN_IN-th of the tasks.
+    ``dtype`` is the tasks' own. The result has ``length`` numbers whatever the input. Rows are dealt out by
+    slice and FAN_IN tasks, then by slice, and combined as they come, so a task holds one vector at a time.
     """
     small = np.dtype(dtype)
     wide, combine = (small, np.bitwise_or) if small == np.uint8 else (np.dtype(np.int64), np.add)
-
-    def together(group: pd.DataFrame, kind: np.dtype) -> pd.DataFrame:
-        total = np.zeros(SLICE // small.itemsize, wide)
-        for part in group["bytes"]:
-            combine(total, np.frombuffer(part, kind), out=total)
-        return pd.DataFrame({"task": [group["task"].min() // FAN_IN],
-                             "slice": [group["slice"].iloc[0]], "bytes": [total.tobytes()]})
-
-    part = F.expr(f"task div {FAN_IN}").alias("part")
-    first = rows.groupBy("slice", part).applyInPandas(lambda group: together(group, small), SCHEMA)
-    all_parts = first.groupBy("slice").applyInPandas(lambda group: together(group, wide), SCHEMA)
+    for group in (F.expr(f"task div {FAN_IN}"), F.lit(0).cast("long")):
+        grouped = rows.select(group.alias("task"), "slice", "bytes")
+        rows = grouped.repartition("slice", "task").sortWithinPartitions("task", "slice").mapInArrow(
+            _added(small, wide, combine), SCHEMA)
     total = np.zeros(length, wide).reshape(-1, SLICE // small.itemsize)
-    for row in all_parts.collect():
+    for row in rows.collect():
         total[row["slice"]] = np.frombuffer(row["bytes"], wide)
     return total.reshape(-1)
 
