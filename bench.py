@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strataprop.operators import metrics, splitting
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
+from strataprop.operators.quantiles import exact_quantiles
 from strataprop.plans import fixtures as fx
 from strataprop.plans.queries import QUERIES
 
@@ -30,7 +31,8 @@ HEADLINES = (
     "split_counts", "contingency", "chi_square", "correlation_matrix", "box_stats", "bin_2d",
     "category_index", "one_hot", "logistic_train_metrics",
     "python_model_score", "binary_metrics", "flagship", "correlation_matrix_wide",
-    "quantiles_narrow", "train_metrics_by_level", "join_hot_both",
+    "quantiles_narrow", "train_metrics_by_level", "join_hot_both", "gbt_train_metrics",
+    "one_hot_table", "target_means_before", "merged_medians", "join_bucketed",
 )
 
 
@@ -113,8 +115,34 @@ def fit_pair(spark):
     return ours, plain
 
 
+def feature_pair(spark):
+    def ours():
+        run(fx.features(spark, SF_DIR))
+
+    def plain():
+        customer = fx.table(spark, SF_DIR, "customer").join(
+            fx.table(spark, SF_DIR, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        wide = fx.profile(spark, SF_DIR).join(fx.performance(spark, SF_DIR), "id", "left").join(
+            customer, F.col("cust_id") == F.col("c_custkey"), "left").join(fx.target(spark, SF_DIR), "id", "left")
+        run(wide)
+
+    return ours, plain
+
+
+def quantile_pair(spark):
+    lines = fx.table(spark, SF_DIR, "lineitem")
+
+    def ours():
+        run(exact_quantiles(lines, "l_extendedprice", [0.1, 0.5, 0.9], ["l_returnflag"]))
+
+    def plain():
+        run(lines.groupBy("l_returnflag").agg(F.expr("percentile(l_extendedprice, array(0.1, 0.5, 0.9))")))
+
+    return ours, plain
+
+
 PAIRS = {"split": split_pair, "apply_imputation": apply_pair, "metrics": metrics_pair,
-         "fit_imputation": fit_pair}
+         "fit_imputation": fit_pair, "feature_table": feature_pair, "exact_quantiles": quantile_pair}
 
 
 def main() -> None:

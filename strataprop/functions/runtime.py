@@ -49,5 +49,21 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= limit
 
 
+def settled(df: DataFrame, factor: int = 8) -> DataFrame:
+    """A result of small tables, written once so that its true size is known.
+
+    Catalyst takes the size of a join for the product of its sides, so a small lookup made of two tables looks too
+    large to broadcast. If all tables behind it are ``factor`` broadcast limits together at most, it is written
+    and read back, and its own size decides. Anything else stays as it is.
+    """
+    session = df.sparkSession._jsparkSession.sessionState()
+    limit = session.conf().autoBroadcastJoinThreshold()
+    if limit <= 0 or fits_broadcast(df):
+        return df
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    behind = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return stage(df) if leaves.size() > 1 and behind <= factor * limit else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from strataprop.functions.checks import (
 from strataprop.functions.chi_square_tail import chi_square_p_value
 from strataprop.functions.expressions import column, numeric
 from strataprop.functions.runtime import stage
+from strataprop.operators.comoments import block_moments, column_counts, correlations
 from strataprop.operators.joins import equi_join
 from strataprop.operators.quantiles import exact_quantiles, with_group_values
 
@@ -68,37 +67,29 @@ def chi_square(df: DataFrame, col_1: str, col_2: str) -> tuple[DataFrame, DataFr
 def correlation_matrix(df: DataFrame, columns: list[str], nulls: str = "error") -> DataFrame:
     """Pearson correlation of every pair as rows ``col_i, col_j, corr``, both orders included.
 
-    Nulls and NaN are an error, or with ``nulls="skip"`` their rows are left out as a whole.
-    A constant column has no correlation, not even with itself: null. Two jobs run at once: one
-    aggregate for nulls and constants, one Gram matrix over the columns that vary.
+    Nulls and NaN are an error; with ``nulls="skip"`` their rows are left out as a whole, with ``"pairwise"`` each pair
+    takes the rows that have both. A constant column has no correlation, not even with itself: null. One
+    pass over the rows for some thousand columns; the pairs are made on the executors.
     """
-    require_choice(nulls, ("error", "skip"), "nulls")
+    require_choice(nulls, ("error", "skip", "pairwise"), "nulls")
     require_numeric(df, columns)
     if len(set(columns)) < len(columns) or not columns:
         raise ValueError("columns must be a list of different names")
     values = df.select(*[numeric(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     if nulls == "skip":
         values = values.dropna()
-    k = len(columns)
-    facts = values.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f"c{i}").isNull()).alias(f"nulls_{i}") for i in range(k)],
-        *[(F.max(f"c{i}") > F.min(f"c{i}")).alias(f"varies_{i}") for i in range(k)],
-    ).first()
-    holed = [c for i, c in enumerate(columns) if facts[f"nulls_{i}"]]
-    if holed:
-        raise ValueError(f"null values in {', '.join(map(repr, holed))}: impute them or pass nulls='skip'")
-    varying = [i for i in range(k) if facts[f"varies_{i}"]]
-    matrix = None
-    if varying:
-        assembler = VectorAssembler(inputCols=[f"c{i}" for i in varying], outputCol="features")
-        matrix = Correlation.corr(assembler.transform(values).select("features"), "features").first()[0]
-    place = {i: at for at, i in enumerate(varying)}
-    # one row per pair of columns, whatever the number of rows
-    rows = [(columns[i], columns[j],
-             float(matrix[place[i], place[j]]) if i in place and j in place else None)
-            for i in range(k) for j in range(k)]
-    return df.sparkSession.createDataFrame(rows, "col_i string, col_j string, corr double")
+    moments = block_moments(values, len(columns))
+    if nulls == "error":
+        rows, counts = column_counts(moments, len(columns))
+        holed = [c for c, n in zip(columns, counts) if n < rows]
+        if holed:
+            raise ValueError(f"null values in {', '.join(map(repr, holed))}: impute them or pass nulls='skip'")
+    made = correlations(moments, columns)
+    if not moments.filter(F.col("block") >= 0).limit(1).count():  # not a row
+        names = df.sparkSession.createDataFrame([(c,) for c in columns], "name string")
+        return names.select(F.col("name").alias("col_i"), F.explode(F.array(*map(F.lit, columns))).alias("col_j"),
+                            F.lit(None).cast("double").alias("corr"))
+    return made
 
 
 def box_stats(

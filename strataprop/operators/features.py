@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -61,20 +61,42 @@ def check_features(
         raise ValueError(f"{found[-1]} rows have a label other than 0 or 1 in {target!r}")
 
 
+def _hole(df: DataFrame, c: str) -> Column:
+    """Whether the column is null or NaN."""
+    null = column(c).isNull()
+    return null | F.isnan(column(c).cast("double")) if isinstance(df.schema[c].dataType, NumericType) else null
+
+
+def count_holes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``column, holes``: how many nulls and NaN each column has, from one aggregate."""
+    require_columns(df, columns)
+    counts = df.agg(*[F.count_if(_hole(df, c)).alias(f"holes_{i}") for i, c in enumerate(columns)])
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"holes_{i}").alias("holes")) for i, c in enumerate(columns)]
+    return counts.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
 def check_no_nulls(df: DataFrame, columns: list[str]) -> None:
     """Name the columns that hold a null or NaN, in one aggregate."""
     require_columns(df, columns)
     if not columns:
         return
-    numbers = {f.name for f in df.schema if isinstance(f.dataType, NumericType)}
-    holes = [column(c).isNull() | F.isnan(column(c).cast("double")) if c in numbers
-             else column(c).isNull() for c in columns]
-    found = df.agg(*[F.count_if(h).alias(f"holes_{i}") for i, h in enumerate(holes)]).first()
-    nulls = [c for c, n in zip(columns, found) if n]
+    holes = {r["column"]: r["holes"] for r in count_holes(df, columns).collect()}  # one row per column
+    nulls = [c for c in columns if holes[c]]
     if nulls:
         raise ValueError(f"impute these columns first, they hold nulls: {', '.join(nulls)}")
 
 
+def asserted_no_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows as they are; reading a null or NaN in one of the columns fails and names the column.
+
+    The check is part of the projection, so it costs no pass of its own.
+    """
+    require_columns(df, columns)
+    checked = {c: F.when(_hole(df, c), F.raise_error(F.lit(
+        f"impute these columns first, they hold nulls: {c}")).cast(df.schema[c].dataType)).otherwise(column(c)) for c in columns}
+    return df.select(*[checked[c].alias(c) if c in checked else column(c) for c in df.columns])
+
+
 def input_columns(model: PipelineModel) -> list[str]:
     """The columns of the input table that a pipeline's encoders read."""
     made, read = set(), []

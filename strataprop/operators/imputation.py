@@ -24,6 +24,8 @@ from strataprop.operators.quantiles import exact_quantiles
 
 METHODS = ("mean", "median")
 MEDIAN_ACCURACY = 10_000
+# Size of the mergeable sketches: a median is off by about 0.1 % of the ranks.
+SKETCH_K = 4096
 
 PARAMS_SCHEMA = T.StructType([
     T.StructField("column", T.StringType()),
@@ -35,6 +37,18 @@ PARAMS_SCHEMA = T.StructType([
 ])
 
 
+# Facts of a fit that add up with those of other rows: counts, sums, and sketches of medians.
+STATISTICS_KEYS = [*PARAMS_SCHEMA.fieldNames()[:-1], "rounds", "fallback"]
+STATISTICS_SCHEMA = T.StructType([
+    *PARAMS_SCHEMA.fields[:-1],
+    T.StructField("rounds", T.BooleanType()),
+    T.StructField("fallback", T.BooleanType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("total", T.DoubleType()),
+    T.StructField("sketch", T.BinaryType()),
+])
+
+
 @dataclass(frozen=True)
 class Impute:
     """What to put in place of the nulls of one column.
@@ -201,6 +215,79 @@ def fit_imputation(
     return params
 
 
+def fit_statistics(df: DataFrame, specs: list[Impute] | Impute, path: str | None = None) -> DataFrame:
+    """What the parameters are made of, as a table that later rows can be added to without a rescan.
+
+    A row per column and stratum, the null stratum included: ``n`` values, their ``total``, and for a median a
+    KLL sketch, whose size does not grow with the rows. Means and medians are aggregated apart, so that means stay a
+    hash aggregate. Written to ``path`` or the shared folder. Exact medians do not add up and are refused.
+    """
+    specs = _check(df, specs)
+    exact = [s.column for s in specs if s.method == "median" and s.exact]
+    if exact:
+        raise ValueError(f"exact medians cannot be added up: {', '.join(exact)}")
+    parts = []
+    for method in METHODS:
+        chosen = [s for s in specs if s.method == method]
+        if not chosen:
+            continue
+        cells = [F.struct(
+            F.lit(s.column).alias("column"), F.lit(method).alias("method"),
+            F.lit(s.stratum).cast("string").alias("stratum_column"),
+            F.lit(df.schema[s.stratum].dataType.simpleString() if s.stratum else None).cast("string").alias("stratum_type"),
+            (column(s.stratum) if s.stratum else F.lit(None)).cast("string").alias("stratum_value"),
+            F.lit(s.rounds).alias("rounds"), F.lit(s.fallback and s.stratum is not None).alias("fallback"),
+            numeric(df, s.column).alias("v")) for s in chosen]
+        sketch = F.kll_sketch_agg_double("v", F.lit(SKETCH_K)) if method == "median" else F.lit(None).cast("binary")
+        long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+        grouped = long.groupBy(*STATISTICS_KEYS).agg(
+            F.count("v").alias("n"), F.sum("v").alias("total"), *([sketch.alias("sketch")] if method == "median" else []))
+        parts.append(grouped if method == "median" else grouped.withColumn("sketch", sketch))
+    statistics = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return stage(statistics.select(*[F.col(f.name).cast(f.dataType) for f in STATISTICS_SCHEMA]), path)
+
+
+def _added(statistics: DataFrame, keys: list[str]) -> DataFrame:
+    means = statistics.filter(F.col("method") == "mean").groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total")).withColumn("sketch", F.lit(None).cast("binary"))
+    medians = statistics.filter((F.col("method") == "median") & (F.col("n") > 0)).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    empty = statistics.filter((F.col("method") == "median") & (F.col("n") == 0)).select(*keys).distinct()
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    condition = same[0]
+    for other in same[1:]:
+        condition = condition & other
+    left = empty.alias("e").join(medians.select(*keys).alias("m"), condition, "left_anti")
+    return means.unionByName(medians).unionByName(left.select(
+        *keys, F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("total"),
+        F.lit(None).cast("binary").alias("sketch")))
+
+
+def merge_statistics(statistics: list[DataFrame], path: str | None = None) -> DataFrame:
+    """The statistics of all the rows together, from those of their parts; written like those of a fit."""
+    if not statistics:
+        raise ValueError("there are no statistics to merge")
+    whole = statistics[0]
+    for part in statistics[1:]:
+        whole = whole.unionByName(part)
+    return stage(_added(whole, STATISTICS_KEYS).select(*STATISTICS_SCHEMA.fieldNames()), path)
+
+
+def params_from_statistics(statistics: DataFrame) -> DataFrame:
+    """The parameter table that ``apply_imputation`` takes, from fitted or merged statistics.
+
+    Means are exact; a median is a value whose rank is within the sketch's error of the middle.
+    """
+    median = F.when((F.col("method") == "median") & (F.col("n") > 0), F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)))
+    plain = F.coalesce(median, F.when(F.col("method") == "mean", F.try_divide("total", F.col("n"))))
+    keys = [k for k in STATISTICS_KEYS if k != "stratum_value"]
+    overall = _added(statistics.filter("fallback"), keys).withColumn("stratum_value", F.lit(None).cast("string"))
+    known = statistics.filter(F.col("stratum_column").isNull() | F.col("stratum_value").isNotNull())
+    rows = known.unionByName(overall.select(known.columns))
+    return rows.withColumn("value", F.when(F.col("rounds"), F.round(plain)).otherwise(plain)).select(
+        *[F.col(f.name).cast(f.dataType) for f in PARAMS_SCHEMA])
+
+
 def params_from_values(
     df: DataFrame, values: dict[str, float | dict], strata: dict[str, str] | None = None
 ) -> DataFrame:

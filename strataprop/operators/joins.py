@@ -16,7 +16,7 @@ from strataprop.functions.checks import (
     require_disjoint,
 )
 from strataprop.functions.expressions import column
-from strataprop.functions.runtime import fits_broadcast, shuffle_partitions
+from strataprop.functions.runtime import fits_broadcast, settled, shuffle_partitions
 
 SALT = "__salt"
 RIGHT_SALT = "__right_salt"
@@ -297,7 +297,8 @@ def feature_table(
     which repeats the profile row. Pre-aggregated tables do not need it.
 
     Left joins on different keys commute, so the entity joins come first and share one shuffle
-    of the profile table; the dimension is attached last, by broadcast when it is small.
+    of the profile table; the dimension is attached last, by broadcast when it is small. A dimension that is
+    itself a join of small tables is written first, so that its true size decides.
     """
     for frame, name in ((profile, "profile"), (performance, "performance"),
                         (dimension, "dimension")):
@@ -331,7 +332,7 @@ def feature_table(
 
     require_columns(wide, [dim_key], "profile or performance")
     require_disjoint(wide, dimension, [dim_key], "dimension")
-    hot = None
+    hot, dimension = None, settled(dimension)
     if not fits_broadcast(dimension):
         if dim_key in profile.columns:
             hot = find_hot_keys(profile, [dim_key], hot_rows)

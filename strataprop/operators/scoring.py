@@ -19,7 +19,7 @@ PROBABILITIES = ("Probs_0", "Probs_1")
 PROBABILITY_STRUCT = "proba_0 double, proba_1 double"
 
 
-def _check(df: DataFrame) -> None:
+def refuse_taken(df: DataFrame) -> None:
     require_dataframe(df, "input")
     taken = [c for c in PROBABILITIES if c in df.columns]
     if taken:
@@ -28,7 +28,7 @@ def _check(df: DataFrame) -> None:
 
 def score(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Apply a fitted pipeline. The columns of its inner stages do not leave it."""
-    _check(df)
+    refuse_taken(df)
     keep = df.columns if keep is None else keep
     require_columns(df, keep)
     probability = vector_to_array(F.col("probability"))
@@ -50,7 +50,7 @@ def score_python(
     fixes the categories of a categorical feature, so that its codes are the same in every
     batch. The model is shipped once per executor and loaded once per task.
     """
-    _check(df)
+    refuse_taken(df)
     features = list(model.feature_names_in_ if features is None else features)
     levels = dict(levels or {})
     keep = df.columns if keep is None else keep

@@ -53,19 +53,18 @@ def split_by_sampling(
 
     Which rows are drawn depends on the layout of the input, so the sample is written once, to
     ``path`` or the shared folder, and every later use reads that. Unsampled copies of a sampled key
-    are in neither part; with ``whole`` they go to the training part too, so that the two parts are
-    the whole table.
+    are in neither part; with ``whole`` they go to the training part too, but those with a label other than 0
+    or 1, or none, which go to validation, so that the two parts are the whole table.
     """
     _check(df, key, target, fraction)
     fractions = {label: float(fraction) for label in LABELS}
     train = stage(df.sampleBy(column(target), fractions, seed), path)
     if whole:
-        keys = train.select(column(key)).dropna().distinct()
-        both = df.filter(column(key).isNotNull()).join(
-            keys.withColumn("__drawn", F.lit(True)), key, "left")
-        part = F.when(F.col("__drawn"), F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
-        keyless = df.filter(column(key).isNull()).withColumn(SPLIT, F.lit(VALIDATION))
-        return both.withColumn(SPLIT, part).select(*[column(c) for c in df.columns], SPLIT).unionByName(keyless)
+        keys = train.select(column(key)).dropna().distinct().withColumn("__drawn", F.lit(True))
+        chosen = F.col("__drawn") & column(target).isin(*LABELS)
+        both = equi_join(df, keys, key, "left")
+        part = F.when(chosen, F.lit(TRAIN)).otherwise(F.lit(VALIDATION))
+        return both.withColumn(SPLIT, part).select(*[column(c) for c in df.columns], SPLIT)
     return train.withColumn(SPLIT, F.lit(TRAIN)).unionByName(
         validation_rows(df, train, key).withColumn(SPLIT, F.lit(VALIDATION)))
 

@@ -62,6 +62,13 @@ SUPPLIERS = """
 suppliers AS (
   SELECT s_suppkey, CASE WHEN s_suppkey % 9 > 0 THEN s_nationkey END AS nation_id FROM supplier)"""
 
+SPARSE_NATIONS = f"""{SUPPLIERS},
+sellers AS (SELECT s_suppkey, nation_id * 2 AS nation_id FROM suppliers),
+buyers AS (SELECT c_custkey, c_nationkey * 3 AS nation_id FROM customer)"""
+
+FEATURE_NAMES = ("id", "cust_id", "priority", "total_price", "n_lines", "sum_qty", "avg_discount", "max_price",
+                 "segment", "acctbal", "nation_id", "region_id", "label")
+
 # One fitted value per column, or per column and stratum, from the rows of `fit`.
 FITTED = """
 by_priority AS (SELECT priority, round(avg(total_price)) AS v FROM fit
@@ -255,15 +262,22 @@ WITH {SUPPLIERS}
 SELECT s.nation_id, s_suppkey, c_custkey
 FROM suppliers s LEFT JOIN customer ON s.nation_id = c_nationkey""",
     "join_right": f"""
-WITH {SUPPLIERS}, chosen AS (SELECT * FROM suppliers WHERE nation_id % 2 = 0 OR nation_id IS NULL),
-few AS (SELECT * FROM customer WHERE c_nationkey % 3 > 0 AND c_custkey % 5 > 0)
-SELECT c_nationkey AS nation_id, s_suppkey, c_custkey
-FROM chosen s RIGHT JOIN few ON s.nation_id = c_nationkey""",
+WITH {SPARSE_NATIONS}
+SELECT b.nation_id, s_suppkey, c_custkey FROM sellers s RIGHT JOIN buyers b ON s.nation_id = b.nation_id""",
     "join_full": f"""
-WITH {SUPPLIERS}, chosen AS (SELECT * FROM suppliers WHERE nation_id % 2 = 0 OR nation_id IS NULL),
-few AS (SELECT * FROM customer WHERE c_nationkey % 3 > 0 AND c_custkey % 5 > 0)
-SELECT coalesce(s.nation_id, c_nationkey) AS nation_id, s_suppkey, c_custkey
-FROM chosen s FULL JOIN few ON s.nation_id = c_nationkey""",
+WITH {SPARSE_NATIONS}
+SELECT coalesce(s.nation_id, b.nation_id) AS nation_id, s_suppkey, c_custkey
+FROM sellers s FULL JOIN buyers b ON s.nation_id = b.nation_id""",
+    "join_bucketed": f"""
+WITH profile AS ({PROFILE.format(price=PRICE)}), performance AS ({PERFORMANCE}), target AS ({TARGET})
+SELECT p.*, n_lines, sum_qty, avg_discount, max_price, label
+FROM profile p LEFT JOIN performance f ON p.id = f.id LEFT JOIN target t ON p.id = t.id""",
+    "merged_medians": f"""
+WITH profile AS ({PROFILE.format(price=PRICE_WITH_NULLS)})
+SELECT priority, CAST(count(total_price) AS BIGINT) AS n, round(avg(total_price), 4) AS mean, 0.5::DOUBLE AS rank_share
+FROM profile GROUP BY priority""",
+    "null_checks": f"WITH {_features(nulls=True)} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS holes FROM features" for c in FEATURE_NAMES),
     "impute_global_mean": _impute("avg(total_price)", False),
     "impute_global_median": _impute("quantile_disc(total_price, 0.5)", False),
     "impute_stratified_mean": _impute("round(avg(total_price))", True),
@@ -329,6 +343,9 @@ FROM orders GROUP BY o_orderpriority, o_orderstatus""",
     "chi_square": CHI_SQUARE,
     "correlation_matrix": _correlations(),
     "correlation_matrix_wide": _wide_correlations(),
+    "correlation_pairwise": f"WITH {_features(nulls=True)} " + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_i, '{b}' AS col_j, round(corr({a}, {b}), 6) AS corr FROM features"
+        for a in CORRELATED for b in CORRELATED),
     "box_stats": f"WITH {_box(UNIT_PRICES, 'g AS l_returnflag,')}",
     "box_stats_overall": f"WITH {_box(ALL_PRICES, '')}",
     "bin_2d": """
@@ -345,6 +362,38 @@ SELECT o_orderkey AS id, o_totalprice AS total_price,
        CAST(index = 2 AS INTEGER)::DOUBLE AS level_2,
        CAST(index = 3 AS INTEGER)::DOUBLE AS level_3
 FROM orders JOIN levels ON o_orderpriority = level""",
+    "one_hot_table": f"""
+WITH {LEVELS}
+SELECT o_orderkey AS id, o_totalprice AS total_price,
+       CAST(index = 0 AS INTEGER)::DOUBLE AS level_0,
+       CAST(index = 1 AS INTEGER)::DOUBLE AS level_1,
+       CAST(index = 2 AS INTEGER)::DOUBLE AS level_2,
+       CAST(index = 3 AS INTEGER)::DOUBLE AS level_3
+FROM orders JOIN levels ON o_orderpriority = level""",
+    "target_means_before": f"""
+WITH target AS ({TARGET}),
+rows AS (
+  SELECT id, label, o_custkey AS cust_id, o_orderpriority AS priority,
+         CAST('0x' || substring(md5(concat('123:', CAST(id AS VARCHAR))), 1, 8) AS BIGINT) AS place
+  FROM target JOIN orders ON o_orderkey = id)
+SELECT id, round((coalesce(sum(label) OVER c, 0) + 0.5) / (count(label) OVER c + 2), 9) AS by_customer,
+       round((coalesce(sum(label) OVER p, 0) + 0.5) / (count(label) OVER p + 2), 9) AS by_priority
+FROM rows
+WINDOW c AS (PARTITION BY cust_id ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+       p AS (PARTITION BY priority ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "table_score_by_level": f"""
+WITH {_by_level(HASH_PART)}
+SELECT id, priority, round(share, 3) AS share FROM rows JOIN shares USING (priority)""",
+    "train_sampled_copies": f"""
+WITH {_by_level('TRUE')}, copied AS (
+  SELECT rows.*, share FROM rows JOIN shares USING (priority)),
+graded AS (
+  SELECT 'train_sample' AS sample, label AS y_true, CASE WHEN share >= 0.33 THEN 1 ELSE 0 END AS y_pred
+  FROM copied), {_metrics('graded', 'sample')} {LONG_METRICS}""",
+    "scored_batches_written": """
+SELECT o_orderkey % 3 AS batch, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE o_orderkey % 3 = 1) AS BIGINT) AS rerun
+FROM orders GROUP BY 1""",
     "logistic_calibration": f"""
 WITH {_features()}, {SPLIT_FEATURES}
 SELECT segment, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.checks import require_choice
 from strataprop.functions.runtime import stage
-from strataprop.operators.features import MAX_LEVELS, check_no_nulls, feature_columns, input_columns
+from strataprop.operators.features import MAX_LEVELS, asserted_no_nulls, check_no_nulls, feature_columns, input_columns
 from strataprop.operators.imputation import Impute, apply_imputation, fit_imputation
 from strataprop.operators.joins import feature_table
 from strataprop.operators.scoring import score
@@ -22,6 +22,15 @@ from strataprop.operators.splitting import (
     split_by_hash,
     split_by_sampling,
 )
+from strataprop.operators.metrics import binary_metrics, metrics_long
+from strataprop.operators.table_model import (
+    TableModel,
+    fit_table_model,
+    load_table_model,
+    predict_table_labels,
+    save_table_model,
+    score_table_model,
+)
 from strataprop.operators.training import evaluate, fit_classifier
 from strataprop.sources.artifacts import load_params, load_pipeline, save_params, save_pipeline
 from strataprop.sources.tables import read_table
@@ -29,9 +38,9 @@ from strataprop.sources.tables import read_table
 
 @dataclass(frozen=True)
 class TrainingResult:
-    """A fitted pipeline, the imputation parameters it needs, and ``sample, metric, value`` rows."""
+    """A fitted pipeline or table model, the imputation parameters it needs, and ``sample, metric, value`` rows."""
 
-    model: PipelineModel
+    model: PipelineModel | TableModel
     params: DataFrame | None
     metrics: DataFrame
 
@@ -57,31 +66,45 @@ def train(
     seed: int = 123, threshold: float = 0.5, handle_invalid: str = "keep",
     max_levels: int = MAX_LEVELS, tree_categories: str = "nominal",
     estimator_params: dict | None = None, method: str = "hash", split_path: str | None = None,
+    categories: str = "pipeline",
 ) -> TrainingResult:
     """Split, fit the imputation and the classifier on the training part, grade both parts.
 
     ``method`` splits by ``hash`` of the key, by a Bernoulli ``sample`` whose keys stay together, or takes
     the ``given`` column ``split`` of ``train`` and ``val``. The split table is written once, and so is the
     imputed one, to ``split_path`` or the shared folder, so that the joins behind them run once and
-    a lost executor costs a file read; the fits read the files of the training part only.
+    a lost executor costs a file read; the fits read the files of the training part only. With
+    ``categories="table"`` category levels stay in a table (``fit_table_model``), however many there are.
     """
     require_choice(method, ("hash", "sample", "given"), "method")
+    require_choice(categories, ("pipeline", "table"), "categories")
     if method == "given":
-        split = given_split(features, key=key, target=target)
+        if SPLIT not in features.columns:
+            raise ValueError(f"a given split needs a column {SPLIT!r}")
+        split = given_split(
+            stage(features, None if imputations else split_path, partition_by=SPLIT), key=key, target=target)
     else:
         by = split_by_hash if method == "hash" else partial(split_by_sampling, whole=True)
         split = by(features, key=key, target=target, fraction=fraction, seed=seed)
     if imputations:
-        split = stage(split, partition_by=SPLIT)
+        split = split if method == "given" else stage(split, partition_by=SPLIT)
         params = fit_imputation(split.filter(F.col(SPLIT) == TRAIN), imputations)
         filled = stage(apply_imputation(split, params), split_path, partition_by=SPLIT)
     else:
-        params, filled = None, stage(split, split_path, partition_by=SPLIT)
+        params, filled = None, split if method == "given" else stage(split, split_path, partition_by=SPLIT)
+    used = feature_columns(filled, target=target, key=key, categoricals=categoricals)
+    if categories == "table":
+        model = fit_table_model(
+            filled.filter(F.col(SPLIT) == TRAIN).drop(SPLIT), estimator=estimator, target=target, key=key,
+            categoricals=categoricals, seed=seed, params=estimator_params)
+        check_no_nulls(filled.filter(F.col(SPLIT) != TRAIN), [*used[0], *used[1]])
+        graded = predict_table_labels(model, filled, target, threshold, keep=[SPLIT]).select(
+            F.concat(F.col(SPLIT), F.lit("_sample")).alias("sample"), "y_true", "y_pred")
+        return TrainingResult(model, params, metrics_long(binary_metrics(graded, by="sample"), "sample"))
     model = fit_classifier(
         filled.filter(F.col(SPLIT) == TRAIN), estimator=estimator, target=target, key=key,
         categoricals=categoricals, handle_invalid=handle_invalid, seed=seed, max_levels=max_levels,
         tree_categories=tree_categories, params=estimator_params)
-    used = feature_columns(filled, target=target, key=key, categoricals=categoricals)
     check_no_nulls(filled.filter(F.col(SPLIT) != TRAIN), [*used[0], *used[1]])
     return TrainingResult(model, params, evaluate(model, filled, target=target, threshold=threshold))
 
@@ -90,20 +113,27 @@ def save_training(result: TrainingResult, folder: str, mode: str = "error") -> N
     folder = folder.rstrip("/")
     if result.params is not None:
         save_params(result.params, f"{folder}/imputation", mode)
-    save_pipeline(result.model, f"{folder}/pipeline", mode)
+    if isinstance(result.model, TableModel):
+        save_table_model(result.model, f"{folder}/table", mode)
+    else:
+        save_pipeline(result.model, f"{folder}/pipeline", mode)
 
 
 def score_saved(
-    features: DataFrame, folder: str, *, imputed: bool = True, keep: list[str] | None = None
+    features: DataFrame, folder: str, *, imputed: bool = True, keep: list[str] | None = None,
+    categories: str = "pipeline",
 ) -> DataFrame:
-    """Impute with the saved parameters and score with the saved pipeline.
+    """Impute with the saved parameters and score with the saved model, in one pass over the rows.
 
-    One job looks for nulls that the imputation left, and names their columns.
+    A null that the imputation left stops the scan with an error that names its column. ``categories`` says how
+    the model was trained.
     """
+    require_choice(categories, ("pipeline", "table"), "categories")
     folder = folder.rstrip("/")
-    model = load_pipeline(f"{folder}/pipeline")
     if imputed:
         features = apply_imputation(
             features, load_params(features.sparkSession, f"{folder}/imputation"))
-    check_no_nulls(features, input_columns(model))
-    return score(model, features, keep)
+    if categories == "table":
+        return score_table_model(load_table_model(features.sparkSession, f"{folder}/table"), features, keep)
+    model = load_pipeline(f"{folder}/pipeline")
+    return score(model, asserted_no_nulls(features, input_columns(model)), keep)

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from strataprop.functions.expressions import at_least
 from strataprop.functions.runtime import shared_folder, stage
 from strataprop.operators import exploration, metrics, splitting
-from strataprop.operators.features import FEATURES, category_index, encoding_stages
+from strataprop.operators.categories import category_dictionary, ordered_target_statistics, sparse_features
+from strataprop.operators.features import FEATURES, category_index, count_holes, encoding_stages
 from strataprop.operators.imputation import (
     Impute,
     apply_imputation,
     fit_imputation,
+    fit_statistics,
+    merge_statistics,
+    params_from_statistics,
     params_from_values,
 )
 from strataprop.operators.joins import equi_join, unique_dimension
@@ -27,7 +31,7 @@ from strataprop.operators.training import fit_classifier
 from strataprop.plans import fixtures as fx
 from strataprop.plans import propensity
 from strataprop.sources.artifacts import load_params, save_params
-from strataprop.sources.tables import read_delimited, read_table, write_table
+from strataprop.sources.tables import read_delimited, read_table, write_batch, write_entity_table, write_table
 
 
 def _new_folder(spark: SparkSession) -> str:
@@ -131,20 +135,30 @@ def join_hot_both(spark, sf_dir) -> DataFrame:
                          hot_rows=2, repeated_right=True)
 
 
-def _few_customers(spark, sf_dir) -> DataFrame:
-    return _customers(spark, sf_dir).filter("nation_id % 3 > 0 and c_custkey % 5 > 0")
+def _sparse_nations(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All suppliers and customers, their nations renumbered so that either side has some of its own."""
+    return (_suppliers(spark, sf_dir).withColumn("nation_id", F.col("nation_id") * 2),
+            _customers(spark, sf_dir).withColumn("nation_id", F.col("nation_id") * 3))
 
 
 def join_right(spark, sf_dir) -> DataFrame:
     with _shuffled(spark):
-        return equi_join(_suppliers(spark, sf_dir).filter("nation_id % 2 = 0 or nation_id is null"),
-                         _few_customers(spark, sf_dir), "nation_id", "right", hot_rows=2)
+        return equi_join(*_sparse_nations(spark, sf_dir), "nation_id", "right", hot_rows=2)
 
 
 def join_full(spark, sf_dir) -> DataFrame:
     with _shuffled(spark):
-        return equi_join(_suppliers(spark, sf_dir).filter("nation_id % 2 = 0 or nation_id is null"),
-                         _few_customers(spark, sf_dir), "nation_id", "full", hot_rows=2)
+        return equi_join(*_sparse_nations(spark, sf_dir), "nation_id", "full", hot_rows=2)
+
+
+def join_bucketed(spark, sf_dir) -> DataFrame:
+    """Profile, performance and target as stored tables of one bucketing, joined without a shuffle."""
+    folder, name = _new_folder(spark), f"strataprop_{uuid4().hex}"
+    parts = {"profile": fx.profile, "performance": fx.performance, "target": fx.target}
+    tables = [write_entity_table(make(spark, sf_dir), f"{name}_{part}", "id", 8, f"{folder}/{part}")
+              for part, make in parts.items()]
+    with _shuffled(spark):
+        return equi_join(equi_join(tables[0], tables[1], "id", hot_rows=2**60), tables[2], "id", hot_rows=2**60)
 
 
 # --- imputation ----------------------------------------------------------------------------
@@ -242,6 +256,24 @@ def impute_out_of_sample(spark, sf_dir) -> DataFrame:
         "id", "split", *[F.round(s.column, 6).alias(s.column) for s in SPECS])
 
 
+def merged_medians(spark, sf_dir) -> DataFrame:
+    """Fitted on two halves, merged: the mean, and the median's rank among the values of its stratum."""
+    rows = fx.profile_with_nulls(spark, sf_dir)
+    specs = [Impute("total_price", "median", "priority")]
+    halves = [fit_statistics(rows.filter(F.col("id") % 2 == k), specs) for k in (0, 1)]
+    merged = merge_statistics(halves)
+    medians = params_from_statistics(merged).select(F.col("stratum_value").alias("priority"), "value")
+    ranked = equi_join(rows.filter("total_price is not null"), medians, "priority").groupBy("priority").agg(
+        F.round(F.avg((F.col("total_price") <= F.col("value")).cast("int")), 2).alias("rank_share"))
+    means = merged.select(F.col("stratum_value").alias("priority"), "n", F.round(F.col("total") / F.col("n"), 4).alias("mean"))
+    return equi_join(means, ranked, "priority")
+
+
+def null_checks(spark, sf_dir) -> DataFrame:
+    rows = fx.features(spark, sf_dir, nulls=True)
+    return count_holes(rows, rows.columns)
+
+
 # --- splits --------------------------------------------------------------------------------
 
 
@@ -320,6 +352,12 @@ def correlation_matrix_wide(spark, sf_dir) -> DataFrame:
     return pairs.withColumn("corr", F.round("corr", 6))
 
 
+def correlation_pairwise(spark, sf_dir) -> DataFrame:
+    columns = ["total_price", "n_lines", "sum_qty", "max_price", "acctbal"]
+    pairs = exploration.correlation_matrix(fx.features(spark, sf_dir, nulls=True), columns, nulls="pairwise")
+    return pairs.withColumn("corr", F.round("corr", 6))
+
+
 def box_stats(spark, sf_dir) -> DataFrame:
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_returnflag", (F.col("l_extendedprice") / F.col("l_quantity") / F.col("l_quantity"))
@@ -363,6 +401,23 @@ def one_hot(spark, sf_dir) -> DataFrame:
         "id", *[vector[i].alias(name) for i, name in enumerate(names)])
 
 
+def one_hot_table(spark, sf_dir) -> DataFrame:
+    """The same from a dictionary that is a table."""
+    rows = fx.profile(spark, sf_dir)
+    dictionary = category_dictionary(rows, ["priority"])
+    vectors = sparse_features(rows, dictionary, ["total_price"], ["priority"], keep=["id"])
+    names = ["total_price", "level_0", "level_1", "level_2", "level_3"]
+    vector = vector_to_array(F.col(FEATURES))
+    return vectors.select("id", *[vector[i].alias(name) for i, name in enumerate(names)])
+
+
+def target_means_before(spark, sf_dir) -> DataFrame:
+    """Ordered target statistics of a column with thousands of levels and one with five."""
+    rows = fx.profile(spark, sf_dir).join(fx.target(spark, sf_dir), "id")
+    found = ordered_target_statistics(rows, ["cust_id", "priority"], "label", "id", prior=0.25, weight=2.0)
+    return found.select("id", F.round("__cust_id_value", 9).alias("by_customer"), F.round("__priority_value", 9).alias("by_priority"))
+
+
 CATEGORICALS = ["priority", "segment"]
 
 
@@ -418,11 +473,44 @@ def train_given_split(spark, sf_dir) -> DataFrame:
     return result.metrics.withColumn("value", F.round("value", 6))
 
 
-def _saved_scores(spark, sf_dir, **more) -> DataFrame:
+def train_sampled_copies(spark, sf_dir) -> DataFrame:
+    """All keys drawn; copies of some keys without a label, or with another, stay out of the training part."""
+    rows = _by_level(spark, sf_dir)
+    copies = rows.filter("id % 10 < 2").withColumn("label", F.when(F.col("id") % 10 == 0, 7))
+    result = _trained_by_level(rows.unionByName(copies), "sample", fraction=1.0, threshold=0.33, estimator_params=EXACT)
+    return result.metrics.filter("sample = 'train_sample'").withColumn("value", F.round("value", 6))
+
+
+def _saved_scores(spark, sf_dir, categories: str = "pipeline", **more) -> DataFrame:
     """Trained, saved, loaded, and applied to all rows."""
     rows, folder = _by_level(spark, sf_dir), _new_folder(spark)
-    propensity.save_training(_trained_by_level(rows, **more), folder)
-    return propensity.score_saved(rows, folder, imputed=False)
+    propensity.save_training(_trained_by_level(rows, categories=categories, **more), folder)
+    return propensity.score_saved(rows, folder, imputed=False, categories=categories)
+
+
+def table_score_by_level(spark, sf_dir) -> DataFrame:
+    """The same with the levels in a table."""
+    return _saved_scores(spark, sf_dir, "table", estimator_params=EXACT).select(
+        "id", "priority", F.round("Probs_1", 3).alias("share"))
+
+
+def gbt_wide_train_metrics(spark, sf_dir) -> DataFrame:
+    """115 boosted trees with the customer as a category of thousands of levels."""
+    features = fx.features(spark, sf_dir).drop("nation_id", "region_id").fillna(0).withColumn(
+        "cust_id", F.col("cust_id").cast("string"))
+    return propensity.train(
+        features, target="label", key="id", categoricals=["cust_id", *CATEGORICALS], estimator="gbt",
+        categories="table", threshold=0.33).metrics
+
+
+def scored_batches_written(spark, sf_dir) -> DataFrame:
+    """Scores written by batch, one batch twice: the rerun replaces its own rows only."""
+    path = _new_folder(spark)
+    scores = stage(_saved_scores(spark, sf_dir, estimator_params=EXACT).withColumn("batch", F.col("id") % 3))
+    write_batch(scores, path, "batch")
+    write_batch(scores.filter("batch = 1").withColumn("Probs_1", F.lit(2.0)), path, "batch")
+    return read_table(spark, path).groupBy(F.col("batch").cast("long").alias("batch")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("Probs_1") == 2).alias("rerun"))
 
 
 def pipeline_score_by_level(spark, sf_dir) -> DataFrame:
@@ -518,17 +606,18 @@ QUERIES = {
     for q in (
         scan_table, delimited_dimension, feature_table, feature_table_no_target,
         join_composite_key, join_duplicate_dimension, join_first_of_duplicates, join_semi,
-        join_hot_left, join_hot_right, join_hot_both, join_right, join_full,
+        join_hot_left, join_hot_right, join_hot_both, join_right, join_full, join_bucketed, merged_medians, null_checks,
         impute_global_mean, impute_global_median, impute_stratified_mean,
         impute_stratified_median, impute_given_values, median_sketch_error, imputation_params,
         impute_global_sketch, impute_unknown_stratum, quantiles_narrow,
         impute_out_of_sample,
         split_hash, split_validation_anti, split_union, split_counts, split_bernoulli,
         split_bernoulli_counts,
-        contingency, chi_square, correlation_matrix, correlation_matrix_wide, box_stats, box_stats_overall, bin_2d,
-        scatter_sample, one_hot, logistic_train_metrics, logistic_calibration, gbt_train_metrics,
+        contingency, chi_square, correlation_matrix, correlation_matrix_wide, correlation_pairwise, box_stats, box_stats_overall, bin_2d,
+        scatter_sample, one_hot, one_hot_table, target_means_before, logistic_train_metrics, logistic_calibration, gbt_train_metrics,
         pipeline_score, train_metrics_by_level, train_given_split, pipeline_score_by_level,
-        gbt_one_tree, scored_rows_written,
+        gbt_one_tree, scored_rows_written, scored_batches_written, table_score_by_level, train_sampled_copies,
+        gbt_wide_train_metrics,
         python_model_score, threshold_metrics, binary_metrics, metrics_by_sample, flagship,
     )
 } | {"category_index": category_levels}

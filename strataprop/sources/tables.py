@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strataprop.functions.checks import require_columns
+from strataprop.functions.expressions import column
+
 
 def read_table(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """A catalog table or view by name, a Parquet path, or a DataFrame as it is.
@@ -35,3 +38,24 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str) -
 def write_table(df: DataFrame, path: str, mode: str = "error") -> None:
     """Write rows as Parquet; an existing path is an error unless ``mode`` says otherwise."""
     df.write.mode(mode).parquet(path)
+
+
+def write_entity_table(
+    df: DataFrame, name: str, key: str, buckets: int, path: str | None = None, mode: str = "error"
+) -> DataFrame:
+    """Write a catalog table bucketed and sorted by its key, and read it back.
+
+    Tables with as many buckets of one key join by it without a shuffle, however often they are joined.
+    """
+    require_columns(df, [key])
+    if buckets < 1:
+        raise ValueError("a table needs one bucket or more")
+    writer = df.repartition(buckets, column(key)).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.read.table(name)
+
+
+def write_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Write rows by the values of their ``batch`` column; a batch that is written again replaces itself only."""
+    require_columns(df, [batch])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch).parquet(path)

@@ -1,0 +1,111 @@
+"""Facts that merge: co-moments of column pairs, imputation statistics; tables that need no shuffle."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from helpers import plan, rows
+from pyspark.sql import functions as F
+
+from strataprop import Impute
+from strataprop.operators import comoments
+from strataprop.operators import exploration as ex
+from strataprop.operators.imputation import (
+    apply_imputation, fit_imputation, fit_statistics, merge_statistics, params_from_statistics)
+from strataprop.operators.joins import equi_join
+from strataprop.operators.splitting import split_by_sampling
+from strataprop.plans import fixtures as fx
+from strataprop.sources.tables import write_batch, write_entity_table
+
+
+def test_merged_moments_are_those_of_all_rows():
+    rng = np.random.default_rng(1)
+    values = rng.normal(1e9, 0.5, (900, 4))
+    values[:, 1] += values[:, 0] - 1e9
+    values[rng.random(values.shape) < 0.2] = np.nan
+    total = None
+    for part in np.array_split(values, 7):
+        own = comoments._centred(part)
+        new = comoments._moments(own, own)
+        total = new if total is None else comoments.merged(total, new)
+    for i in range(4):
+        for j in range(4):
+            both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+            a, b = values[both, i] - 1e9, values[both, j] - 1e9
+            corr = total[7, i, j] / math.sqrt(total[5, i, j] * total[6, i, j])
+            assert total[0, i, j] == both.sum() and math.isclose(corr, np.corrcoef(a, b)[0, 1], rel_tol=1e-9, abs_tol=1e-10)
+
+
+def test_values_far_from_zero_keep_their_digits(spark):
+    df = spark.range(20_000).select(
+        (1e9 + F.rand(1)).alias("a"), F.rand(2).alias("noise")).withColumn("b", F.col("a") + 0.5 * F.col("noise")).cache()
+    near = df.select((F.col("a") - 1e9).alias("a"), (F.col("b") - 1e9).alias("b"))
+    found = {(r[0], r[1]): r[2] for r in ex.correlation_matrix(df, ["a", "b"]).collect()}
+    expected = near.agg(F.corr("a", "b")).first()[0]
+    assert abs(found["a", "b"] - expected) < 1e-10 and found["a", "a"] == 1.0 and found["a", "b"] == found["b", "a"]
+
+
+def test_more_columns_than_a_block_and_pairwise_nulls(spark, monkeypatch):
+    monkeypatch.setattr(comoments, "BLOCKS", 2)  # several passes
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=(60, 300)).round(3)
+    values[rng.random(values.shape) < 0.3] = np.nan
+    names = [f"v{k}" for k in range(300)]
+    df = spark.createDataFrame([tuple(None if math.isnan(x) else float(x) for x in row) for row in values], ", ".join(
+        f"{n} double" for n in names)).repartition(3)
+    found = ex.correlation_matrix(df, names, nulls="pairwise").toPandas()
+    assert len(found) == 300 * 300
+    by_pair = found.set_index(["col_i", "col_j"])["corr"]
+    for i, j in [(0, 1), (5, 299), (130, 7), (299, 298), (128, 127)]:
+        both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+        assert math.isclose(by_pair[names[i], names[j]], np.corrcoef(values[both, i], values[both, j])[0, 1], abs_tol=1e-9)
+    assert ex.correlation_matrix(df.limit(0), names[:2]).count() == 4
+
+
+def test_merged_fits_are_fits_of_all_rows(spark):
+    rng = random.Random(2)
+    data = [(k, rng.choice(["a", "b", None]), rng.choice([None, float("nan"), rng.gauss(0, 1)]), rng.gauss(5, 2)) for k in range(6000)]
+    data += [(9000, "empty", None, 1.0)]
+    df = spark.createDataFrame(data, "id long, s string, x double, y double")
+    specs = [Impute("x", "mean", "s", rounded=False, fallback=True), Impute("y", "median", "s")]
+    parts = [fit_statistics(df.filter(F.col("id") % 3 == k), specs) for k in range(3)]
+    merged = params_from_statistics(merge_statistics(parts))
+    whole = {(r["column"], r["stratum_value"]): r["value"] for r in fit_imputation(df, specs).collect()}
+    found = {(r["column"], r["stratum_value"]): r["value"] for r in merged.collect()}
+    assert found.keys() == whole.keys()
+    for (name, stratum), value in found.items():
+        if name == "x":
+            assert (value is None) == (whole[name, stratum] is None) and (value is None or math.isclose(value, whole[name, stratum]))
+        else:
+            own = sorted(y for _, s, _, y in data if s == stratum)
+            assert abs(sum(y <= value for y in own) / len(own) - 0.5) < 0.01 or len(own) == 1
+    assert apply_imputation(df, merged).filter("x is null").count() == 0
+    with pytest.raises(ValueError, match="cannot be added up: x"):
+        fit_statistics(df, Impute("x", "median", exact=True))
+
+
+def test_stored_tables_of_one_bucketing_join_without_a_shuffle(spark, tmp_path, no_broadcast):
+    tables = [write_entity_table(make(spark, SF_DIR), f"stored_{k}", "id", 4, f"{tmp_path}/{k}")
+              for k, make in enumerate((fx.profile, fx.performance, fx.target))]
+    joined = equi_join(equi_join(tables[0], tables[1], "id", hot_rows=2**60), tables[2], "id", hot_rows=2**60)
+    assert "Exchange" not in plan(joined) and joined.count() == 1500
+
+
+def test_a_dimension_made_of_small_tables_is_broadcast(spark):
+    wide = fx.features(spark, SF_DIR)
+    assert "Exchange hashpartitioning(cust_id" not in plan(wide) and "BroadcastHashJoin [cust_id" in plan(wide)
+
+
+def test_a_batch_written_again_replaces_itself_only(spark, tmp_path):
+    df = spark.range(10).withColumn("b", F.col("id") % 2)
+    write_batch(df, f"{tmp_path}/t", "b")
+    write_batch(df.filter("b = 1 and id > 5"), f"{tmp_path}/t", "b")
+    assert rows(spark.read.parquet(f"{tmp_path}/t").select("id")) == [(0,), (2,), (4,), (6,), (7,), (8,), (9,)]
+
+
+def test_copies_of_a_drawn_key_with_other_labels_are_validated(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (1, 5), (2, 0), (None, 1)], "id int, label int")
+    split = split_by_sampling(df, key="id", target="label", fraction=1.0, whole=True)
+    assert rows(split) == [(None, 1, "val"), (1, None, "val"), (1, 1, "train"), (1, 5, "val"), (2, 0, "train")]
