@@ -32,8 +32,8 @@ TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*"
 #: a space, or the bank's letters in an account number.
 GROUP, BETWEEN = r"^[^@]*[^@,;:!?.]$", r"^ (?:[A-Z]{4} )?$"
 
-#: Characters before a match from which its context words are taken.
-CONTEXT = 80
+#: A context word counts by its last 40 characters; so many hold two of them, however far apart they were.
+WORD, CONTEXT = 40, 83
 #: Rounds of scoring, the score from which on a pattern is trusted, and its fewest distinct seeds.
 ROUNDS, TRUST, SEEDS = 3, 0.8, 5
 
@@ -60,19 +60,26 @@ def _valid(kind: Column, value: Column) -> Column:
             .otherwise(True))
 
 
+def _last_words(text: Column) -> Column:
+    """The end of a text that holds its last two words, however many blanks there are and however long the words."""
+    end = F.substring(text, -CONTEXT, CONTEXT)
+    short = F.regexp_replace(F.regexp_replace(text, r"\s+", " "), rf"(?<!\S)(?=\S{{{WORD + 1}}})\S+(?=\S{{{WORD}}})", "")
+    # few texts need the longer way: an end of single blanks and short words has both words whole
+    return F.when(end.rlike(rf"\s\s|\S{{{WORD + 1}}}"), F.substring(short, -CONTEXT, CONTEXT)).otherwise(end)
+
+
 def _pair(gap: Column, value: Column) -> Column:
     return F.struct(F.length(gap).cast("long").alias("skip"), value.alias("value"),
-                    F.substring(gap, -CONTEXT, CONTEXT).alias("gap"),
-                    F.substring(F.concat(gap, value), -CONTEXT, CONTEXT).alias("piece"))
+                    F.substring(gap, -CONTEXT, CONTEXT).alias("gap"), _last_words(gap).alias("end"),
+                    _last_words(F.concat(gap, value)).alias("piece"))
 
 
-def _numbered(pairs: Column) -> Column:
-    """Each match with its number and the text before it, matches before it included."""
+def _numbered(pairs: Column, back: int) -> Column:
+    """Each match with its number and the text before it, the ``back`` matches before it included."""
     def number(all_pairs: Column, pair: Column, k: Column) -> Column:
-        # a piece has a character at least, so that many reach as far back as the context does
-        first = F.greatest(k - CONTEXT, F.lit(0))
+        first = F.greatest(k - back, F.lit(0))
         pieces = F.transform(F.slice(all_pairs, first + 1, k - first), lambda p: p["piece"])
-        before = F.substring(F.concat(F.array_join(pieces, ""), pair["gap"]), -CONTEXT, CONTEXT)
+        before = _last_words(F.concat(F.array_join(pieces, ""), pair["end"]))
         return F.struct(k.alias("number"), pair.alias("pair"), before.alias("before"))
 
     # bound to a variable first: an expression inside a lambda is worked out again for each element
@@ -93,7 +100,8 @@ def _matches(docs: DataFrame) -> DataFrame:
     for kind, pattern in (PATTERNS | {"token": TOKEN}).items():
         # what lies between the matches, and the matches: together they are the text
         pairs = F.zip_with(F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), _pair)
-        found.append(_of_kind(_numbered(pairs), kind))
+        # a token is a word of its own; other matches can stand side by side in one, with a character each at least
+        found.append(_of_kind(_numbered(pairs, 2 if kind == "token" else CONTEXT), kind))
     rows = docs.select("row", "row2", F.explode(F.concat(*found)).alias("m")).select("row", "row2", "m.*")
     rows = rows.withColumn("near", F.lower(F.regexp_extract("before", r"(\S+)\s*$", 1))).withColumn(
         "left", F.lower(F.regexp_extract("before", r"(\S+\s+\S+)\s*$", 1)))
@@ -191,7 +199,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: i
 
     Places are code points, the end exclusive. ``base`` tells the fixed patterns' spans from those that
     bootstrapped patterns add; an added span overlaps no base span of its text, may have several groups
-    with a space between, and quotes and punctuation around it are left out. Spans of different kinds may overlap. A null or empty text has an
+    with a space between, and quotes and punctuation around it are left out. Its context is the two words before it, however
+    far; a word beyond 40 characters counts by its last 40. Spans of different kinds may overlap. A null or empty text has an
     empty array. Rows with equal key and text have equal spans; a null key is a key. An empty table
     gives no rows. ``row`` and ``row2`` name the row's key and text in joins; other columns are not carried.
     """

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from strataprop.llm import decontaminate, toxicity, words
@@ -57,6 +58,30 @@ def test_unseen_identifiers_in_groups_and_behind_numbers_are_found(spark):
     assert spans[100] == [("phone", 17, 29, False)] and spans[103] == [("phone", 17, 27, False)]
 
 
+@pytest.mark.parametrize("words, between", [
+    ("phone number:", " " * 90), ("phone number:", "\n" * 5000), ("phone" + " " * 300 + "number:", "\t \n" * 100),
+    ("p" * 200 + " " + "n" * 300 + ":", " "), ("p" * 39 + " " + "n" * 39 + ":", "  ")])
+def test_the_two_words_before_count_however_far_they_are(spark, words, between):
+    plain = " ".join(words.split())
+    rows = [(k, f"call my {plain} +1 (555) 010-{1000 + k}") for k in range(20)]
+    rows += [(100, f"call 12a 7b {words}{between}12-77x"), (101, f"call street name:{between}12-77x"), (102, f"{words}{between}12-77x{between}ok")]
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in find_pii(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for key in (100, 102):
+        start = dict(rows)[key].index("12-77x")
+        assert found[key] == [("phone", start, start + 6, False)], key
+    assert found[101] == []
+
+
+def test_context_of_matches_side_by_side_in_one_word(spark):
+    rows = [(k, f"my servers 10.0.0.{k},10.0.1.{k} and host list: 10.1.2.{k}") for k in range(20)]
+    rows += [(100, "and host list: node7"), (101, "and host table: node7")]
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in find_pii(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[100] == [("ip", 15, 20, False)] and found[101] == []
+    assert [s[0] for s in found[3]] == ["ip"] * 3
+
+
 # --- op6 ----------------------------------------------------------------------------------------
 
 
