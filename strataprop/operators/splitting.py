@@ -15,6 +15,7 @@ from strataprop.functions.checks import (
 from strataprop.functions.expressions import HASH_RANGE, column, key_hash
 from strataprop.functions.runtime import stage
 from strataprop.operators.joins import equi_join
+from strataprop.operators.key_filter import can_filter, divide, key_filter
 
 SPLIT = "split"
 TRAIN, VALIDATION = "train", "val"
@@ -81,11 +82,23 @@ def given_split(df: DataFrame, *, key: str, target: str) -> DataFrame:
     return df
 
 
-def validation_rows(df: DataFrame, train: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in the training sample. Rows without a key always stay."""
+def validation_rows(
+    df: DataFrame, train: DataFrame, key: str, filter_bits: int | None = None
+) -> DataFrame:
+    """Rows whose key is not in the training sample. Rows without a key always stay.
+
+    With ``filter_bits`` a Bloom filter of 2^filter_bits bits over the training keys is built and broadcast first
+    (26: 8 MB). Rows that miss it are returned as they are read; only the others, and hardly more than have a
+    training key, are shuffled for the anti-join. It pays where training keys are too many to broadcast, some
+    eight bits for each are there, and ``df`` is cheap to read twice. Keys of floating or nested types, or of different types, are
+    anti-joined without it. The rows are the same either way.
+    """
     require_columns(df, [key])
     require_columns(train, [key], "train")
-    return equi_join(df, train, key, "left_anti")
+    if filter_bits is None or not can_filter(df.schema[key].dataType, train.schema[key].dataType):
+        return equi_join(df, train, key, "left_anti")
+    missing, others = divide(df, key_filter(train, key, filter_bits), key, filter_bits)
+    return missing.union(equi_join(others, train, key, "left_anti").select(*[column(c) for c in df.columns]))
 
 
 def train_validation(split: DataFrame) -> tuple[DataFrame, DataFrame]:

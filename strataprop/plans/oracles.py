@@ -326,6 +326,9 @@ FROM filled""",
     "split_hash": f"WITH {SPLIT} SELECT id, label, split FROM split",
     "split_validation_anti": f"""
 WITH {SPLIT}
+SELECT id, label FROM target WHERE id NOT IN (SELECT id FROM split WHERE split = 'train')""",
+    "split_validation_filtered": f"""
+WITH {SPLIT}
 SELECT id, label FROM target WHERE id NOT IN (SELECT id FROM split WHERE split = 'train')""",
     "split_union": f"""
 WITH {SPLIT} SELECT id, label, 'train' AS sample FROM split WHERE split = 'train'

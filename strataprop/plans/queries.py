@@ -290,6 +290,12 @@ def split_validation_anti(spark, sf_dir) -> DataFrame:
     return splitting.validation_rows(fx.target(spark, sf_dir), train, "id")
 
 
+def split_validation_filtered(spark, sf_dir) -> DataFrame:
+    """The anti-join behind a Bloom filter of the training keys."""
+    train, _ = splitting.train_validation(_split(spark, sf_dir))
+    return splitting.validation_rows(fx.target(spark, sf_dir), train, "id", filter_bits=22)
+
+
 def split_union(spark, sf_dir) -> DataFrame:
     train, _ = splitting.train_validation(_split(spark, sf_dir))
     rest = splitting.validation_rows(fx.target(spark, sf_dir), train, "id")
@@ -611,7 +617,7 @@ QUERIES = {
         impute_stratified_median, impute_given_values, median_sketch_error, imputation_params,
         impute_global_sketch, impute_unknown_stratum, quantiles_narrow,
         impute_out_of_sample,
-        split_hash, split_validation_anti, split_union, split_counts, split_bernoulli,
+        split_hash, split_validation_anti, split_validation_filtered, split_union, split_counts, split_bernoulli,
         split_bernoulli_counts,
         contingency, chi_square, correlation_matrix, correlation_matrix_wide, correlation_pairwise, box_stats, box_stats_overall, bin_2d,
         scatter_sample, one_hot, one_hot_table, target_means_before, logistic_train_metrics, logistic_calibration, gbt_train_metrics,

@@ -4,6 +4,7 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from strataprop.operators import splitting
+from strataprop.operators.key_filter import divide, key_filter
 from strataprop.plans import fixtures as fx
 
 ARGS = {"key": "id", "target": "label"}
@@ -63,6 +64,40 @@ def test_sampling_split_is_fixed_once_drawn(spark, tmp_path):
     assert rows(splitting.validation_rows(df, train, "id")) == rows(validation)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "int", "string", "binary", "decimal(20,3)", "date", "double"])
+def test_filtered_anti_join_has_the_same_rows(spark, no_broadcast, kind):
+    day = F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")) if kind == "date" else F.col("id").cast("string").cast(kind)
+    df = spark.range(3000).select(F.when(F.col("id") % 50 > 0, day).alias("k.ey"), (F.col("id") % 7).alias("x"))
+    df = df.union(df.limit(200))
+    train = df.filter("x < 3")
+    got = splitting.validation_rows(df, train, "k.ey", filter_bits=18)
+    assert got.columns == df.columns
+    assert rows(got) == rows(splitting.validation_rows(df, train, "k.ey"))
+    assert rows(splitting.validation_rows(df, train.limit(0), "k.ey", filter_bits=12)) == rows(df)
+    assert splitting.validation_rows(df.limit(0), train, "k.ey", filter_bits=12).count() == 0
+
+
+def test_a_full_filter_and_other_key_types_change_nothing(spark, no_broadcast):
+    df = spark.range(20_000).select("id", (F.col("id") % 3).alias("x"))
+    train = df.filter("x = 0").select(F.col("id").cast("int"))
+    want = rows(df.filter("x > 0"))
+    assert rows(splitting.validation_rows(df, train, "id", filter_bits=12)) == want
+    assert rows(splitting.validation_rows(df, train.select(F.col("id").cast("string")), "id", filter_bits=20)) == want
+    with pytest.raises(ValueError, match="a filter has"):
+        splitting.validation_rows(df, train, "id", filter_bits=40)
+
+
+def test_only_rows_of_the_filter_are_shuffled(spark, no_broadcast):
+    df = spark.range(100_000).select("id", F.hash("id").alias("x"))
+    train = df.filter("id % 10 = 0")
+    missing, others = divide(df, key_filter(train, "id", 20), "id", 20)
+    assert "Exchange hashpartitioning" not in plan(missing) and "BroadcastExchange" in plan(missing)
+    # 100 bits a key: next to no other key is taken for one of them
+    assert others.count() < 10_000 * 1.05 and others.count() + missing.count() == 100_000
+    whole = splitting.validation_rows(df, train, "id", filter_bits=20)
+    assert "LeftAnti" in plan(whole) and whole.count() == 90_000
+
+
 def test_counts(spark):
     split = splitting.split_by_hash(fx.target(spark, SF_DIR), **ARGS)
     counts = splitting.split_counts(split, "label")
