@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import shared_folder, shuffle_partitions, stage
 from strataprop.llm.batches import bound_batches
+from strataprop.operators.joins import equi_join
 
 RESPONSE, REVISIT = "response", "revisit"
 #: Index lines in one compressed block.
@@ -54,13 +55,16 @@ def url_key(url: Column) -> Column:
 
 
 def with_roles(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int) -> DataFrame:
-    """Each page with its payload, and ``refers_to``: the smallest key of its payload if another's."""
+    """Each page with its payload, and ``refers_to``: the smallest key of its payload if another's.
+
+    Pages of a payload that very many share, and small pages, are spread over the join's tasks.
+    """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), body.alias("payload")).withColumn(
         "sha1", F.when(F.octet_length("payload") >= min_bytes, F.sha1("payload")))
-    first = rows.filter("sha1 is not null").groupBy("sha1").agg(
-        F.min("key").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    joined = rows.join(first.select(F.col("sha1").alias("of"), "first"), rows["sha1"] == F.col("of"), "left")
+    first = stage(rows.filter("sha1 is not null").groupBy("sha1").agg(
+        F.min("key").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("sha1", "first"))
+    joined = equi_join(rows, first, "sha1", spread_by=["key", "url"])
     refers = F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("key")), F.col("first"))
     return joined.select("key", "url", "payload", refers.alias("refers_to"))
 

@@ -357,3 +357,26 @@ def test_look_ups_go_through_blocks_and_return_payloads(spark, monkeypatch, tmp_
         assert r["record_type"] == ("response" if k < 10 else "revisit")
         assert (bytes(r["payload"]).decode() == f"body {k % 10} é") == (k < 10)
         assert r["payload_bytes"] == len(f"body {k % 10} é".encode())
+
+
+def test_pages_of_one_payload_are_spread_over_the_join(spark, no_broadcast, monkeypatch):
+    from pyspark.sql import functions as F
+    from strataprop.llm import warc
+    from strataprop.operators import joins
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    rows = [(k, f"http://example.com/{k}", "error" if k % 3 == 0 else None if k % 3 == 1 else f"page {k // 6}") for k in range(6000)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        roles = warc.with_roles(frame, "page_id", "url", "html", 1)
+        sizes = [r["count"] for r in roles.groupBy(F.spark_partition_id()).count().collect()]
+        found = {r["key"]: r["refers_to"] for r in roles.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    # a third of the rows has one payload, a third none; 24 tasks of 250 rows each on average
+    assert max(sizes) < 900
+    first = {}
+    for key, _, html in rows:
+        first.setdefault(html, key)
+    assert found == {k: first[h] if h and first[h] != k else None for k, _, h in rows}
