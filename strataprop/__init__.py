@@ -19,6 +19,7 @@ from strataprop.operators.imputation import (
 )
 from strataprop.operators.joins import equi_join, feature_table
 from strataprop.operators.metrics import binary_metrics, metrics_dict, metrics_long
+from strataprop.operators.model_files import open_model, remove_model, save_model
 from strataprop.operators.quantiles import exact_quantiles
 from strataprop.operators.scoring import score, score_python
 from strataprop.operators.splitting import (
@@ -49,8 +50,11 @@ __all__ = [
     "imputation_params",
     "metrics_dict",
     "metrics_long",
+    "open_model",
     "params_from_values",
+    "remove_model",
     "sample_points",
+    "save_model",
     "score",
     "score_python",
     "split_by_hash",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -13,10 +12,13 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.checks import require_columns, require_dataframe
 from strataprop.functions.expressions import column
+from strataprop.operators.model_files import ModelFile, load_model, save_model
 
 # The names of the two output columns.
 PROBABILITIES = ("Probs_0", "Probs_1")
 PROBABILITY_STRUCT = "proba_0 double, proba_1 double"
+# A larger Python model is refused unless the caller allows it: every worker process may hold all of it.
+MAX_MODEL_BYTES = 2**30
 
 
 def refuse_taken(df: DataFrame) -> None:
@@ -43,27 +45,33 @@ def score_python(
     features: list[str] | None = None,
     levels: dict[str, list] | None = None,
     keep: list[str] | None = None,
+    max_bytes: int = MAX_MODEL_BYTES,
 ) -> DataFrame:
     """Apply any Python object with ``predict_proba`` to Arrow batches on the executors.
 
     Features go in the model's own order, ``model.feature_names_in_`` unless given. ``levels``
     fixes the categories of a categorical feature, so that its codes are the same in every
-    batch. The model is shipped once per executor and loaded once per task.
+    batch. The model is a ``ModelFile``, or an object that is saved as one in the shared folder first (``save_model``);
+    one of more than ``max_bytes`` is refused. Each worker process loads it once, arrays mapped from the file,
+    and not again for later tasks and scorings. The file stays until ``remove_model``.
     """
     refuse_taken(df)
-    features = list(model.feature_names_in_ if features is None else features)
+    if features is None:
+        features = (load_model(model) if isinstance(model, ModelFile) else model).feature_names_in_
+    features = list(features)
     levels = dict(levels or {})
     keep = df.columns if keep is None else keep
     require_columns(df, [*features, *keep])
     unknown = [c for c in levels if c not in features]
     if unknown:
         raise ValueError(f"levels given for columns that are no feature: {', '.join(unknown)}")
-    # cloudpickle also takes models whose class the executors cannot import.
-    shipped = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    if isinstance(model, ModelFile) and model.size > max_bytes:
+        raise ValueError(f"the model has {model.size} bytes, more than the {max_bytes} allowed")
+    saved = model if isinstance(model, ModelFile) else save_model(df.sparkSession, model, max_bytes=max_bytes)
 
     @F.pandas_udf(PROBABILITY_STRUCT)
     def probabilities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fitted = cloudpickle.loads(shipped.value)
+        fitted = load_model(saved)
         for batch in batches:
             batch.columns = features
             for name, known in levels.items():

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strataprop.operators import features as ft
 from strataprop.operators.metrics import binary_metrics, metrics_dict
+from strataprop.operators.model_files import load_model, open_model, remove_model, save_model
 from strataprop.operators.scoring import score, score_python
 from strataprop.operators.splitting import split_by_hash
 from strataprop.operators.training import evaluate, fit_classifier, predict_labels
@@ -208,6 +209,63 @@ def test_python_scoring_keeps_the_input_columns(spark):
     assert score_python(df.filter("id > 9"), codes_model(), levels={"c": ["a"]}).count() == 0
 
 
+def counting_model(folder):
+    class Counting:
+        feature_names_in_ = ["x"]
+
+        def __init__(self):
+            self.weights = np.arange(100_000, dtype=np.float64)
+
+        def __setstate__(self, state):
+            import os
+            self.__dict__.update(state)
+            with open(f"{folder}/{os.getpid()}", "a") as out:
+                out.write("loaded\n")
+
+        def predict_proba(self, df: pd.DataFrame):
+            assert not self.weights.flags.owndata and not self.weights.flags.writeable
+            p = self.weights[df["x"].to_numpy()] / 100_000
+            return np.column_stack([1 - p, p])
+
+    return Counting()
+
+
+def test_a_worker_loads_a_model_once_for_all_scorings(spark, tmp_path):
+    loads = tmp_path / "loads"
+    loads.mkdir()
+    model = counting_model(str(loads))
+    df = spark.range(64).select(F.col("id").alias("x")).repartition(16)
+    want = [(k, 1 - k / 100_000, k / 100_000) for k in range(64)]
+    saved = save_model(spark, model, f"{tmp_path}/models/first")
+    assert saved.size > 800_000 and open_model(saved.path) == saved == save_model(spark, model, saved.path)
+    for given in (saved, saved, saved, model):
+        assert rows(score_python(df, given)) == [pytest.approx(w) for w in want]
+    # 16 tasks in each of four scorings; the last model was pickled anew
+    counts = [len(p.read_text().splitlines()) for p in loads.iterdir()]
+    assert max(counts) <= 2 and sum(counts) <= 2 * 10
+    with pytest.raises(ValueError, match=f"{saved.size} bytes"):
+        score_python(df, saved, max_bytes=1000)
+    with pytest.raises(ValueError, match=f"{saved.size} bytes"):
+        score_python(df, model, max_bytes=1000)
+    remove_model(saved)
+    assert not (tmp_path / "models" / "first").exists()
+
+
+def test_another_model_at_a_path_is_never_mistaken_for_the_first(spark, tmp_path):
+    df = spark.createDataFrame([("a", 0.25)], "c string, x double")
+    first = save_model(spark, codes_model(), f"{tmp_path}/m")
+    lazy = score_python(df, first, levels={"c": ["b", "a"]})
+    second = save_model(spark, counting_model(str(tmp_path)), f"{tmp_path}/m")
+    assert second.digest != first.digest
+    load_model.cache_clear()
+    with pytest.raises(Exception, match="another model"):
+        load_model(first)
+    assert lazy.columns[-2:] == ["Probs_0", "Probs_1"]
+    (tmp_path / "text").write_text("no model")
+    with pytest.raises(ValueError, match="not a saved model"):
+        open_model(f"{tmp_path}/text")
+
+
 # --- metrics ---------------------------------------------------------------------------------
 
 
