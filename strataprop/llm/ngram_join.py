@@ -9,10 +9,15 @@ Equal sets are one class, and classes are compared, not rows. Classes that share
 are first compared with one hub of that element only, the one with the fewest rarer elements; the links found collapse groups of copies
 into components. What is left are elements that still meet in two components: only their pairs
 across components are compared, each once. A pair inside one component cannot change the result.
+
+Rows of one element meet within bands of set sizes, since sizes far apart cannot link; an element with
+many rows in a band has its partners copied to several tasks. Joins on a class that a third of all rows
+or pairs may have are spread by ``equi_join``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -22,13 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataprop.functions.runtime import stage
+from strataprop.functions.runtime import fits_broadcast, stage
 from strataprop.llm.batches import arrow_function, bound_batches
 from strataprop.llm.components import components
 from strataprop.llm.names import free_name
 from strataprop.llm.vectors import SCHEMA as VECTOR_SCHEMA
 from strataprop.llm.vectors import cells, combined, marked, marks, vector_rows
 from strataprop.llm.words import WHITE, blocks, hash_ranges, mix, ngrams
+from strataprop.operators.joins import equi_join, find_hot_keys_of
 
 #: Cells of the count sketch that orders the elements (8 MB in each worker, 4 MB from each task).
 SKETCH_BITS = 21
@@ -168,6 +174,40 @@ def _may_link(one: str, two: str, t: Fraction) -> Column:
     return F.least(rest, rest2) * F.lit(p + q) >= (size + size2) * F.lit(p)
 
 
+def _band(place: str, t: Fraction) -> Column:
+    """Band of the set size: sets that are similar enough lie in one band or in two neighbouring ones.
+
+    A hair wider than the ratio ``t`` of their sizes, so that rounding cannot put them further apart.
+    """
+    width = max(-math.log(t), 1e-6) * (1 + 1e-9)
+    return F.floor(F.log(F.col(place).bitwiseAND(0xFFFFFFFF).cast("double")) / F.lit(width))
+
+
+def _across_pairs(across: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs a, b of classes of different components that share an element and may link, each once.
+
+    ``across`` has ``token``, ``class``, ``place`` and ``root``, and is written. A row meets rows of its own band and of
+    the next one. Where a token has many rows in a band these are dealt out over parts by their class, and
+    what they meet is copied to each part, so no task has all the pairs of a token.
+    """
+    rows = across.withColumn("band", _band("place", t))
+    many = stage(rows.groupBy("token", "band").agg(F.count(F.lit(1)).alias("rows")).filter(
+        F.col("rows") > HOT_ROWS).select("token", "band", F.ceil(F.col("rows") / HOT_ROWS).alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    one = rows.join(many, ["token", "band"], "left").select(
+        "token", "band", F.pmod(F.xxhash64("class"), parts).alias("part"), "class", "place", "root")
+    shifted = rows.select("token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
+                          F.col("class").alias("class2"), F.col("place").alias("place2"), F.col("root").alias("root2"),
+                          F.col("band").alias("band2"))
+    two = shifted.join(many, ["token", "band"], "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    met = one.join(two, ["token", "band", "part"])
+    # within a band each pair comes up twice, across bands once
+    once = (F.col("class") < F.col("class2")) | (F.col("band") < F.col("band2"))
+    return met.filter(once & (F.col("root") != F.col("root2")) & _may_link("place", "place2", t)).select(
+        F.least("class", "class2").alias("a"), F.greatest("class", "class2").alias("b")).distinct()
+
+
 def _from_sets(docs: DataFrame, n: int, holders: DataFrame, classes: DataFrame, schema: str, batch_of) -> DataFrame:
     """``batch_of`` the sets of the given classes, each class once.
 
@@ -219,7 +259,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, holders: DataFrame, t:
         classes = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         found = _from_sets(docs, n, holders, classes, schema, batch_of)
         sides = [found.select(F.col("class").alias(x), F.col(column).alias(f"of_{x}")) for x in "ab"]
-        return pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "of_a", "of_b")
+        # a hub is in as many pairs as its element has classes, and its set goes along with each of them
+        hot = {} if fits_broadcast(sides[0]) else find_hot_keys_of(pairs, ["a", "b"], HOT_ROWS)
+        joined = equi_join(pairs, sides[1], "b", "inner", hot=hot.get("b"))
+        joined = equi_join(joined, sides[0], "a", "inner", hot=hot.get("a"), spread_by=["b"])
+        return joined.select("a", "b", "of_a", "of_b")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Elements of different parts differ: the smaller counts bound the overlap."""
@@ -296,24 +340,18 @@ def near_duplicates(
         .withColumn("root", F.coalesce("root", "class")))
     apart = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(
         "lo <> hi").select("token")
-    across = stage(named.join(apart, "token"))
-    one, two = across, across.select(
-        "token", F.col("class").alias("class2"), F.col("place").alias("place2"),
-        F.col("root").alias("root2"))
-    rest = one.join(two, (one["token"] == two["token"]) & (one["class"] < F.col("class2"))
-                    & (one["root"] != F.col("root2")) & _may_link("place", "place2", t))
-    rest = rest.select(F.col("class").alias("a"), F.col("class2").alias("b")).distinct().join(
-        known.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stage(rest)
+    across = stage(equi_join(named, apart, "token", "left_semi"))
+    rest = stage(_across_pairs(across, t).join(known.select("a", "b"), ["a", "b"], "left_anti"))
     if rest.limit(1).count():
         more = _verified(rest, hashed, n, holders, t).filter("linked").select("a", "b")
         roots = components(edges.union(more))
 
     under = stage(holders.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
                   .withColumn("root", F.coalesce("root", "class")))
-    named = under.join(under.groupBy("root").agg(F.min("low").alias("component_id")), "root").select(
-        F.col("class").alias("of_class"), "component_id")
-    return rows.join(named, rows["class"] == named["of_class"], "left").select(
+    lows = stage(under.groupBy("root").agg(F.min("low").alias("component_id")))
+    # a component, and a class of copies, can have a third of all rows
+    named = stage(equi_join(under, lows, "root", "inner").select("class", "component_id"))
+    return equi_join(rows, named, "class", "left").select(
         key, "n_shingles",
         F.when(F.col("class").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
 

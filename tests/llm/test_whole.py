@@ -1,19 +1,27 @@
 """Parts of the job that an operator once left out."""
 
 import collections
+import itertools
 import math
 import random
+import struct
+from fractions import Fraction
 
+import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from strataprop.llm import decontaminate, toxicity, words
+from strataprop.llm import decontaminate, language, ngram_join, toxicity, words
+from strataprop.llm.components import components
 from strataprop.llm.decontaminate import find_contamination
 from strataprop.llm.language import fit_language, predict_language
 from strataprop.llm.pii import find_pii, redact
+from strataprop.llm.sharding import shard_records
 from strataprop.llm.toxicity import fit_toxicity, score_toxicity
+from strataprop.operators import joins
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -39,9 +47,108 @@ def test_copies_of_one_text_leave_room_for_all_languages(spark):
     assert len(found) == 60 and all(r["key"] == r["lang_pred"] for r in found)
 
 
+def test_language_learns_the_weights_of_a_plain_trainer(spark, monkeypatch):
+    """Multinomial logistic regression by FTRL, feature by feature, with the temperature from a grid."""
+    monkeypatch.setattr(language, "EPOCHS", 2)
+    rng = random.Random(9)
+    alphabets = {"aa": "abcde", "bb": "cdefg", "cc": "efgha"}
+    rows = sorted({("".join(rng.choices(own, k=rng.randrange(3, 25))), lang) for lang, own in alphabets.items() for _ in range(40)})
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = fit_language(frame, "text", "lang", max_rows=90)
+
+    place = F.shiftrightunsigned(F.xxhash64("text", F.lit(17)), 11)
+    ordered = [tuple(r) for r in frame.select(place.alias("place"), "lang", "text").orderBy("place", "lang").collect()]
+    chosen = sorted(row for lang in alphabets for row in [r for r in ordered if r[1] == lang][:30])
+
+    def grams(text):
+        block = next(words.blocks(pa.array([text])))
+        return collections.Counter(next(language._per_text(block)).tolist())
+
+    documents = collections.Counter(f for text, _ in rows for f in grams(text))
+    idf = {f: language.SCALE * math.log((1 + len(rows)) / (1 + n)) for f, n in documents.items()}
+    examples = []
+    for _, lang, text in chosen:
+        own = grams(text)
+        examples.append(({f: n / own.total() * idf[f] for f, n in own.items()}, sorted(alphabets).index(lang)))
+    held = [e for k, e in enumerate(examples) if k % 5 == 4]
+    learnt = [e for k, e in enumerate(examples) if k % 5 != 4]
+    pull, squares = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(f, c):
+        l1, l2 = (0, 0) if f < 0 else (language.L1, language.L2)
+        z = pull[f, c]
+        if abs(z) <= l1:
+            return 0.0
+        return (math.copysign(l1, z) - z) / ((language.BETA + math.sqrt(squares[f, c])) / language.ALPHA + l2)
+
+    def shares(x, divisor=1.0):
+        scores = [sum(v * weight(f, c) for f, v in x.items()) + weight(-1, c) for c in range(3)]
+        powers = [math.exp((s - max(scores)) / divisor) for s in scores]
+        return [p / sum(powers) for p in powers]
+
+    shuffled = np.random.default_rng(7)
+    for _ in range(2):
+        for k in shuffled.permutation(len(learnt)):
+            x, target = learnt[k]
+            p = shares(x)
+            before = {(f, c): weight(f, c) for f in [*x, -1] for c in range(3)}
+            for (f, c), w in before.items():
+                slope = (p[c] - (c == target)) * x.get(f, 1.0)
+                pull[f, c] += slope - (math.sqrt(squares[f, c] + slope**2) - math.sqrt(squares[f, c])) / language.ALPHA * w
+                squares[f, c] += slope**2
+    plain = np.array([[weight(f, c) * idf[f] for c in range(3)] for f in sorted(idf)])
+    assert np.allclose(plain, model.weights[sorted(idf)], rtol=1e-4, atol=1e-6) and np.count_nonzero(plain) > 20
+    assert np.allclose([weight(-1, c) for c in range(3)], model.bias)
+    assert np.count_nonzero(np.delete(model.weights, sorted(idf), axis=0)) == 0
+
+    def loss(divisor):
+        return -sum(math.log(max(shares(x, divisor)[c], 1e-12)) for x, c in held)
+
+    assert loss(model.temperature) <= min(loss(0.05 * 1.05**k) for k in range(122)) + 1e-6
+
+
 # --- op4 ----------------------------------------------------------------------------------------
 
 
+def test_recall_and_precision_of_identifiers_that_no_fixed_pattern_knows(spark):
+    """Identifiers planted behind contexts of the four kinds, and the same tokens behind other words."""
+    rng = random.Random(12)
+    contexts = {"phone": ["call me at", "my mobile number is"], "email": ["write me at my mail address", "send it over to"],
+                "card": ["the payment card", "charged to account"], "ip": ["log in from host", "server with address"]}
+    fixed = {"phone": lambda: f"+1 555 {rng.randrange(100, 999)} {rng.randrange(1000, 9999)}",
+             "email": lambda: f"user{rng.randrange(10**6)}@example.org",
+             "card": lambda: next(n for n in iter(lambda: str(rng.randrange(10**15, 10**16)), "") if brute.luhn(n)),
+             "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4))}
+    unseen = {"phone": lambda: f"0{rng.randrange(10**8, 10**9)}", "email": lambda: f"user{rng.randrange(10**6)}@localhost",
+              "card": lambda: f"AC-{rng.randrange(10**6, 10**7)}", "ip": lambda: f"node{rng.randrange(10**4)}.lan7"}
+    filler = "the green river runs slowly past our old house and nobody there minds it".split()
+    others = ["in the year", "a batch of", "see section", "about page", "version", "room"]
+
+    def around(*middle):
+        return " ".join([*rng.choices(filler, k=rng.randrange(2, 9)), *middle, *rng.choices(filler, k=rng.randrange(2, 9))])
+
+    rows, planted, clean = [], {}, set()
+    for k in range(1600):
+        kind = rng.choice(sorted(contexts))
+        if k % 4 == 0:
+            token = unseen[kind]()
+            text = around(rng.choice(contexts[kind]), token)
+            planted[k] = (kind, text.index(token), text.index(token) + len(token))
+        elif k % 4 == 1:
+            token = rng.choice([str(rng.randrange(1900, 2030)), unseen[kind]()])
+            text = around(rng.choice(others), token)
+            clean.add(k)
+        else:
+            text = around(rng.choice(contexts[kind]), fixed[kind]())
+        rows.append((k, text))
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"] if not s["base"]]
+             for r in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = sum(span[:3] in {s[:3] for s in found[k]} for k, span in planted.items())
+    wrong = sum(len(found[k]) for k in found if k not in planted)
+    print(f"planted {len(planted)}, found {hit}, false {wrong} in {len(clean)} clean texts")
+    assert hit >= 0.9 * len(planted) and wrong <= 0.02 * len(clean)
+
+
 def test_unseen_identifiers_in_groups_and_behind_numbers_are_found(spark):
     rows = [(k, f"Hello my phone number: +1 (555) 010-{1000 + k}") for k in range(20)]
     rows += [(50 + k, f"we met on level 7 desk: +1 (555) 020-{1000 + k}") for k in range(20)]
@@ -201,3 +308,83 @@ def test_toxicity_learns_the_weights_of_a_plain_trainer(spark):
     plain = {f: weight(f) for f in pull if f != bias_at and weight(f)}
     assert plain.keys() == set(used.tolist())
     assert np.allclose([plain[f] for f in used.tolist()], weights) and math.isclose(bias, weight(bias_at), rel_tol=1e-6)
+
+
+# --- op5 ----------------------------------------------------------------------------------------
+
+
+def test_pairs_across_components_are_those_of_all_pairs_in_parts_of_a_token(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 10)
+    rng = random.Random(5)
+    t = Fraction(3, 4)
+    rows = set()
+    for k in range(150):
+        size = rng.choice([3, 4, 16, 20, 21, 27, 28, 36, 37, 100])
+        rank = rng.randrange(max(1, size // 4))
+        rows |= {(7, k, (rank << 32) + size, k % 40)} | ({(8, k, size, k % 40)} if k % 5 == 0 else set())
+    frame = spark.createDataFrame(sorted(rows), "token long, class long, place long, root long").repartition(5)
+    found = ngram_join._across_pairs(frame, t)
+    expected = set()
+    for (token, a, place, root), (token2, b, place2, root2) in itertools.combinations(sorted(rows), 2):
+        (x, i), (y, j) = ((p & 0xFFFFFFFF, p >> 32) for p in (place, place2))
+        if token == token2 and root != root2 and min(x - i, y - j) * 7 >= (x + y) * 3:
+            expected.add((min(a, b), max(a, b)))
+    pairs = [tuple(r) for r in found.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == expected and len(expected) > 500
+
+
+def test_sets_whose_sizes_are_a_fourth_apart_lie_in_neighbouring_bands(spark):
+    sizes = spark.range(1, 200_000).select(F.col("id").alias("x"), F.floor(F.col("id") * 4 / 3).alias("y"))
+    far = sizes.select(ngram_join._band("x", Fraction(3, 4)).alias("of_x"), ngram_join._band("y", Fraction(3, 4)).alias("of_y"))
+    assert far.filter("of_y - of_x > 1 or of_y < of_x").count() == 0
+
+
+def test_one_component_and_one_text_of_a_third_of_all_rows(spark, no_broadcast, monkeypatch):
+    """All joins spread their hot keys; the rows are those of brute force."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 5)
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(50)]
+    rows = [(k, " ".join(base)) for k in range(60)] + [(60 + k, None) for k in range(60)]
+    for k in range(60):
+        copy = list(base)
+        copy[rng.randrange(50)] = f"x{k}"
+        rows.append((200 + k, " ".join(copy)))
+    rows += [(300 + k, f"{' '.join(base[:9])} " + " ".join(f"y{k}_{j}" for j in range(20))) for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = ngram_join.near_duplicates(frame)
+        assert "__salt" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(tuple(r) for r in found.collect()) == sorted(brute.near_duplicates(rows))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_components_with_hot_nodes(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    edges = [(0, k) for k in range(1, 300)] + [(500 + k, 501 + k) for k in range(40)] + [(299, 500)]
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["root"] for r in found} == {n: 0 for e in edges for n in e}
+
+
+# --- op9 ----------------------------------------------------------------------------------------
+
+
+def test_shards_are_those_of_a_plain_draw(spark):
+    """Each shard's draw from the public 64-bit hash of key and number; the smallest wins."""
+    weights = [1.0, 2.5, 0.5, 1.0, 1.0]
+
+    def shard(key, weights):
+        draws = []
+        for number, weight in enumerate(weights):
+            of_key = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            bits = xxhash.xxh64_intdigest(struct.pack("<q", number), of_key) >> 11
+            draws.append((-math.log((bits + 0.5) / 2.0**53) / weight, number))
+        return min(draws)[1]
+
+    keys = [None, 0, -1, 2**62, *range(1, 500)]
+    frame = spark.createDataFrame([(k, "text") for k in keys], "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in shard_records(frame, weights=weights, new_weight=3.0).collect()}
+    assert found == {k: (shard(k, weights), shard(k, [*weights, 3.0])) for k in keys}
