@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import stage
 from strataprop.llm.names import free_name
+from strataprop.operators.joins import equi_join, find_hot_keys
 
 #: Kinds in the order of the output.
 KINDS = ("email", "ip", "card", "phone")
@@ -163,8 +164,9 @@ def _discovered(base: DataFrame, tokens: DataFrame, rounds: int, trust: float, s
     # instances of a pattern count once, however often they occur
     known = _patterns(base).select("pattern", "value", "kind").distinct()
     seeded = stage(known.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= seeds))
-    edges = stage(standing.select("pattern", "value").distinct().join(
-        seeded.select("pattern").distinct(), "pattern", "left_semi"))
+    edges = stage(equi_join(standing.select("pattern", "value").distinct(), seeded, "pattern", "left_semi"))
+    # a value can stand in very many patterns, and a pattern around very many values
+    hot = find_hot_keys(edges, ["value"])
     unknown = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("others"))
     others = F.coalesce("others", F.lit(0))
     scored = seeded.join(unknown, "pattern", "left").select(
@@ -173,15 +175,16 @@ def _discovered(base: DataFrame, tokens: DataFrame, rounds: int, trust: float, s
     for _ in range(rounds):
         scored = stage(scored)
         # an instance is as likely as it is that one of its patterns is right
-        belief = edges.join(scored.select("pattern", "kind", "score"), "pattern").groupBy("value", "kind").agg(
+        near = equi_join(edges, scored.select("pattern", "kind", "score"), "pattern", "inner")
+        belief = near.groupBy("value", "kind").agg(
             (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("belief"))
-        gained = edges.join(belief, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("gained"))
+        gained = equi_join(edges, belief, "value", "inner", hot=hot).groupBy("pattern", "kind").agg(F.sum("belief").alias("gained"))
         scored = scored.drop("score").join(gained, ["pattern", "kind"], "left").withColumn(
             "score", (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("seeds") + F.col("others") + 1))
         scored = scored.select("pattern", "kind", "seeds", "others", "score")
-    best = scored.filter(F.col("score") >= trust).groupBy("pattern").agg(
-        F.max(F.struct("score", F.negative(_order(F.col("kind"))).alias("place"), "kind")).alias("best"))
-    found = standing.join(best, "pattern").groupBy("row", "row2", "run", "whole", "start", "end", "value").agg(
+    best = stage(scored.filter(F.col("score") >= trust).groupBy("pattern").agg(
+        F.max(F.struct("score", F.negative(_order(F.col("kind"))).alias("place"), "kind")).alias("best")))
+    found = equi_join(standing, best, "pattern", "inner").groupBy("row", "row2", "run", "whole", "start", "end", "value").agg(
         F.max("best").alias("best"))
     # a part says nothing more once its run is found
     run_found = F.max("whole").over(Window.partitionBy("row", "row2", "run"))

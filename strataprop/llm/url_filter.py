@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataprop.functions.runtime import shuffle_partitions, stage
+from strataprop.operators.joins import equi_join
 
 #: Accepted verdicts, the stronger first: it wins when one host and path has both.
 BLOCK, ALLOW = "block", "allow"
@@ -114,16 +115,16 @@ def filter_urls(
     of_host = sweep(_host_rules(rules), hosts).select(
         F.col("key").alias("host_key"),
         F.explode(F.filter("stack", lambda outer: F.col("key").startswith(outer))).alias("outer"))
-    seen = split.select("host_key", "path").distinct()
-    ruled = stage(seen.join(of_host, "host_key").withColumn("key", _path_key("outer", "path")))
+    seen = stage(split.select("host_key", "path").distinct())
+    ruled = stage(equi_join(seen, of_host, "host_key", "inner").withColumn("key", _path_key("outer", "path")))
     of_path = sweep(_path_rules(rules), ruled.select("key").distinct())
     held = of_path.select("key", F.filter(
         "stack", lambda rule: F.col("key").startswith(rule["prefix"])).alias("active")).filter("size(active) > 0")
     # the longest path of a host ends its stack
     last = F.element_at("active", -1)
-    won = ruled.join(held, "key").groupBy("host_key", "path").agg(
+    won = equi_join(ruled, held, "key", "inner").groupBy("host_key", "path").agg(
         F.max_by(last, F.struct(F.length(last["rule"]), F.length("outer"))).alias("won"))
-    joined = split.join(won, ["host_key", "path"], "left")
+    joined = equi_join(split, won, ["host_key", "path"], "left", spread_by=[key])
     return joined.select(
         key, "host", "path", F.col("won.rule").alias("rule"),
         F.coalesce("won.verdict", F.lit(default)).alias("verdict"))

@@ -21,11 +21,34 @@ from strataprop.llm.language import fit_language, predict_language
 from strataprop.llm.pii import find_pii, redact
 from strataprop.llm.sharding import shard_records
 from strataprop.llm.toxicity import fit_toxicity, score_toxicity
+from strataprop.llm.url_filter import filter_urls
 from strataprop.operators import joins
 
 SF_DIR = "/root/testdata/sf0.01"
 
 
+# --- op1 ----------------------------------------------------------------------------------------
+
+
+def test_homepages_of_one_suffix_one_big_host_and_null_urls_are_spread(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    rules = [("net", "/", "block"), ("big.net", "/a/", "allow"), ("org", "/x", "block")]
+    urls = [f"http://h{k}.net/" for k in range(400)] + [f"http://big.net/{'ab'[k % 2]}/{k}" for k in range(400)]
+    urls += [None] * 400 + ["http://one.org/x?q"] * 200
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        judged = filter_urls(frame, spark.createDataFrame(rules, "host string, path string, verdict string"))
+        sizes = [r["count"] for r in judged.groupBy(F.spark_partition_id()).count().collect()]
+        found = {r["page_id"]: (r["rule"], r["verdict"]) for r in judged.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert found == {k: brute.url_rule(url, rules) for k, url in enumerate(urls)}
+    # a third of the 1400 rows has no url; 24 tasks of 58 rows each on average
+    assert max(sizes) < 250
+
+
 # --- op3 ----------------------------------------------------------------------------------------
 
 
@@ -310,6 +333,19 @@ def test_toxicity_learns_the_weights_of_a_plain_trainer(spark):
     assert np.allclose([plain[f] for f in used.tolist()], weights) and math.isclose(bias, weight(bias_at), rel_tol=1e-6)
 
 
+def test_hot_patterns_and_values_change_nothing(spark, no_broadcast, monkeypatch):
+    rows = [(k, f"please call my phone number: +1 555 010 {1000 + k}") for k in range(40)]
+    rows += [(100 + k, f"{'my phone number:' if k % 2 else f'see v{k} part:'} {'12-34' if k % 3 else f'99-{k}'}") for k in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def spans():
+        return sorted((r["doc_id"], tuple(map(tuple, r["spans"]))) for r in find_pii(frame).collect())
+
+    usual = spans()
+    monkeypatch.setattr(joins, "HOT_ROWS", 5)
+    assert spans() == usual and sum(len(s) for _, s in usual) > 60
+
+
 # --- op5 ----------------------------------------------------------------------------------------
 
 
