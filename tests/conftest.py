@@ -16,8 +16,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        # Short runs: compile quickly rather than well.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        # Short runs: compile quickly rather than well, with room for the code of some thousand plans.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
