@@ -32,6 +32,9 @@ HOT_ROWS = 1_000_000
 # sketch reports as many, and keeps so many counters for each of them.
 COUNTERS_PER_KEY = 20
 FEWEST_KEYS = 100
+# Pairs of rows that one piece of a key with many rows on both sides makes, unless there would be too many pieces.
+PAIRS_PER_PIECE = 1_000_000
+MOST_PIECES = 4_000
 
 
 @dataclass(frozen=True)
@@ -39,10 +42,12 @@ class HotKeys:
     """Keys with far more rows than an average shuffle partition.
 
     The set is a performance hint: any set, even an empty or a wrong one, gives the same rows.
+    ``frequent`` are the hashes of the most frequent keys, hot or not.
     """
 
     per_key: dict[int, int]
     null_salts: int
+    frequent: tuple[int, ...] = ()
 
     def __bool__(self) -> bool:
         return bool(self.per_key) or self.null_salts > 1
@@ -132,10 +137,48 @@ def _hot_keys(df: DataFrame, keys: list[list[str]], hot_rows: int | None) -> lis
         top = [(r["item"], r["count"]) for r in sketch[f"top_{i}"] or [] if r["item"] is not None]
         found.append(HotKeys(
             per_key={item: 1 << math.ceil(math.log2(count / piece)) for item, count in top if count > limit},
-            null_salts=math.ceil(nulls / piece) if nulls > limit else 1))
+            null_salts=math.ceil(nulls / piece) if nulls > limit else 1,
+            frequent=tuple(item for item, count in top if count > 1)))
     return found
 
 
+def cut_pairs(
+    left: DataFrame, right: DataFrame, on: list[str], left_hot: HotKeys, right_hot: HotKeys
+) -> tuple[HotKeys, HotKeys, int]:
+    """More salts for keys whose pairs of rows are many, and the number of pieces that all pairs make.
+
+    Pairs grow with the product of both sides, so a key can be no hotter than others in rows and still make most of
+    the result. The most frequent keys of either side are counted exactly on both, in one pass each.
+    """
+    keys = sorted({*left_hot.frequent, *right_hot.frequent})
+    if not keys:
+        return left_hot, right_hot, 0
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        hashed = df.filter(~_any_null(on)).select(_hash(df, on).alias("key"))
+        return hashed.filter(F.col("key").isin(keys)).groupBy("key").agg(F.count(F.lit(1)).alias(name))
+
+    # one row per frequent key
+    counted = counts(left, "n_left").join(counts(right, "n_right"), "key").collect()
+    piece = max(PAIRS_PER_PIECE, sum(n * m for _, n, m in counted) // MOST_PIECES)
+    of_left, of_right, pieces, others = dict(left_hot.per_key), dict(right_hot.per_key), 0, 0
+    for key, n, m in counted:
+        a, b = of_left.get(key, 1), of_right.get(key, 1)
+        while n * m > piece * a * b:
+            # the side is cut that costs fewer copies of the other
+            a, b = (2 * a, b) if m * a <= n * b else (a, 2 * b)
+        of_left |= {key: a} if a > 1 else {}
+        of_right |= {key: b} if b > 1 else {}
+        pieces, others = (pieces + a * b, others) if a * b > 1 else (pieces, others + n * m)
+    return replace(left_hot, per_key=of_left), replace(right_hot, per_key=of_right), pieces + others // piece
+
+
+def _spread_by(df: DataFrame, on: list[str]) -> list[str]:
+    return [f.name for f in df.schema if f.name not in on
+            and isinstance(f.dataType, T.AtomicType)
+            and not isinstance(f.dataType, T.VariantType)][:1]
+
+
 def add_salt(
     df: DataFrame, on: list[str], hot: HotKeys, spread_by: list[str] | None = None,
     name: str = SALT,
@@ -147,9 +190,7 @@ def add_salt(
     same when a lost task runs again, and identical rows of different partitions still spread.
     """
     if spread_by is None:
-        spread_by = [f.name for f in df.schema if f.name not in on
-                     and isinstance(f.dataType, T.AtomicType)
-                     and not isinstance(f.dataType, T.VariantType)][:1]
+        spread_by = _spread_by(df, on)
     spread = F.xxhash64(F.spark_partition_id(), *[column(c) for c in spread_by])
     salt = F.when(_any_null(on), F.pmod(spread, F.lit(hot.null_salts)))
     own = F.pmod(spread, hot.salts_of(_hash(df, on))) if hot.per_key else F.lit(0)
@@ -184,9 +225,11 @@ def equi_join(
     match nothing. Repeated right keys repeat left rows.
 
     ``hot`` passes hot keys that are already known, which saves the pass that looks for them.
-    ``repeated_right`` also looks for keys with very many rows on the right and spreads those.
+    ``repeated_right`` also looks for keys with very many rows on the right, or with very many pairs of rows, and
+    spreads those.
 
-    Lazy, but that a right side beyond the threshold starts a job that counts the left keys.
+    Lazy, but that a right side beyond the threshold starts a job that counts the left keys, and with
+    ``repeated_right`` jobs that count the keys of both sides.
     """
     require_dataframe(left, "left")
     require_dataframe(right, "right")
@@ -203,9 +246,9 @@ def equi_join(
     if hot is None and spreadable and shuffled:
         hot = find_hot_keys(left, on, hot_rows)
     if repeated_right and spreadable and shuffled and how not in FILTERING:
-        right_hot = find_hot_keys(right, on, hot_rows)
-        if right_hot.per_key:
-            return _spread_both(left, right, on, how, hot, right_hot, spread_by)
+        left_hot, right_hot, pieces = cut_pairs(left, right, on, hot, find_hot_keys(right, on, hot_rows))
+        if right_hot.per_key or left_hot.per_key != hot.per_key or pieces > len(left_hot.per_key) + 1:
+            return _spread_both(left, right, on, how, left_hot, right_hot, spread_by, pieces)
     if not (spreadable and hot):
         return left.join(right, on, how)
     salted, copies = add_salt(left, on, hot, spread_by), add_all_salts(right, on, hot)
@@ -229,18 +272,35 @@ def _keep_right(
 
 def _spread_both(
     left: DataFrame, right: DataFrame, on: list[str], how: str, left_hot: HotKeys,
-    right_hot: HotKeys, spread_by: list[str] | None,
+    right_hot: HotKeys, spread_by: list[str] | None, pieces: int,
 ) -> DataFrame:
     """Hot right rows are spread too, over copies of the left rows of their keys.
 
+    The number of tasks follows the pieces, not the bytes of the sides: these say little of the pairs to be made.
     A copied left row may miss its matches in one piece and find them in another, so the rows
     without any match are told apart by an anti-join.
     """
-    salted = add_salt(left.filter(~_any_null(on)), on, left_hot, spread_by)
-    salted = add_all_salts(salted, on, right_hot, RIGHT_SALT)
-    copies = add_salt(right.filter(~_any_null(on)), on, right_hot, name=RIGHT_SALT)
-    copies = add_all_salts(copies, on, left_hot)
-    matched = salted.join(copies, [*on, SALT, RIGHT_SALT], "inner").drop(SALT, RIGHT_SALT)
+    kinds = {c: left.schema[c].dataType for c in on}
+    narrow = [c for c in on if kinds[c] != right.schema[c].dataType]  # integers of different width
+
+    def widened(df: DataFrame) -> DataFrame:
+        return df.filter(~_any_null(on)).withColumns({c: column(c).cast("bigint") for c in narrow})
+
+    salted, copies, cell = widened(left), widened(right), list(on)
+    # A salt that is 0 everywhere would drop out of the join's keys, and Spark would shuffle once more.
+    if left_hot.per_key:
+        salted, copies = add_salt(salted, on, left_hot, spread_by), add_all_salts(copies, on, left_hot)
+        cell.append(SALT)
+    if right_hot.per_key:
+        copies = add_salt(copies, on, right_hot, _spread_by(right, on), RIGHT_SALT)
+        salted = add_all_salts(salted, on, right_hot, RIGHT_SALT)
+        cell.append(RIGHT_SALT)
+    tasks = shuffle_partitions(left.sparkSession) + pieces
+    by = [column(c) for c in cell]
+    # Catalyst does not see how much larger the copies make a side, so it is kept from broadcasting them.
+    matched = salted.repartition(tasks, *by).join(
+        copies.repartition(tasks, *by).hint("merge"), cell, "inner").drop(SALT, RIGHT_SALT)
+    matched = matched.withColumns({c: column(c).cast(kinds[c]) for c in narrow})
     if how == "inner":
         return matched
     unmatched = equi_join(left, right, on, "left_anti", hot=left_hot, spread_by=spread_by)

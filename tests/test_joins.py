@@ -54,6 +54,48 @@ def test_hot_keys_on_the_right_are_spread(spark, no_broadcast, how, left_is_hot)
     assert rows(spread.select(plain.columns)) == rows(plain)
 
 
+def many_pairs(spark):
+    """Eight even keys on both sides, not hot in rows: 50,000 pairs each; a null and an own key on either side."""
+    even = (F.col("i") % 8).cast("int")
+    left = spark.range(1602).withColumnRenamed("id", "i").withColumn(
+        "k", F.when(F.col("i") == 1600, None).when(F.col("i") == 1601, -1).otherwise(even))
+    right = spark.range(2002).withColumnRenamed("id", "i").select(F.col("i").alias("v"), F.when(
+        F.col("i") == 2000, None).when(F.col("i") == 2001, -2).otherwise(even).alias("k"))
+    return left, right
+
+
+def spread_over(joined):
+    """The number of tasks that make rows, and the rows of the largest."""
+    made = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    return len(made), max(made)
+
+
+def spread_as(monkeypatch, pairs):
+    monkeypatch.setattr(joins, "PAIRS_PER_PIECE", pairs)
+
+
+@pytest.mark.parametrize("pairs", [5_000, 60_000])
+def test_right_join_of_many_pairs_is_cut_into_small_tasks(spark, no_broadcast, monkeypatch, pairs):
+    spread_as(monkeypatch, pairs)
+    left, right = many_pairs(spark)
+    joined, plain = joins.equi_join(left, right, "k", "right"), left.join(right, "k", "right")
+    assert rows(joined.select(plain.columns)) == rows(plain)
+    tasks, most = spread_over(joined)
+    assert tasks >= (24 if pairs < 50_000 else 4) and most <= (50_000 if pairs < 50_000 else 200_000)
+
+
+def test_pieces_are_bounded_in_number(spark, no_broadcast, monkeypatch):
+    spread_as(monkeypatch, 10)
+    monkeypatch.setattr(joins, "MOST_PIECES", 64)
+    left, right = many_pairs(spark)
+    a, b = (joins.find_hot_keys(df, ["k"]) for df in (left, right))
+    of_left, of_right, pieces = joins.cut_pairs(left, right, ["k"], a, b)
+    assert 64 <= pieces <= 128 and of_left.per_key and of_right.per_key
+    unique = spark.range(2000).withColumnRenamed("id", "k")
+    c = joins.find_hot_keys(unique, ["k"])
+    assert joins.cut_pairs(unique, unique, ["k"], c, c) == (c, c, 0)
+
+
 def test_feature_table_over_a_performance_table_with_a_hot_key(spark, no_broadcast):
     profile = fx.profile(spark, SF_DIR)
     lines = fx.table(spark, SF_DIR, "lineitem").select(
