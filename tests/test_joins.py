@@ -84,6 +84,34 @@ def test_right_join_of_many_pairs_is_cut_into_small_tasks(spark, no_broadcast, m
     assert tasks >= (24 if pairs < 50_000 else 4) and most <= (50_000 if pairs < 50_000 else 200_000)
 
 
+def test_many_pairs_are_not_gathered_by_the_planner_once_tables_look_small(spark, monkeypatch):
+    """The join is planned for large tables, then run with broadcasts allowed and partitions joined by size."""
+    spread_as(monkeypatch, 5_000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    left, right = many_pairs(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.equi_join(left, right, "k", "inner", repeated_right=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tasks, most = spread_over(joined)
+    assert tasks >= 24 and most <= 50_000
+    plain = left.join(right, "k")
+    assert rows(joined.select(plain.columns)) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_many_pairs_of_integers_of_different_width(spark, no_broadcast, monkeypatch, how):
+    spread_as(monkeypatch, 5_000)
+    left, right = many_pairs(spark)
+    right = right.withColumn("k", F.col("k").cast("bigint"))
+    joined, plain = joins.equi_join(left, right, "k", how, repeated_right=True), left.join(right, "k", how)
+    assert rows(joined.select(plain.columns)) == rows(plain)
+    assert dict(joined.dtypes) == dict(plain.dtypes)
+    tasks, most = spread_over(joined)
+    assert tasks >= 24 and most <= 50_000
+
+
 def test_pieces_are_bounded_in_number(spark, no_broadcast, monkeypatch):
     spread_as(monkeypatch, 10)
     monkeypatch.setattr(joins, "MOST_PIECES", 64)
