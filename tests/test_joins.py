@@ -100,6 +100,15 @@ def test_many_pairs_are_not_gathered_by_the_planner_once_tables_look_small(spark
     assert rows(joined.select(plain.columns)) == rows(plain)
 
 
+def test_full_join_of_many_pairs_is_cut_into_small_tasks(spark, no_broadcast, monkeypatch):
+    spread_as(monkeypatch, 5_000)
+    left, right = many_pairs(spark)
+    joined, plain = joins.equi_join(left, right, "k", "full"), left.join(right, "k", "full")
+    assert rows(joined.select(plain.columns)) == rows(plain)
+    tasks, most = spread_over(joined)
+    assert tasks >= 24 and most <= 50_000
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_many_pairs_of_integers_of_different_width(spark, no_broadcast, monkeypatch, how):
     spread_as(monkeypatch, 5_000)
