@@ -31,6 +31,20 @@ GBT_TREES = 115
 GBT_LEARNING_RATE = 0.03
 # About as many leaves, rows per leaf and bins as histogram boosters use by default.
 GBT_SHAPE = {"maxDepth": 5, "minInstancesPerNode": 20, "maxBins": 255}
+# Tasks per core of each pass over the training rows of trees.
+TASKS_PER_CORE = 3
+
+
+def dealt_evenly(rows: DataFrame) -> DataFrame:
+    """The rows in tasks of equal size, some for each core, for a fit that reads them hundreds of times.
+
+    Files are cut into about one task per core, but rarely just as many and never of one size: every pass would wait for
+    the few tasks that start late. A table of fewer tasks than cores is small and stays as it is.
+    """
+    cores, tasks = rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    if tasks < cores:
+        return rows
+    return rows.repartition(cores * max(TASKS_PER_CORE, -(-tasks // cores)))
 
 
 def fit_classifier(
@@ -84,7 +98,10 @@ def fit_classifier(
             raise ValueError(f"a categorical has {most} levels: pass tree_categories='rank', "
                              f"or params with a larger maxBins than {shape['maxBins']}")
         classifier = GBTClassifier(**common, **shape)
-    return PipelineModel([*encoder.stages, classifier.fit(encoder.transform(used))])
+    encoded = encoder.transform(used)
+    if estimator == "gbt":
+        encoded = dealt_evenly(encoded.select(FEATURES, column(target)))
+    return PipelineModel([*encoder.stages, classifier.fit(encoded)])
 
 
 def predict_labels(

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from conftest import SF_DIR
 from helpers import rows
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from strataprop.operators.metrics import binary_metrics, metrics_dict
 from strataprop.operators.model_files import load_model, open_model, remove_model, save_model
 from strataprop.operators.scoring import score, score_python
 from strataprop.operators.splitting import split_by_hash
+from strataprop.operators.table_model import fit_table_model
 from strataprop.operators.training import evaluate, fit_classifier, predict_labels
 from strataprop.plans import fixtures as fx
 from strataprop.plans import propensity
@@ -133,6 +135,26 @@ def test_boosted_trees(table):
     assert trees.numFeatures == 4
 
 
+def test_boosted_trees_read_their_rows_in_even_tasks(spark, monkeypatch):
+    """One task more than cores, one of them with half the rows, and then a single small task."""
+    cores, read = spark.sparkContext.defaultParallelism, []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *more: (
+        read.append([len(part) for part in df.rdd.glom().collect()]), fit(self, df, *more))[1])
+    df = spark.range(0, 4000, 1, 1).union(spark.range(4000, 8000, 1, cores)).select(
+        "id", (F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 3).cast("string").alias("c"),
+        (F.col("id") % 97 > 40).cast("int").alias("label"))
+    for rows_ in (df, df.coalesce(1)):
+        how = {"target": "label", "key": "id", "categoricals": ["c"], "params": {"maxIter": 1}}
+        model = fit_classifier(rows_, estimator="gbt", **how)
+        fit_table_model(rows_, estimator="gbt", **how)
+        assert metrics_dict(evaluate(model, rows_.withColumn("split", F.lit("train")), target="label"))[
+            "train_sample"]["accuracy"] == 1.0
+    dealt = read[0]
+    assert len(dealt) % cores == 0 and max(dealt) <= 1.5 * sum(dealt) / len(dealt)
+    assert all(sum(sizes) == 8000 for sizes in read) and len(read[2]) == 1
+
+
 def test_training_flow_saves_and_scores(spark, tmp_path):
     labelled = fx.features(spark, SF_DIR, nulls=True).drop("cust_id", "nation_id")
     result = propensity.train(labelled, target="label", key="id", categoricals=CATEGORICALS,
