@@ -25,7 +25,7 @@ from strataprop.functions.runtime import stage
 from strataprop.operators.categories import (
     attach_levels, category_dictionary, level_offsets, ordered_target_statistics, sparse_features, target_statistics)
 from strataprop.operators.features import FEATURES, asserted_no_nulls, check_features, feature_columns
-from strataprop.operators.training import ESTIMATORS, GBT_LEARNING_RATE, GBT_SHAPE, GBT_TREES
+from strataprop.operators.training import ESTIMATORS, GBT_LEARNING_RATE, GBT_SHAPE, GBT_TREES, dealt_evenly
 
 ANY_LEVELS = 2**62
 
@@ -88,7 +88,8 @@ def fit_table_model(
     rows = stage(ordered_target_statistics(used, categoricals, target, key, prior=prior, weight=prior_weight, seed=seed))
     assembler = VectorAssembler(inputCols=[*numerics, *[f"__{c}_value" for c in categoricals]], outputCol=FEATURES)
     shape = dict(GBT_SHAPE, maxIter=GBT_TREES, stepSize=GBT_LEARNING_RATE, seed=seed) | (params or {})
-    trees = GBTClassifier(featuresCol=FEATURES, labelCol=target, **shape).fit(assembler.transform(rows))
+    encoded = dealt_evenly(assembler.transform(rows).select(FEATURES, column(target)))
+    trees = GBTClassifier(featuresCol=FEATURES, labelCol=target, **shape).fit(encoded)
     return TableModel(numerics, categoricals, statistics, prior, trees=PipelineModel([assembler, trees]))
 
 
