@@ -42,12 +42,15 @@ class HotKeys:
     """Keys with far more rows than an average shuffle partition.
 
     The set is a performance hint: any set, even an empty or a wrong one, gives the same rows.
-    ``frequent`` are the hashes of the most frequent keys, hot or not.
+    ``frequent`` are the hashes of the most frequent keys, hot or not. ``rows`` are all rows of the side, and ``copies``
+    those that the salts of its keys make of rows of the other side, as far as ``cut_pairs`` counted them.
     """
 
     per_key: dict[int, int]
     null_salts: int
     frequent: tuple[int, ...] = ()
+    rows: int = 0
+    copies: int = 0
 
     def __bool__(self) -> bool:
         return bool(self.per_key) or self.null_salts > 1
@@ -138,7 +141,7 @@ def _hot_keys(df: DataFrame, keys: list[list[str]], hot_rows: int | None) -> lis
         found.append(HotKeys(
             per_key={item: 1 << math.ceil(math.log2(count / piece)) for item, count in top if count > limit},
             null_salts=math.ceil(nulls / piece) if nulls > limit else 1,
-            frequent=tuple(item for item, count in top if count > 1)))
+            frequent=tuple(item for item, count in top if count > 1), rows=sketch["total"]))
     return found
 
 
@@ -162,6 +165,7 @@ def cut_pairs(
     counted = counts(left, "n_left").join(counts(right, "n_right"), "key").collect()
     piece = max(PAIRS_PER_PIECE, sum(n * m for _, n, m in counted) // MOST_PIECES)
     of_left, of_right, pieces, others = dict(left_hot.per_key), dict(right_hot.per_key), 0, 0
+    left_copies = right_copies = 0
     for key, n, m in counted:
         a, b = of_left.get(key, 1), of_right.get(key, 1)
         while n * m > piece * a * b:
@@ -169,8 +173,10 @@ def cut_pairs(
             a, b = (2 * a, b) if m * a <= n * b else (a, 2 * b)
         of_left |= {key: a} if a > 1 else {}
         of_right |= {key: b} if b > 1 else {}
+        left_copies, right_copies = left_copies + (n * b if b > 1 else 0), right_copies + (m * a if a > 1 else 0)
         pieces, others = (pieces + a * b, others) if a * b > 1 else (pieces, others + n * m)
-    return replace(left_hot, per_key=of_left), replace(right_hot, per_key=of_right), pieces + others // piece
+    return (replace(left_hot, per_key=of_left, copies=right_copies),
+            replace(right_hot, per_key=of_right, copies=left_copies), pieces + others // piece)
 
 
 def _spread_by(df: DataFrame, on: list[str]) -> list[str]:
@@ -207,6 +213,18 @@ def add_all_salts(
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), hot.salts_of(_hash(df, on)) - 1)))
 
 
+def _dealt(df: DataFrame, own: HotKeys, other: HotKeys) -> DataFrame:
+    """Rows in even tasks, if the salts of the other side make more copies of them than one task should make.
+
+    A table of few parts, or with the rows of a key in few of them, would leave all copies to few tasks. Many more tasks
+    than that would only cut the shuffle of the copies into small blocks.
+    """
+    partitions = shuffle_partitions(df.sparkSession)
+    if other.copies <= max(HOT_ROWS, 2 * own.rows / partitions):
+        return df
+    return df.repartition(min(partitions, math.ceil((own.rows + other.copies) / HOT_ROWS)))
+
+
 def equi_join(
     left: DataFrame,
     right: DataFrame,
@@ -286,7 +304,8 @@ def _spread_both(
     def widened(df: DataFrame) -> DataFrame:
         return df.filter(~_any_null(on)).withColumns({c: column(c).cast("bigint") for c in narrow})
 
-    salted, copies, cell = widened(left), widened(right), list(on)
+    salted, copies = _dealt(widened(left), left_hot, right_hot), _dealt(widened(right), right_hot, left_hot)
+    cell = list(on)
     # A salt that is 0 everywhere would drop out of the join's keys, and Spark would shuffle once more.
     if left_hot.per_key:
         salted, copies = add_salt(salted, on, left_hot, spread_by), add_all_salts(copies, on, left_hot)

@@ -109,6 +109,25 @@ def test_full_join_of_many_pairs_is_cut_into_small_tasks(spark, no_broadcast, mo
     assert tasks >= 24 and most <= 50_000
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+def test_copies_of_a_table_of_one_part_are_made_by_many_tasks(spark, no_broadcast, monkeypatch, how):
+    spread_as(monkeypatch, 1_000)
+    monkeypatch.setattr(joins, "HOT_ROWS", 1_000)
+    copied, add_all_salts = [], joins.add_all_salts
+
+    def spied(df, on, hot, name=joins.SALT):
+        copied.append(add_all_salts(df, on, hot, name))
+        return copied[-1]
+
+    monkeypatch.setattr(joins, "add_all_salts", spied)
+    left, right = (df.coalesce(1) for df in many_pairs(spark))
+    joined, plain = joins.equi_join(left, right, "k", how, repeated_right=True), left.join(right, "k", how)
+    assert rows(joined.select(plain.columns)) == rows(plain)
+    # of right rows for the left salts and of left rows for the right salts, more than 10,000 each
+    for tasks, most in (spread_over(df) for df in copied[:2]):
+        assert tasks >= 8 and most <= 2_000
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_many_pairs_of_integers_of_different_width(spark, no_broadcast, monkeypatch, how):
     spread_as(monkeypatch, 5_000)
